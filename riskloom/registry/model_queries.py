@@ -1 +1,163 @@
 """Trained models and streaming jobs as named queries."""
+
+from __future__ import annotations
+
+from functools import cache
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from riskloom.functions import columns as c
+from riskloom.operators import encode, ranks
+from riskloom.operators.drift import in_period
+from riskloom.plans import training
+from riskloom.registry.queries import (
+    EVENTS_AS_OF,
+    monitor_sets,
+    register,
+    rounded,
+    upsert_inputs,
+)
+from riskloom.session import materialize, scratch_path
+from riskloom.sources.testtables import CreditTables
+from riskloom.streaming import jobs
+
+TREES = 10
+LABEL = "default_flag"
+
+
+class ModelRun:
+    """Train and test sets of one data folder and the models fitted on them, each once."""
+
+    def __init__(self, t: CreditTables):
+        labels = t.wide.select("subject_id", LABEL)
+        encoded = encode.fill_zero(encode.scoring_view(t.wide)).join(labels, "subject_id")
+        train, test = ranks.hash_split(encoded, "subject_id", 0.75, "split")
+        self.train = materialize(train, "model-train")
+        self.test = materialize(test, "model-test")
+        self.inputs = [n for n in encoded.columns if n not in ("subject_id", LABEL)]
+        self.numeric = [n for n in self.inputs if not n.startswith(
+            ("gender_", "employment_type_", "education_", "region_code_"))]
+        self._fitted: dict = {}
+
+    def model(self, name: str):
+        if name not in self._fitted:
+            if name == "weighted":
+                fitted = training.train_gbt_weighted(self.train, self.inputs, LABEL, TREES)
+            elif name == "balanced":
+                fitted = training.train_gbt_balanced(self.train, self.inputs, LABEL, TREES)
+            else:
+                fitted = training.train_logreg_stepwise(self.train, self.numeric, "subject_id", LABEL)
+            self._fitted[name] = fitted
+        return self._fitted[name]
+
+    def all_models(self) -> dict:
+        return {
+            "LogReg (stepwise)": self.model("logreg")[0],
+            "GBT (weighted)": self.model("weighted"),
+            "GBT (balanced)": self.model("balanced"),
+        }
+
+
+@cache
+def model_run(t: CreditTables) -> ModelRun:
+    return ModelRun(t)
+
+
+def _scores(t: CreditTables, name: str) -> DataFrame:
+    run = model_run(t)
+    model = run.model(name)
+    model = model[0] if isinstance(model, tuple) else model
+    return training.positive_probability(model, run.test).select(
+        "subject_id", LABEL, "score", "prediction"
+    )
+
+
+@register
+def train_gbt_weighted(t: CreditTables) -> DataFrame:
+    return _scores(t, "weighted")
+
+
+@register
+def train_gbt_balanced(t: CreditTables) -> DataFrame:
+    return _scores(t, "balanced")
+
+
+@register
+def train_logreg_stepwise(t: CreditTables) -> DataFrame:
+    return _scores(t, "logreg")
+
+
+@register
+def model_comparison(t: CreditTables) -> DataFrame:
+    run = model_run(t)
+    return training.model_comparison(run.all_models(), run.test, LABEL)
+
+
+@register
+def rank_models(t: CreditTables) -> DataFrame:
+    """The stored metrics of the best model, read back with it."""
+    run = model_run(t)
+    comparison = materialize(model_comparison(t).coalesce(1), "model-comparison")
+    best = training.best_model(comparison.orderBy(F.desc("auc"), "model"))
+    root = scratch_path(t.spark, "models")
+    training.save_model(run.all_models()[best], comparison, root, "CLIK_PD_MODEL", "V2")
+    _, stored = training.load_model(t.spark, root, "CLIK_PD_MODEL", "V2")
+    return stored.orderBy(F.desc("auc"), "model")
+
+
+@register
+def roc_long(t: CreditTables) -> DataFrame:
+    run = model_run(t)
+    return training.model_curves(run.all_models(), run.test, LABEL)
+
+
+@register
+def predict_sample(t: CreditTables) -> DataFrame:
+    """Class predictions for ten encoded rows."""
+    run = model_run(t)
+    rows = run.test.orderBy("subject_id").limit(10)
+    return training.positive_probability(run.model("weighted"), rows).select(
+        "subject_id", "prediction"
+    )
+
+
+def _event_stream(t: CreditTables) -> DataFrame:
+    return jobs.table_stream(t.spark, t.folder, t.raw("events").schema, "events.parquet")
+
+
+@register
+def stream_score(t: CreditTables) -> DataFrame:
+    requests = _event_stream(t).select("event_id", F.col("user_id").alias("subject_id"))
+    features = t.subjects.where(F.col("monthly_income") > 0).drop("pd_true_prob", "default_flag")
+    ratio = c.dti_nullable(F.col("monthly_installment"), F.col("monthly_income"))
+    capped = F.least(F.coalesce(ratio, F.lit(3.0)), F.lit(3.0))
+    pd = F.round(c.probability(c.latent_logit(capped)), 6)
+    state, sink = jobs.stream_paths(t.spark, "score")
+    return jobs.stream_score(requests, features, "subject_id", "event_id", pd, state, sink)
+
+
+@register
+def stream_drift(t: CreditTables) -> DataFrame:
+    baseline, _ = monitor_sets(t)
+    later = _event_stream(t).where(F.col("ts") >= F.lit("2024-01-11").cast("timestamp_ntz"))
+    state, sink = jobs.stream_paths(t.spark, "drift")
+    df = jobs.stream_drift(in_period(later, "ts", EVENTS_AS_OF), baseline, "ts", "value", state, sink)
+    return rounded(df, mean=6, baseline_mean=6, difference=6)
+
+
+@register
+def stream_feature_refresh(t: CreditTables) -> DataFrame:
+    base, _ = upsert_inputs(t)
+
+    def summarise(batch: DataFrame) -> DataFrame:
+        purchase = F.when(F.col("event_type") == "purchase", F.col("value"))
+        return batch.groupBy(F.col("user_id").alias("subject_id")).agg(
+            F.round(F.max(purchase) / 1000, 3).alias("credit_utilization"),
+            F.count_if(F.col("event_type") == "signup").alias("num_inquiries_12m"),
+        )
+
+    state, versions = jobs.stream_paths(t.spark, "refresh")
+    return jobs.stream_feature_refresh(
+        _event_stream(t), summarise, base, "subject_id", ("num_inquiries_12m",), state, versions
+    )

@@ -363,6 +363,16 @@ def _application_log() -> str:
     FROM e"""
 
 
+UPSERT = credit(
+    """SELECT coalesce(b.subject_id, ch.subject_id) AS subject_id, b.age::BIGINT AS age,
+         coalesce(ch.cu, b.credit_utilization) AS credit_utilization,
+         coalesce(coalesce(b.num_inquiries_12m, 0) + ch.inq, b.num_inquiries_12m)::BIGINT AS num_inquiries_12m
+       FROM (SELECT * FROM subjects WHERE monthly_income > 0) b FULL JOIN ch ON ch.subject_id = b.subject_id""",
+    """ch AS (SELECT user_id AS subject_id, round(max(value) FILTER (event_type = 'purchase') / 1000, 3) AS cu,
+         count(*) FILTER (event_type = 'signup') AS inq FROM events GROUP BY 1)""",
+)
+
+
 def oracles() -> dict[str, str]:
     return {
         # scans, sources, sinks
@@ -481,14 +491,7 @@ def oracles() -> dict[str, str]:
                   kol_status::BIGINT AS kol_status, round({DTI}, 9) AS dti_ratio
                 FROM events JOIN subjects ON subject_id = user_id WHERE monthly_income > 0"""
         ),
-        "feature_upsert": credit(
-            """SELECT coalesce(b.subject_id, ch.subject_id) AS subject_id, b.age::BIGINT AS age,
-                 coalesce(ch.cu, b.credit_utilization) AS credit_utilization,
-                 coalesce(coalesce(b.num_inquiries_12m, 0) + ch.inq, b.num_inquiries_12m)::BIGINT AS num_inquiries_12m
-               FROM (SELECT * FROM subjects WHERE monthly_income > 0) b FULL JOIN ch ON ch.subject_id = b.subject_id""",
-            """ch AS (SELECT user_id AS subject_id, round(max(value) FILTER (event_type = 'purchase') / 1000, 3) AS cu,
-                 count(*) FILTER (event_type = 'signup') AS inq FROM events GROUP BY 1)""",
-        ),
+        "feature_upsert": UPSERT,
         # aggregates
         "feature_summary": credit(
             """SELECT count(*) AS n_rows, round(avg(default_flag), 4) AS default_rate, round(avg(pd_true_prob), 4) AS avg_pd_true
@@ -672,6 +675,13 @@ def oracles() -> dict[str, str]:
                cum_day AS (SELECT *, sum(n) OVER (PARTITION BY day ORDER BY s) AS cn, sum(p) OVER d AS tp, sum(n) OVER d AS tn
                  FROM by_day WINDOW d AS (PARTITION BY day))""",
         ),
+        # streams: the same results as the batch jobs
+        "stream_score": credit(
+            """SELECT event_id, user_id AS subject_id, pd_probability, credit_score, coalesce(decision, 'REJECT') AS decision
+               FROM events LEFT JOIN scores ON subject_id = user_id"""
+        ),
+        "stream_drift": _drift(["value"], 6),
+        "stream_feature_refresh": UPSERT,
         # metrics and questions
         "metric_query": credit(
             f"""SELECT channel, decision, date_trunc('quarter', app_date)::DATE AS period, count(*) AS total_applications,
