@@ -13,6 +13,12 @@ from riskloom.functions.hashing import fast_uniform
 Uniform = Callable[[Column, str], Column]
 
 
+def round_half_up(value: Column, digits: int) -> Column:
+    """Round by scaling and flooring: several times cheaper per value than the decimal `round`."""
+    unit = F.lit(float(10**digits))
+    return F.floor(value * unit + F.lit(0.5)) / unit
+
+
 @dataclass(frozen=True)
 class Draw:
     """How one column is drawn.
@@ -42,7 +48,7 @@ class Draw:
             return F.floor(value).cast("int").alias(name)
         if self.cap is not None:
             value = F.least(F.lit(float(self.cap)), value)
-        return F.round(value, self.digits).alias(name)
+        return round_half_up(value, self.digits).alias(name)
 
     def _choice(self, u: Column) -> Column:
         if not self.weights:

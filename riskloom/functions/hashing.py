@@ -5,6 +5,8 @@ Unlike `rand()`, a hash draw does not change with the partitioning or when a tas
 
 from __future__ import annotations
 
+from zlib import crc32
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,4 +23,5 @@ def md5_uniform(key: Column, salt: str) -> Column:
 
 def fast_uniform(key: Column, salt: str) -> Column:
     """53-bit draw from xxhash64: cheaper than md5, for use inside Spark only."""
-    return F.shiftrightunsigned(F.xxhash64(key, F.lit(salt)), 11) * F.lit(2.0**-53)
+    number = F.lit(crc32(salt.encode()))
+    return F.shiftrightunsigned(F.xxhash64(key, number), 11) * F.lit(2.0**-53)
