@@ -20,17 +20,21 @@ class FilterSpec:
     date_column: str = "app_date"
 
     def condition(self) -> Column:
-        day = F.col(self.date_column)
         keep = F.lit(True)
         if self.start is not None:
-            keep = keep & (day >= F.lit(self.start))
+            keep = keep & (F.col(self.date_column) >= F.lit(self.start))
         if self.end is not None:
-            keep = keep & (day <= F.lit(self.end))
+            keep = keep & (F.col(self.date_column) <= F.lit(self.end))
         for column, values in self.selections.items():
             if values:
                 keep = keep & F.col(column).isin(list(values))
         return keep
 
+    def columns(self) -> list[str]:
+        """The columns the condition reads."""
+        dated = [self.date_column] if self.start or self.end else []
+        return dated + [column for column, values in self.selections.items() if values]
+
     def apply(self, df: DataFrame) -> DataFrame:
         return df.where(self.condition())
 

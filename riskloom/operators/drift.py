@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.evaluate import discrimination
-from riskloom.operators.joins import broadcast_if_small
 
 
 def in_period(df: DataFrame, at: str, as_of: dt.date, days: int = 30) -> DataFrame:
@@ -54,8 +53,8 @@ def difference_of_means(
 
 
 def with_baseline(daily: DataFrame, baseline_means: DataFrame) -> DataFrame:
-    """One baseline row per feature joins the daily means on the feature name."""
-    return daily.join(broadcast_if_small(baseline_means), "feature").select(
+    """The baseline holds one row per named feature, so it is small by construction."""
+    return daily.join(F.broadcast(baseline_means), "feature").select(
         "day", "feature", "n", "mean", "baseline_mean",
         (F.col("mean") - F.col("baseline_mean")).alias("difference"),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
 HOT_SHARE = 0.005
+HOT_ROWS = 100_000
 SALTS = 64
 
 
@@ -22,21 +23,26 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return df
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Key values (None included) that hold more than `share` of the rows: at most 1/share of them.
+def hot_keys(
+    df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_ROWS
+) -> list:
+    """Key values (None included) that hold more than `share` of the rows and more than `min_rows`
+    rows: at most 1/share of them.
 
     The frequent-item sketch is one scan of one column without a shuffle and misses no such key;
     the exact count that follows drops its false positives.
     """
     column = df.select(F.col(key).alias("k"))
+    if column.limit(min_rows + 1).count() <= min_rows:
+        return []
     sketch = column.stat.freqItems(["k"], share).first()["k_freqItems"] or []
     candidates = [value for value in sketch if value is not None]
     flagged = F.when(F.col("k").isin(candidates), F.col("k")) if candidates else F.lit(None)
     counted = column.groupBy(F.col("k").isNull().alias("missing"), flagged.alias("k")).count().collect()
-    total = sum(row["count"] for row in counted)
+    bound = max(share * sum(row["count"] for row in counted), min_rows)
     return [
         row["k"] for row in counted
-        if row["count"] > share * total and (row["missing"] or row["k"] is not None)
+        if row["count"] > bound and (row["missing"] or row["k"] is not None)
     ]
 
 
@@ -72,6 +78,15 @@ def left_join_lookups(
     return joined.drop("_salt")
 
 
+def left_join_dimension(
+    facts: DataFrame, dimension: DataFrame, key: str, row_key: str, max_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Left-join a dimension with unique `key`: broadcast if it is counted to be small, else salted."""
+    if dimension.limit(max_rows + 1).count() <= max_rows:
+        return facts.join(F.broadcast(dimension), key, "left")
+    return left_join_lookups(facts, [dimension], key, row_key)
+
+
 def attach_features(requests: DataFrame, features: DataFrame, key: str, row_key: str) -> DataFrame:
     """Requests with their features; a request whose key is unknown is dropped."""
     marked = features.withColumn("_found", F.lit(True))
@@ -79,10 +94,14 @@ def attach_features(requests: DataFrame, features: DataFrame, key: str, row_key:
 
 
 def rows_with_keys(df: DataFrame, key: str, wanted: DataFrame | list) -> DataFrame:
-    """Rows whose key is in a short list (pushed to the scan) or in another DataFrame (semi-join)."""
+    """Rows whose key is in a short list (pushed to the scan) or in another DataFrame (semi-join).
+
+    Repeated keys are combined first, so a hot one costs nothing; AQE broadcasts what remains if its
+    measured size is small.
+    """
     if isinstance(wanted, list):
         return df.where(F.col(key).isin(wanted))
-    return df.join(broadcast_if_small(wanted.select(key)), key, "left_semi")
+    return df.join(wanted.select(key).distinct(), key, "left_semi")
 
 
 def upsert(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import columns as c
-from riskloom.operators.joins import broadcast_if_small, left_join_lookups
+from riskloom.operators.joins import left_join_dimension, left_join_lookups
 
 MODEL_VERSION = "V2_SNOWPARK_ML"
 MONTHLY_KEYS = [
@@ -31,64 +33,100 @@ def score_results(
     )
 
 
-def mart_applications(
-    applications: DataFrame,
-    region: DataFrame,
-    product: DataFrame,
-    lender: DataFrame,
-    scores: DataFrame,
-    features: DataFrame,
-    hot: list | None = None,
-) -> DataFrame:
+# Columns of the mart in order, with the input columns each one is made of.
+MART_INPUTS = {
+    "application_id": ["application_id"],
+    "subject_id": ["subject_id"],
+    "app_date": ["app_date"],
+    "app_month": ["app_date"],
+    "app_week": ["app_date"],
+    "app_year": ["app_date"],
+    "channel": ["channel"],
+    "requested_amount": ["requested_amount"],
+    "tenor_months": ["tenor_months"],
+    "decision": ["decision"],
+    "is_approved": ["decision"],
+    **{f"{d}_{part}": [f"{d}_{part}"] for d, part in [
+        ("region", "code"), ("region", "name"), ("island", "group"),
+        ("product", "code"), ("product", "name"), ("product", "class"),
+        ("lender", "code"), ("lender", "name"), ("lender", "type"),
+    ]},
+    "pd_probability": ["pd_probability"],
+    "credit_score": ["credit_score"],
+    "score_band": ["credit_score"],
+    "risk_segment": ["pd_probability"],
+    "default_flag": ["default_flag"],
+    "monthly_income": ["monthly_income"],
+    "age": ["age"],
+    "credit_utilization": ["credit_utilization"],
+}
+MART_COLUMNS = list(MART_INPUTS)
+
+
+@dataclass(frozen=True)
+class ApplicationMart:
     """One row per application with its dimensions, score and subject columns.
 
     Codes come from the dimensions, so an unknown code is NULL; the decision is the application's.
-    Scores and features share one shuffle of the applications; subjects with very many applications
-    are salted. Dimensions are broadcast after a size check.
+    The dimension codes and subject ids are primary keys, so a lookup neither adds nor removes rows:
+    `select` joins only the tables that the wanted columns come from. Scores and features share one
+    shuffle of the applications, and subjects with very many applications are salted.
     """
-    scored = scores.select("subject_id", "pd_probability", "credit_score")
-    known = features.select(
-        "subject_id", "default_flag", "monthly_income", "age", "credit_utilization"
-    )
-    facts = applications.withColumnsRenamed(
-        {"region_code": "_region", "product_code": "_product", "lender_code": "_lender"}
-    )
-    for dimension, code, fact_code in [
-        (region, "region_code", "_region"),
-        (product, "product_code", "_product"),
-        (lender, "lender_code", "_lender"),
-    ]:
-        facts = facts.join(
-            broadcast_if_small(dimension), F.col(fact_code) == F.col(code), "left"
-        ).drop(fact_code)
-    joined = left_join_lookups(facts, [scored, known], "subject_id", "application_id", hot)
-    day = F.col("app_date")
-    return joined.select(
-        "application_id",
-        "subject_id",
-        "app_date",
-        c.month_start(day).alias("app_month"),
-        c.week_start(day).alias("app_week"),
-        F.year(day).alias("app_year"),
-        "channel",
-        "requested_amount",
-        "tenor_months",
-        "decision",
-        c.approved_flag(F.col("decision")).alias("is_approved"),
-        "region_code", "region_name", "island_group",
-        "product_code", "product_name", "product_class",
-        "lender_code", "lender_name", "lender_type",
-        "pd_probability",
-        "credit_score",
-        c.score_band(F.col("credit_score")).alias("score_band"),
-        c.risk_segment(F.col("pd_probability")).alias("risk_segment"),
-        "default_flag", "monthly_income", "age", "credit_utilization",
-    )
+
+    applications: DataFrame
+    region: DataFrame
+    product: DataFrame
+    lender: DataFrame
+    scores: DataFrame
+    features: DataFrame
+    hot: list | None = None
+
+    def select(self, *names: str) -> DataFrame:
+        wanted = list(dict.fromkeys(names))
+        inputs = {source for name in wanted for source in MART_INPUTS[name]}
+        facts = self.applications.withColumnsRenamed(
+            {code: f"_{code}" for code in ("region_code", "product_code", "lender_code")}
+        )
+        for dimension, code in [
+            (self.region, "region_code"),
+            (self.product, "product_code"),
+            (self.lender, "lender_code"),
+        ]:
+            used = [n for n in dimension.columns if n in inputs]
+            if used:
+                keyed = dimension.select(F.col(code).alias(f"_{code}"), *used)
+                facts = left_join_dimension(facts, keyed, f"_{code}", "application_id")
+        lookups = []
+        for table, columns in [
+            (self.scores, ["pd_probability", "credit_score"]),
+            (self.features, ["default_flag", "monthly_income", "age", "credit_utilization"]),
+        ]:
+            used = [n for n in columns if n in inputs]
+            if used:
+                lookups.append(table.select("subject_id", *used))
+        if lookups:
+            facts = left_join_lookups(facts, lookups, "subject_id", "application_id", self.hot)
+        day = F.col("app_date")
+        derived = {
+            "app_month": c.month_start(day),
+            "app_week": c.week_start(day),
+            "app_year": F.year(day),
+            "is_approved": c.approved_flag(F.col("decision")),
+            "score_band": c.score_band(F.col("credit_score")),
+            "risk_segment": c.risk_segment(F.col("pd_probability")),
+        }
+        return facts.select(*[derived.get(n, F.col(n)).alias(n) for n in wanted])
+
+    def all_columns(self) -> DataFrame:
+        return self.select(*MART_COLUMNS)
 
 
-def mart_app_monthly(mart: DataFrame) -> DataFrame:
+def mart_app_monthly(mart: ApplicationMart | DataFrame) -> DataFrame:
     """Eleven keys, seven measures, and the sums and counts needed to aggregate further."""
-    return mart.groupBy(*MONTHLY_KEYS).agg(
+    rows = mart.select(
+        *MONTHLY_KEYS, "is_approved", "requested_amount", "pd_probability", "credit_score", "default_flag"
+    )
+    return rows.groupBy(*MONTHLY_KEYS).agg(
         F.count(F.lit(1)).alias("n_applications"),
         F.sum("is_approved").alias("n_approved"),
         F.sum("requested_amount").alias("total_requested"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import columns as c
 from riskloom.functions.filters import FilterSpec, previous_month
+from riskloom.plans.tiles import Mart
 from riskloom.plans.trends import rate_matrix
 
 
@@ -170,26 +171,28 @@ def default_by_age(subjects: DataFrame) -> DataFrame:
     )
 
 
-def island_unsecured_default(mart: DataFrame) -> DataFrame:
+def island_unsecured_default(mart: Mart) -> DataFrame:
     """Island group with the highest default rate among unsecured products."""
     rates = (
-        mart.where(F.col("product_class") == "Unsecured")
+        mart.select("island_group", "product_class", "default_flag")
+        .where(F.col("product_class") == "Unsecured")
         .groupBy("island_group")
         .agg(F.round(100.0 * F.avg("default_flag"), 4).alias("default_rate_pct"))
     )
     return rates.orderBy(F.desc("default_rate_pct"), "island_group").limit(1)
 
 
-def reject_by_channel(mart: DataFrame) -> DataFrame:
+def reject_by_channel(mart: Mart) -> DataFrame:
     return (
-        mart.where(F.col("decision") == "REJECT")
+        mart.select("channel", "decision")
+        .where(F.col("decision") == "REJECT")
         .groupBy("channel")
         .agg(F.count(F.lit(1)).alias("applications"))
         .orderBy(F.desc("applications"), "channel")
     )
 
 
-def approval_change(mart: DataFrame, quarter: dt.date, segment: str) -> DataFrame:
+def approval_change(mart: Mart, quarter: dt.date, segment: str) -> DataFrame:
     """Approval rate of a quarter against the quarter before, split by segment.
 
     contribution = share-weighted approval now minus before; contributions add up to the total change.
@@ -198,7 +201,8 @@ def approval_change(mart: DataFrame, quarter: dt.date, segment: str) -> DataFram
     now = (F.col("app_date") >= start) & (F.col("app_date") < F.add_months(start, 3))
     before = (F.col("app_date") >= F.add_months(start, -3)) & (F.col("app_date") < start)
     per_segment = (
-        mart.where(now | before)
+        mart.select("app_date", "is_approved", segment)
+        .where(now | before)
         .groupBy(segment)
         .agg(
             F.count_if(now).alias("n_now"),

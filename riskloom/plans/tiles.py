@@ -10,24 +10,26 @@ from pyspark.sql import Window as W
 
 from riskloom.functions.filters import FilterSpec
 from riskloom.functions.fixed_values import APPROVAL_TARGET_PCT
+from riskloom.plans.mart import ApplicationMart
+
+Mart = ApplicationMart | DataFrame
 
 
 def _percent(column: str, digits: int) -> Column:
     return F.round(100.0 * F.avg(column), digits)
 
 
-def measure(name: str) -> Column:
-    """Tile measure by name, aliased to it."""
-    built = {
-        "applications": F.count(F.lit(1)),
-        "total_applications": F.count(F.lit(1)),
-        "approval_rate_pct": _percent("is_approved", 1),
-        "avg_credit_score": F.round(F.avg("credit_score")),
-        "avg_score": F.round(F.avg("credit_score")),
-        "default_rate_pct": _percent("default_flag", 2),
-        "avg_pd": F.round(F.avg("pd_probability"), 4),
+def _measures() -> dict[str, tuple[str | None, Column]]:
+    """Tile measures by name: the column they read and the aggregate."""
+    return {
+        "applications": (None, F.count(F.lit(1))),
+        "total_applications": (None, F.count(F.lit(1))),
+        "approval_rate_pct": ("is_approved", _percent("is_approved", 1)),
+        "avg_credit_score": ("credit_score", F.round(F.avg("credit_score"))),
+        "avg_score": ("credit_score", F.round(F.avg("credit_score"))),
+        "default_rate_pct": ("default_flag", _percent("default_flag", 2)),
+        "avg_pd": ("pd_probability", F.round(F.avg("pd_probability"), 4)),
     }
-    return built[name].alias(name)
 
 
 @dataclass(frozen=True)
@@ -37,10 +39,18 @@ class Tile:
     descending: str | None = None
     limit: int | None = None
 
-    def query(self, mart: DataFrame, filters: FilterSpec | None = None) -> DataFrame:
-        """Filter, aggregate (map-side first), then order the chart-sized result."""
-        source = filters.apply(mart) if filters else mart
-        out = source.groupBy(*self.by).agg(*[measure(m) for m in self.measures])
+    def query(self, mart: Mart, filters: FilterSpec | None = None) -> DataFrame:
+        """Filter, aggregate (map-side first), then order the chart-sized result.
+
+        Only the columns the tile reads are asked of the mart, so that it can leave out joins.
+        """
+        known = _measures()
+        read = [column for column, _ in (known[m] for m in self.measures) if column]
+        filtered = filters.columns() if filters else []
+        source = mart.select(*self.by, *[n for n in dict.fromkeys(read + filtered) if n not in self.by])
+        if filters:
+            source = filters.apply(source)
+        out = source.groupBy(*self.by).agg(*[known[m][1].alias(m) for m in self.measures])
         order = [F.desc(self.descending)] if self.descending else []
         if self.by:
             out = out.orderBy(*order, *self.by)
@@ -73,7 +83,7 @@ TILES = {
 }
 
 
-def tile(name: str, mart: DataFrame, filters: FilterSpec | None = None) -> DataFrame:
+def tile(name: str, mart: Mart, filters: FilterSpec | None = None) -> DataFrame:
     return TILES[name].query(mart, filters)
 
 
@@ -83,32 +93,32 @@ def with_share(counts: DataFrame, value: str, within: tuple[str, ...] = ()) -> D
     return counts.withColumn("share_pct", F.round(100.0 * F.col(value) / F.nullif(total, F.lit(0)), 4))
 
 
-def decision_mix_by_channel(mart: DataFrame, filters: FilterSpec | None = None) -> DataFrame:
+def decision_mix_by_channel(mart: Mart, filters: FilterSpec | None = None) -> DataFrame:
     counts = Tile(("channel", "decision"), ("applications",)).query(mart, filters)
     return with_share(counts, "applications", ("channel",))
 
 
-def monthly_decision_share(mart: DataFrame, filters: FilterSpec | None = None) -> DataFrame:
+def monthly_decision_share(mart: Mart, filters: FilterSpec | None = None) -> DataFrame:
     return with_share(tile("monthly_by_decision", mart, filters), "applications", ("app_month",))
 
 
-def channel_share(mart: DataFrame, filters: FilterSpec | None = None) -> DataFrame:
+def channel_share(mart: Mart, filters: FilterSpec | None = None) -> DataFrame:
     counts = Tile(("channel",), ("applications",), "applications").query(mart, filters)
     return with_share(counts, "applications")
 
 
-def monthly_approval_rate(mart: DataFrame, filters: FilterSpec | None = None) -> DataFrame:
+def monthly_approval_rate(mart: Mart, filters: FilterSpec | None = None) -> DataFrame:
     """Approval rate per month next to the constant target line."""
     rates = Tile(("app_month",), ("approval_rate_pct",)).query(mart, filters)
     return rates.withColumn("target_pct", F.lit(APPROVAL_TARGET_PCT))
 
 
-def decision_stage_counts(mart: DataFrame, filters: FilterSpec | None = None) -> DataFrame:
+def decision_stage_counts(mart: Mart, filters: FilterSpec | None = None) -> DataFrame:
     counts = Tile(("decision",), ("applications",)).query(mart, filters)
     return counts.withColumnRenamed("decision", "stage")
 
 
-def kpi_delta(mart: DataFrame, current: FilterSpec, prior: FilterSpec) -> DataFrame:
+def kpi_delta(mart: Mart, current: FilterSpec, prior: FilterSpec) -> DataFrame:
     """The four scorecards for two periods and their differences, in one pass over both periods."""
 
     def values(suffix: str, inside: Column) -> list[Column]:
@@ -123,7 +133,8 @@ def kpi_delta(mart: DataFrame, current: FilterSpec, prior: FilterSpec) -> DataFr
         ]
 
     now, before = current.condition(), prior.condition()
-    both = mart.where(now | before).agg(*values("current", now), *values("prior", before))
+    read = ["is_approved", "credit_score", "default_flag", *current.columns(), *prior.columns()]
+    both = mart.select(*dict.fromkeys(read)).where(now | before).agg(*values("current", now), *values("prior", before))
     names = ["total_applications", "approval_rate_pct", "avg_credit_score", "default_rate_pct"]
     return both.select(
         "*",

@@ -280,7 +280,7 @@ def _metric(name: str) -> str:
         "avg_tenor": ("apps", "round(sum(tenor_months)::DOUBLE / count(tenor_months), 6)"),
         "total_subjects": ("subjects", "count(subject_id)"),
         "default_rate": ("subjects", "round(avg(default_flag), 9)"),
-        "avg_pd": ("subjects", "round(avg(pd_true_prob), 9)"),
+        "avg_pd": ("subjects", "round(avg(pd_true_prob), 12)"),
         "avg_income": ("subjects", "round(avg(monthly_income), 4)"),
         "avg_utilization": ("subjects", "round(avg(credit_utilization), 9)"),
         "avg_dti": ("subjects", "round(avg(monthly_installment / nullif(monthly_income, 0)), 6)"),
@@ -692,7 +692,7 @@ def oracles() -> dict[str, str]:
         ),
         "metric_query_subjects": credit(
             """SELECT gender, education, count(*) AS total_subjects, round(avg(default_flag), 9) AS default_rate,
-                 round(avg(pd_true_prob), 9) AS avg_pd, round(avg(monthly_income), 4) AS avg_income,
+                 round(avg(pd_true_prob), 12) AS avg_pd, round(avg(monthly_income), 4) AS avg_income,
                  round(avg(credit_utilization), 9) AS avg_utilization,
                  round(avg(monthly_installment / nullif(monthly_income, 0)), 6) AS avg_dti,
                  round(avg(max_dpd_12m), 6) AS avg_dpd_12m, round(avg(num_active_loans), 6) AS avg_num_loans
@@ -726,7 +726,7 @@ def oracles() -> dict[str, str]:
         "q_approval_product_channel": credit(
             _matrix("apps", "product_code", "channel", "CASE WHEN decision = 'APPROVE' THEN 1e0 ELSE 0e0 END", PRIORITIES)
         ),
-        "q_avg_pd_kol3": credit("SELECT round(avg(pd_true_prob), 9) AS avg_pd FROM subjects WHERE kol_status = 3"),
+        "q_avg_pd_kol3": credit("SELECT round(avg(pd_true_prob), 12) AS avg_pd FROM subjects WHERE kol_status = 3"),
         "q_bnpl_vs_kta": credit(
             """SELECT date_trunc('month', app_date)::DATE AS period, count(*) FILTER (product_code = 'PROMO') AS "PROMO",
                  count(*) FILTER (product_code = 'ECONOMY') AS "ECONOMY"

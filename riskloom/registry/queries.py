@@ -103,7 +103,7 @@ def ctas_overwrite(t: CreditTables) -> DataFrame:
 
 @register
 def named_view(t: CreditTables) -> DataFrame:
-    view = tables.named_view(t.mart, "mart_applications")
+    view = tables.named_view(t.mart.all_columns(), "mart_applications")
     return view.select("application_id", "island_group", "risk_segment", "score_band")
 
 
@@ -120,7 +120,7 @@ def row_count_validation(t: CreditTables) -> DataFrame:
             "DIM_PRODUCT": t.product,
             "DIM_LENDER": t.lender,
             "LOAN_APPLICATIONS": t.applications,
-            "MART_APPLICATIONS": t.mart,
+            "MART_APPLICATIONS": t.mart.all_columns(),
             "MART_APP_MONTHLY": mart.mart_app_monthly(t.mart),
         }
     )
@@ -349,8 +349,10 @@ BUNDLE = FilterSpec(
 
 @register
 def filter_bundle(t: CreditTables) -> DataFrame:
-    return BUNDLE.apply(t.mart).select(
-        "application_id", "app_date", "island_group", "product_class", "channel", "risk_segment"
+    return BUNDLE.apply(
+        t.mart.select(
+            "application_id", "app_date", "island_group", "product_class", "channel", "risk_segment"
+        )
     )
 
 
@@ -393,7 +395,7 @@ def picker_bounds(t: CreditTables) -> DataFrame:
 
 @register
 def filter_domain(t: CreditTables) -> DataFrame:
-    return trends.domain(t.mart, "island_group")
+    return trends.domain(t.mart.select("island_group"), "island_group")
 
 
 # --- joins ----------------------------------------------------------------------------------------------
@@ -401,7 +403,7 @@ def filter_domain(t: CreditTables) -> DataFrame:
 
 @register
 def mart_applications(t: CreditTables) -> DataFrame:
-    return t.mart
+    return t.mart.all_columns()
 
 
 @register
@@ -792,13 +794,13 @@ def metric_query_subjects(t: CreditTables) -> DataFrame:
     table = metrics.subject_metrics()
     df = metrics.metric_query(t.subjects, table, list(table.measures), ["gender", "education"])
     return rounded(
-        df, default_rate=9, avg_pd=9, avg_income=4, avg_utilization=9, avg_dti=6, avg_dpd_12m=6,
+        df, default_rate=9, avg_pd=12, avg_income=4, avg_utilization=9, avg_dti=6, avg_dpd_12m=6,
         avg_num_loans=6,
     )
 
 
 METRIC_DIGITS = {
-    "approval_rate": 9, "avg_loan_amount": 4, "avg_tenor": 6, "default_rate": 9, "avg_pd": 9,
+    "approval_rate": 9, "avg_loan_amount": 4, "avg_tenor": 6, "default_rate": 9, "avg_pd": 12,
     "avg_income": 4, "avg_utilization": 9, "avg_dti": 6, "avg_dpd_12m": 6, "avg_num_loans": 6,
 }
 
@@ -862,7 +864,7 @@ def q_approval_product_channel(t: CreditTables) -> DataFrame:
 
 @register
 def q_avg_pd_kol3(t: CreditTables) -> DataFrame:
-    return rounded(metrics.avg_pd_of_kol(t.subjects, 3), avg_pd=9)
+    return rounded(metrics.avg_pd_of_kol(t.subjects, 3), avg_pd=12)
 
 
 @register

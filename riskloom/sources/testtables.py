@@ -13,8 +13,13 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import columns as c
 from riskloom.functions.hashing import md5_uniform
-from riskloom.operators.joins import hot_keys, left_join_lookups
-from riskloom.plans.mart import mart_applications, score_results
+from riskloom.operators.joins import (
+    attach_features,
+    hot_keys,
+    left_join_dimension,
+    left_join_lookups,
+)
+from riskloom.plans.mart import ApplicationMart, score_results
 from riskloom.session import materialize
 from riskloom.sources.synthetic import subject_table
 
@@ -75,27 +80,25 @@ class CreditTables:
 
     @cached_property
     def _order_lines(self) -> DataFrame:
-        """Lines per order, combined before any join."""
-        return self.raw("lineitem").groupBy("l_orderkey").agg(
+        """Lines per order: the largest table is read and combined once, before any join."""
+        combined = self.raw("lineitem").groupBy("l_orderkey").agg(
             F.min("l_partkey").alias("l_partkey"),
             F.min("l_suppkey").alias("l_suppkey"),
             F.max("l_quantity").alias("quantity"),
             F.count(F.lit(1)).alias("n_lines"),
             F.count_if(F.col("l_returnflag") == "R").alias("n_returned"),
         )
+        return materialize(combined.withColumnRenamed("l_orderkey", "o_orderkey"), "order-lines")
 
     @cached_property
     def applications(self) -> DataFrame:
         status = F.col("o_orderstatus")
-        lines = self._order_lines.select("l_orderkey", "l_partkey", "l_suppkey", "quantity")
-        joined = (
-            self.raw("orders")
-            .join(self.raw("customer").select("c_custkey", "c_nationkey"),
-                  F.col("o_custkey") == F.col("c_custkey"))
-            .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-            .join(self.raw("part").select("p_partkey", "p_type"),
-                  F.col("l_partkey") == F.col("p_partkey"), "left")
-        )
+        customers = self.raw("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+        parts = self.raw("part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+        lines = self._order_lines.select("o_orderkey", "l_partkey", "l_suppkey", "quantity")
+        ordered = self.raw("orders").join(lines, "o_orderkey", "left")
+        placed = attach_features(ordered, customers, "o_custkey", "o_orderkey")
+        joined = left_join_dimension(placed, parts, "l_partkey", "o_orderkey")
         return materialize(
             joined.select(
                 c.padded_key("APP", F.col("o_orderkey"), 8).alias("application_id"),
@@ -109,16 +112,16 @@ class CreditTables:
                 F.col("quantity").cast("decimal(5,0)").alias("tenor_months"),
                 F.when(status == "F", "APPROVE").when(status == "P", "REVIEW")
                 .otherwise("REJECT").alias("decision"),
-            ),
+            ).sortWithinPartitions("app_date"),
             "loan-applications",
         )
 
     @cached_property
     def subjects(self) -> DataFrame:
         orders = self.raw("orders").select("o_orderkey", "o_custkey", "o_totalprice")
-        lines = self._order_lines.select("l_orderkey", "n_lines", "n_returned")
+        lines = self._order_lines.select("o_orderkey", "n_lines", "n_returned")
         per_customer = (
-            orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+            orders.join(lines, "o_orderkey", "left")
             .groupBy("o_custkey")
             .agg(
                 F.count(F.lit(1)).alias("n_orders"),
@@ -185,15 +188,17 @@ class CreditTables:
     def wide(self) -> DataFrame:
         """The 198-column feature table, one row per customer, with reproducible draws."""
         keys = self.raw("customer").select(F.col("c_custkey").alias("rn"))
-        return materialize(subject_table(keys, "rn", md5_uniform), "subject-features-wide")
+        # A few ids cost much computing: spread them over all cores first.
+        spread = keys.repartition(self.spark.sparkContext.defaultParallelism, "rn")
+        return materialize(subject_table(spread, "rn", md5_uniform), "subject-features-wide")
 
     @cached_property
     def hot_subjects(self) -> list:
         return hot_keys(self.applications, "subject_id")
 
     @cached_property
-    def mart(self) -> DataFrame:
-        return mart_applications(
+    def mart(self) -> ApplicationMart:
+        return ApplicationMart(
             self.applications, self.region, self.product, self.lender,
             self.scores, self.subjects, self.hot_subjects,
         )

@@ -119,7 +119,6 @@ def stream_feature_refresh(
     a batch again gives the same version again.
     """
     spark = base.sparkSession
-    last = {"number": -1}
 
     def path(number: int) -> str:
         return f"{versions}/version={number}"
@@ -128,12 +127,11 @@ def stream_feature_refresh(
         before = base if number == 0 else spark.read.schema(base.schema).parquet(path(number - 1))
         updated = upsert(before, summarise(batch), key, increments)
         updated.write.mode("overwrite").parquet(path(number))
-        last["number"] = number
 
     run_available(changes, each, checkpoint)
-    if last["number"] < 0:
-        return base
-    return spark.read.schema(base.schema).parquet(path(last["number"]))
+    stored = spark.read.option("basePath", versions).parquet(versions)
+    newest = stored.agg(F.max("version")).first()[0]
+    return spark.read.schema(base.schema).parquet(path(newest))
 
 
 def stream_paths(spark: SparkSession, name: str) -> tuple[str, str]:

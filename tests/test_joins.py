@@ -7,6 +7,7 @@ from riskloom.operators.joins import (
     attach_features,
     broadcast_if_small,
     hot_keys,
+    left_join_dimension,
     left_join_lookups,
     rows_with_keys,
     upsert,
@@ -31,8 +32,10 @@ def lookup(spark):
 
 
 def test_hot_keys_finds_the_heavy_key_and_null_only(skewed):
-    assert sorted(hot_keys(skewed, "k", 0.01), key=str) == [7, None]
-    assert hot_keys(skewed.where("row_id < 0"), "k") == []
+    assert sorted(hot_keys(skewed, "k", 0.01, min_rows=0), key=str) == [7, None]
+    assert hot_keys(skewed, "k", 0.01, min_rows=1000) == [7]
+    assert hot_keys(skewed, "k") == []
+    assert hot_keys(skewed.where("row_id < 0"), "k", min_rows=0) == []
 
 
 def test_salted_join_equals_plain_join(spark, skewed, lookup):
@@ -74,6 +77,14 @@ def test_salted_join_shuffles_the_facts_once(spark, skewed, lookup):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_large_dimension_is_salted_instead_of_broadcast(skewed, lookup):
+    small = left_join_dimension(skewed, lookup, "k", "row_id")
+    large = left_join_dimension(skewed, lookup, "k", "row_id", max_rows=100)
+    assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in large._jdf.queryExecution().logical().toString().lower()
+    assert small.exceptAll(large.select(small.columns)).count() == 0
+
+
 def test_broadcast_needs_a_counted_size(spark):
     def hinted(df):
         return "broadcast" in df._jdf.queryExecution().logical().toString().lower()

@@ -7,7 +7,13 @@ from riskloom.functions.filters import FilterSpec
 from riskloom.functions.hashing import fast_uniform
 from riskloom.plans import metrics, tiles, trends
 from riskloom.plans.features import FeatureView, credit_bureau_features, dataset_snapshot, training_set
-from riskloom.plans.mart import MONTHLY_KEYS, mart_app_monthly, mart_applications, score_results
+from riskloom.plans.mart import (
+    MART_COLUMNS,
+    MONTHLY_KEYS,
+    ApplicationMart,
+    mart_app_monthly,
+    score_results,
+)
 from riskloom.sources.synthetic import generate_subjects
 
 
@@ -38,7 +44,7 @@ def parts(spark):
 
 @pytest.fixture(scope="module")
 def mart(parts):
-    return mart_applications(*parts)
+    return ApplicationMart(*parts).all_columns()
 
 
 def test_mart_keeps_every_application(mart):
@@ -65,7 +71,7 @@ def test_decision_is_the_applications(mart):
 
 
 def test_hot_subject_gives_the_same_mart(parts, mart):
-    salted = mart_applications(*parts, hot=["s1", None])
+    salted = ApplicationMart(*parts, hot=["s1", None]).all_columns()
     assert sorted(map(str, salted.collect())) == sorted(map(str, mart.collect()))
 
 
@@ -175,3 +181,17 @@ def test_feature_view_versions_and_training_set(spark, tmp_path):
     assert training_set(spine, [view]).count() == 301
     for _ in range(2):
         assert dataset_snapshot(spine, [view], root).count() == 301
+
+
+def test_mart_joins_only_what_is_asked_for(parts, mart):
+    source = ApplicationMart(*parts)
+
+    def joins(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter")
+
+    assert joins(source.select("app_month", "decision")) == 0
+    assert joins(source.select("island_group")) == 1
+    assert joins(source.select("risk_segment", "default_flag", "lender_name")) == 3
+    for name in MART_COLUMNS:
+        pair = dict.fromkeys(["application_id", name])
+        assert source.select(*pair).exceptAll(mart.select(*pair)).count() == 0, name
