@@ -21,9 +21,10 @@ def dti_nullable(installment: Column, income: Column) -> Column:
     return installment / F.nullif(income, F.lit(0.0))
 
 
-def credit_score(pd: Column) -> Column:
-    """Score 300..850; halves round away from zero."""
-    return 300 + F.round(550 * (1 - pd))
+def credit_score(pd: Column, half_even: bool = False) -> Column:
+    """Score 300..850; halves round away from zero, or to the even neighbour as in request scripts."""
+    points = 550 * (1 - pd)
+    return 300 + (F.bround(points) if half_even else F.round(points))
 
 
 def decision_band(pd: Column) -> Column:

@@ -57,13 +57,20 @@ def _newton_sums(
 def fit_all(
     rows: DataFrame,
     candidates: dict[int, list[int]],
+    start: np.ndarray | None = None,
     c: float = 1.0,
     max_iter: int = 25,
-    tolerance: float = 1e-8,
+    tolerance: float = 1e-6,
 ) -> dict[int, np.ndarray]:
     """L2-penalised logistic regression (penalty 1/c on the sum of losses, intercept free) for every
-    candidate feature set: one Spark job per Newton step, whatever the number of candidates."""
-    weights = {name: np.zeros(len(columns) + 1) for name, columns in candidates.items()}
+    candidate feature set: one Spark job per Newton step, whatever the number of candidates.
+
+    `start` holds the weights of the features that all candidates share, which come first."""
+    known = np.zeros(1) if start is None else start
+    weights = {
+        name: np.concatenate([known, np.zeros(len(columns) + 1 - len(known))])
+        for name, columns in candidates.items()
+    }
     active = dict(candidates)
     for _ in range(max_iter):
         sums = _newton_sums(rows, active, weights)
@@ -105,12 +112,12 @@ def forward_selection(
     train, held_out = prepared(fit, "stepwise-fit"), prepared(validate, "stepwise-validate")
     chosen: list[int] = []
     steps: list[Step] = []
-    best = 0.5
+    best, reached = 0.5, None
     for _ in range(max_rounds):
         candidates = {i: [*chosen, i] for i in range(len(features)) if i not in chosen}
         if not candidates:
             break
-        weights = fit_all(train, candidates)
+        weights = fit_all(train, candidates, reached)
         scores = [
             sum((F.lit(float(w)) * F.col("x")[j] for j, w in zip(candidates[i], weights[i][1:])), F.lit(0.0))
             .alias(str(i))
@@ -122,7 +129,7 @@ def forward_selection(
         winner = max(sorted(aucs), key=lambda i: aucs[i], default=None)
         if winner is None or aucs[winner] <= best + min_gain:
             break
-        best = aucs[winner]
+        best, reached = aucs[winner], weights[winner]
         chosen.append(winner)
         steps.append(Step(features[winner], best))
     return steps

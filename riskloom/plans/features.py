@@ -71,7 +71,7 @@ def training_set(spine: DataFrame, views: list[FeatureView]) -> DataFrame:
 
 
 def dataset_snapshot(
-    spine: DataFrame, views: list[FeatureView], root: str, name: str = "CLIK_PD_TRAINING_SET"
+    spine: DataFrame, views: list[FeatureView], root: str, name: str = "PD_TRAINING_SET"
 ) -> DataFrame:
     """Write the training set under its name, replacing the earlier snapshot."""
     return replace_table(training_set(spine, views), f"{root}/{name}")

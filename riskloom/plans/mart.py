@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import columns as c
 from riskloom.operators.joins import left_join_dimension, left_join_lookups
 
-MODEL_VERSION = "V2_SNOWPARK_ML"
+MODEL_VERSION = "V2_SPARK_ML"
 MONTHLY_KEYS = [
     "app_month", "app_year", "region_name", "island_group", "product_name", "product_class",
     "lender_type", "channel", "decision", "risk_segment", "score_band",

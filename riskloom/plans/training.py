@@ -31,7 +31,9 @@ def _boosted(features: list[str], label: str, weight: str, **parameters) -> Pipe
 
 def _with_checkpoints(df: DataFrame) -> None:
     """Boosting cuts its lineage every ten trees if a checkpoint folder is known."""
-    df.sparkSession.sparkContext.setCheckpointDir(scratch_root(df.sparkSession))
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_root(df.sparkSession))
 
 
 def train_gbt_weighted(

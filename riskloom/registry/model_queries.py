@@ -101,8 +101,8 @@ def rank_models(t: CreditTables) -> DataFrame:
     comparison = materialize(model_comparison(t).coalesce(1), "model-comparison")
     best = training.best_model(comparison.orderBy(F.desc("auc"), "model"))
     root = scratch_path(t.spark, "models")
-    training.save_model(run.all_models()[best], comparison, root, "CLIK_PD_MODEL", "V2")
-    _, stored = training.load_model(t.spark, root, "CLIK_PD_MODEL", "V2")
+    training.save_model(run.all_models()[best], comparison, root, "PD_MODEL", "V2")
+    _, stored = training.load_model(t.spark, root, "PD_MODEL", "V2")
     return stored.orderBy(F.desc("auc"), "model")
 
 

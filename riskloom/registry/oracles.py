@@ -72,7 +72,7 @@ subjects AS (
 scores AS (
   SELECT subject_id, pd_true_prob AS pd_probability, 300 + round(550 * (1 - pd_true_prob)) AS credit_score,
     CASE WHEN pd_true_prob < 0.10 THEN 'APPROVE' WHEN pd_true_prob < 0.30 THEN 'REVIEW' ELSE 'REJECT' END AS decision,
-    TIMESTAMP '2024-01-31 00:00:00' AS scored_at, 'V2_SNOWPARK_ML' AS model_version
+    TIMESTAMP '2024-01-31 00:00:00' AS scored_at, 'V2_SPARK_ML' AS model_version
   FROM subjects WHERE monthly_income > 0),
 predictions AS (
   SELECT event_id, ts AS scored_at, user_id AS subject_id, value, pd_true_prob, default_flag
@@ -450,7 +450,7 @@ def oracles() -> dict[str, str]:
                FROM apps"""
         ),
         "add_scored_at": credit(
-            "SELECT subject_id, TIMESTAMP '2024-01-31 00:00:00' AS scored_at, 'V2_SNOWPARK_ML' AS model_version FROM subjects"
+            "SELECT subject_id, TIMESTAMP '2024-01-31 00:00:00' AS scored_at, 'V2_SPARK_ML' AS model_version FROM subjects"
         ),
         # filters
         "lookup_one": wide(f"SELECT {LOOKUP} FROM wide WHERE subject_id = 'SUBJ000000042'"),
@@ -653,7 +653,7 @@ def oracles() -> dict[str, str]:
         "score_batch": wide(
             """SELECT subject_id, pd_true_prob AS pd_probability, 300 + round(550 * (1 - pd_true_prob)) AS credit_score,
                  CASE WHEN pd_true_prob < 0.10 THEN 'APPROVE' WHEN pd_true_prob < 0.30 THEN 'REVIEW' ELSE 'REJECT' END AS decision,
-                 TIMESTAMP '2024-01-31 00:00:00' AS scored_at, 'V2_SNOWPARK_ML' AS model_version FROM wide"""
+                 TIMESTAMP '2024-01-31 00:00:00' AS scored_at, 'V2_SPARK_ML' AS model_version FROM wide"""
         ),
         # feature views, drift
         "feature_view": wide(_core_select()),

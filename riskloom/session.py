@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,11 +34,15 @@ def scratch_root(spark: SparkSession) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="riskloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root(spark.sparkContext.applicationId)
     return root.rstrip("/")
 
 
+@cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"riskloom-{application}-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the scratch root; never reused, so nothing has to be cleared."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"

@@ -28,8 +28,10 @@ def test_score_bands_at_their_bounds_and_without_score(rows):
 
 
 def test_score_rounds_halves_away_from_zero(rows):
-    df = rows("pd double", (0.0,), (1.0,), (0.05,), (0.11,))
-    assert values(df, c.credit_score(F.col("pd"))) == [850.0, 300.0, 823.0, 790.0]
+    df = rows("pd double", (0.0,), (1.0,), (0.05,), (0.11,), (0.75,))
+    assert values(df, c.credit_score(F.col("pd"))) == [850.0, 300.0, 823.0, 790.0, 438.0]
+    even = values(df, c.credit_score(F.col("pd"), half_even=True))
+    assert even == [850.0, 300.0, 822.0, 790.0, 438.0]
 
 
 def test_both_debt_to_income_definitions(rows):
