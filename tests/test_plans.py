@@ -16,9 +16,11 @@ def mart(spark):
     source = ApplicationMart(t.applications, t.region, t.product, t.lender, t.scores, t.subjects, [])
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
     yield source
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
 def plan(df):
