@@ -13,14 +13,15 @@ HOT_ROWS = 100_000
 SALTS = 64
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` with a broadcast hint if it is counted to hold at most `max_rows` rows, else unchanged.
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether `df` holds at most `max_rows` rows; counting stops one row beyond."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
-    Counting stops at max_rows + 1. Beyond the bound Catalyst and AQE choose a shuffled join.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """`df` with a broadcast hint if it is counted to be small, else unchanged: beyond the bound
+    Catalyst and AQE choose a shuffled join."""
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def hot_keys(
@@ -79,10 +80,13 @@ def left_join_lookups(
 
 
 def left_join_dimension(
-    facts: DataFrame, dimension: DataFrame, key: str, row_key: str, max_rows: int = BROADCAST_ROWS
+    facts: DataFrame, dimension: DataFrame, key: str, row_key: str, small: bool | None = None
 ) -> DataFrame:
-    """Left-join a dimension with unique `key`: broadcast if it is counted to be small, else salted."""
-    if dimension.limit(max_rows + 1).count() <= max_rows:
+    """Left-join a dimension with unique `key`: broadcast if it is counted to be small, else salted.
+
+    `small` is the outcome of an earlier count.
+    """
+    if is_small(dimension) if small is None else small:
         return facts.join(F.broadcast(dimension), key, "left")
     return left_join_lookups(facts, [dimension], key, row_key)
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import columns as c
-from riskloom.operators.joins import left_join_dimension, left_join_lookups
+from riskloom.operators.joins import is_small, left_join_dimension, left_join_lookups
 
 MODEL_VERSION = "V2_SPARK_ML"
 MONTHLY_KEYS = [
@@ -63,7 +63,7 @@ MART_INPUTS = {
 MART_COLUMNS = list(MART_INPUTS)
 
 
-@dataclass(frozen=True)
+@dataclass
 class ApplicationMart:
     """One row per application with its dimensions, score and subject columns.
 
@@ -80,6 +80,13 @@ class ApplicationMart:
     scores: DataFrame
     features: DataFrame
     hot: list | None = None
+    _small: dict[str, bool] = field(default_factory=dict, repr=False)
+
+    def _is_small(self, code: str, dimension: DataFrame) -> bool:
+        """Each dimension is counted once, when it is first joined."""
+        if code not in self._small:
+            self._small[code] = is_small(dimension)
+        return self._small[code]
 
     def select(self, *names: str) -> DataFrame:
         wanted = list(dict.fromkeys(names))
@@ -95,7 +102,8 @@ class ApplicationMart:
             used = [n for n in dimension.columns if n in inputs]
             if used:
                 keyed = dimension.select(F.col(code).alias(f"_{code}"), *used)
-                facts = left_join_dimension(facts, keyed, f"_{code}", "application_id")
+                small = self._is_small(code, dimension)
+                facts = left_join_dimension(facts, keyed, f"_{code}", "application_id", small)
         lookups = []
         for table, columns in [
             (self.scores, ["pd_probability", "credit_score"]),

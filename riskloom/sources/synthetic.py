@@ -99,22 +99,24 @@ def bureau_draws(attributes: int = 60, components: int = 10) -> dict[str, Draw]:
 
 
 def subject_table(keys: DataFrame, key: str, uniform: Uniform = fast_uniform) -> DataFrame:
-    """Subject features for every key: a narrow job of two projections, no shuffle.
+    """Subject features for every key: a narrow job without a shuffle.
 
-    Each value depends only on (key, column name), so any partitioning gives the same table.
+    Each value depends only on (key, column name), so any partitioning gives the same table. The few
+    columns behind the default probability are drawn first; the wide row is built only once.
     """
-    id_ = F.col(key)
+    id_ = F.col("_id")
     draws = CORE_DRAWS | bureau_draws()
-    drawn = keys.select(
-        c.padded_key("SUBJ", id_, 9).alias("subject_id"),
-        *[d.column(id_, name, uniform) for name, d in draws.items()],
-        NOISE.column(id_, "u_noise", uniform),
+    drivers = [n for n, *_ in fv.LOGIT_TERMS if n in draws] + ["monthly_installment"]
+    first = keys.select(
+        F.col(key).alias("_id"),
+        *[draws[n].column(F.col(key), n, uniform) for n in drivers],
+        NOISE.column(F.col(key), "u_noise", uniform),
     )
     ratio = c.dti_nullable(F.col("monthly_installment"), F.col("monthly_income"))
-    labelled = drawn.withColumn("pd_true", c.probability(c.latent_logit(ratio)))
-    return labelled.select(
-        "subject_id",
-        *draws,
+    with_pd = first.withColumn("pd_true", c.probability(c.latent_logit(ratio)))
+    return with_pd.select(
+        c.padded_key("SUBJ", id_, 9).alias("subject_id"),
+        *[F.col(n) if n in drivers else d.column(id_, n, uniform) for n, d in draws.items()],
         "pd_true",
         F.round("pd_true", 6).alias("pd_true_prob"),
         c.bernoulli_label(F.col("u_noise"), F.col("pd_true")).alias("default_flag"),

@@ -210,7 +210,9 @@ class CreditTables:
             "event_id", F.col("ts").alias("scored_at"), F.col("user_id").alias("subject_id"), "value"
         )
         known = self.subjects.select("subject_id", "pd_true_prob", "default_flag")
-        return left_join_lookups(requests, [known], "subject_id", "event_id")
+        return materialize(
+            left_join_lookups(requests, [known], "subject_id", "event_id"), "predictions"
+        )
 
 
 def _int(column: Column) -> Column:

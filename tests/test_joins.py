@@ -79,7 +79,7 @@ def test_salted_join_shuffles_the_facts_once(spark, skewed, lookup):
 
 def test_large_dimension_is_salted_instead_of_broadcast(skewed, lookup):
     small = left_join_dimension(skewed, lookup, "k", "row_id")
-    large = left_join_dimension(skewed, lookup, "k", "row_id", max_rows=100)
+    large = left_join_dimension(skewed, lookup, "k", "row_id", small=False)
     assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" not in large._jdf.queryExecution().logical().toString().lower()
     assert small.exceptAll(large.select(small.columns)).count() == 0

@@ -5,6 +5,7 @@ import pytest
 from riskloom.functions.filters import FilterSpec
 from riskloom.plans import tiles
 from riskloom.plans.mart import ApplicationMart, mart_app_monthly
+from riskloom.sources.tables import write_bucketed
 from riskloom.sources.testtables import credit_tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -51,3 +52,20 @@ def test_monthly_table_aggregates_before_its_shuffle(mart):
     text = plan(mart_app_monthly(mart))
     assert text.count("partial_count") >= 1
     assert text.count("Exchange hashpartitioning") == 4
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, mart, tmp_path):
+    def stored(df, name):
+        return write_bucketed(df, name, str(tmp_path / name), "subject_id", 4)
+
+    try:
+        co_located = ApplicationMart(
+            stored(mart.applications, "apps_b"), mart.region, mart.product, mart.lender,
+            stored(mart.scores, "scores_b"), stored(mart.features, "features_b"), [],
+        )
+        text = plan(co_located.all_columns())
+        assert "Exchange hashpartitioning" not in text and text.count("SortMergeJoin") == 2
+        assert co_located.all_columns().exceptAll(mart.all_columns()).count() == 0
+    finally:
+        for name in ("apps_b", "scores_b", "features_b"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -54,6 +54,13 @@ def test_compressed_file_and_repeated_append(spark, tmp_path):
     assert tables.replace_table(empty, table).count() == 0
 
 
+def test_replace_in_another_format_and_by_partition(spark, tmp_path):
+    df = generate_subjects(spark, 50).select("subject_id", "education", "age")
+    orc = tables.replace_table(df, str(tmp_path / "orc"), file_format="orc")
+    split = tables.replace_table(df, str(tmp_path / "split"), ["education"])
+    assert orc.exceptAll(df).count() == 0 and split.select(df.columns).exceptAll(df).count() == 0
+
+
 def test_key_violations(rows):
     df = rows("id int", (1,), (2,), (2,), (None,))
     assert {r.id: r.occurrences for r in tables.key_violations(df, "id").collect()} == {2: 2, None: 1}

@@ -83,3 +83,19 @@ def test_performance_per_day(spark):
     rows = drift.performance_by_day(df, "at", "p", "y").orderBy("day").collect()
     assert (rows[0].n, rows[0].accuracy, rows[0].auc) == (3, pytest.approx(2 / 3), 1.0)
     assert (rows[1].n, rows[1].accuracy, rows[1].auc) == (1, 1.0, None)
+
+
+def test_rows_beyond_the_lateness_are_dropped(spark, tmp_path):
+    folder = str(tmp_path / "late")
+    first = spark.createDataFrame([("2024-01-01", 1.0), ("2024-01-09", 5.0)], "day string, value double")
+    second = spark.createDataFrame([("2024-01-09", 6.0)], "day string, value double")
+    late = spark.createDataFrame([("2024-01-01", 9.0), ("2024-01-09", 7.0)], "day string, value double")
+    for part in (first, second, late):
+        part.withColumn("at", F.col("day").cast("timestamp_ntz")).coalesce(1).write.mode("append").parquet(folder)
+    schema = spark.read.parquet(folder).schema
+    got = jobs.stream_drift(
+        jobs.table_stream(spark, folder, schema, files_per_batch=1), spark.read.parquet(folder), "at",
+        "value", str(tmp_path / "s"), str(tmp_path / "o"),
+    )
+    means = {str(r.day): r.n for r in got.collect()}
+    assert means == {"2024-01-01": 1, "2024-01-09": 3}
