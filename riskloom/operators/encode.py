@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,9 +83,3 @@ def standard_scale(df: DataFrame, parameters: dict[str, tuple[float, float]]) ->
             for n in df.columns
         ]
     )
-
-
-def assemble(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
-    """`keep` columns and one vector column `features`."""
-    assembler = VectorAssembler(inputCols=columns, outputCol="features")
-    return assembler.transform(df).select(*keep, "features")

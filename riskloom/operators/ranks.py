@@ -139,7 +139,8 @@ def smallest_hash_rows(
     fraction: float | None = None,
     edge_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
-    """The rows with the smallest key hashes: exactly `n`, or a rounded `fraction` of each stratum.
+    """The rows with the smallest hashes of a unique key: exactly `n`, or a rounded `fraction` of each
+    stratum (strata are few, such as label values).
 
     A histogram over the leading hash bits finds, per stratum, the bucket in which the quota is
     reached; rows of lower buckets are kept without a sort and only the rows of that one bucket are

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.fixed_values import NULL_TOKENS
+from riskloom.sources.tables import append_table
 
 
 def read_text_fields(
@@ -40,7 +41,7 @@ def read_delimited(
 
 def append_delimited(spark: SparkSession, path: str, schema: T.StructType, table_path: str) -> None:
     """Append the rows of a file to a table, also when that file was loaded before."""
-    read_delimited(spark, path, schema).write.mode("append").parquet(table_path)
+    append_table(read_delimited(spark, path, schema), table_path)
 
 
 def write_delimited(df: DataFrame, path: str, null_token: str = "NULL") -> None:
