@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from collections.abc import Callable
+from dataclasses import dataclass
+
+from riskloom.functions.hashing import fast_uniform_sql
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+Uniform = Callable[[str, str], str]
 
-from riskloom.functions.hashing import fast_uniform
 
-Uniform = Callable[[Column, str], Column]
+def number(value: float) -> str:
+    return f"{float(value)!r}D"
 
 
-def round_half_up(value: Column, digits: int) -> Column:
+def round_half_up_sql(value: str, digits: int) -> str:
     """Round by scaling and flooring: several times cheaper per value than the decimal `round`."""
-    unit = F.lit(float(10**digits))
-    return F.floor(value * unit + F.lit(0.5)) / unit
+    unit = number(10**digits)
+    return f"floor({value} * {unit} + 0.5D) / {unit}"
 
 
 @dataclass(frozen=True)
@@ -37,25 +38,27 @@ class Draw:
     options: tuple = ()
     weights: tuple = ()
 
-    def column(self, key: Column, name: str, uniform: Uniform = fast_uniform) -> Column:
+    def sql(self, key: str, name: str, uniform: Uniform = fast_uniform_sql) -> str:
+        """SQL text of the column `name` for the row key column `key`."""
         u = uniform(key, name)
         if self.kind == "choice":
-            return self._choice(u).alias(name)
-        value = F.lit(float(self.low)) + u * F.lit(float(self.high - self.low))
+            return f"{self._choice(u)} AS {name}"
+        value = f"({number(self.low)} + {u} * {number(self.high - self.low)})"
         if self.kind.startswith("product"):
-            value = uniform(key, name + "/2") * value
+            value = f"({uniform(key, name + '/2')} * {value})"
         if self.kind.endswith("integer"):
-            return F.floor(value).cast("int").alias(name)
+            return f"cast(floor({value}) AS int) AS {name}"
         if self.cap is not None:
-            value = F.least(F.lit(float(self.cap)), value)
-        return round_half_up(value, self.digits).alias(name)
+            value = f"least({number(self.cap)}, {value})"
+        return f"{round_half_up_sql(value, self.digits)} AS {name}"
 
-    def _choice(self, u: Column) -> Column:
+    def _choice(self, u: str) -> str:
+        options = [f"'{o}'" if isinstance(o, str) else str(o) for o in self.options]
         if not self.weights:
-            index = F.floor(u * len(self.options)).cast("int")
-            return F.element_at(F.array(*[F.lit(o) for o in self.options]), index + 1)
-        picked, reached, total = F, 0, sum(self.weights)
-        for option, weight in zip(self.options[:-1], self.weights):
+            index = f"cast(floor({u} * {len(options)}) AS int) + 1"
+            return f"element_at(array({', '.join(options)}), {index})"
+        branches, reached = [], 0
+        for option, weight in zip(options[:-1], self.weights):
             reached += weight
-            picked = picked.when(u < reached / total, F.lit(option))
-        return picked.otherwise(F.lit(self.options[-1]))
+            branches.append(f"WHEN {u} < {number(reached / sum(self.weights))} THEN {option}")
+        return f"CASE {' '.join(branches)} ELSE {options[-1]} END"

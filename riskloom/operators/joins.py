@@ -31,7 +31,8 @@ def hot_keys(
     rows: at most 1/share of them.
 
     The frequent-item sketch is one scan of one column without a shuffle and misses no such key;
-    the exact count that follows drops its false positives.
+    the exact count that follows drops its false positives. Give it a stored table, since `df` is
+    read several times.
     """
     column = df.select(F.col(key).alias("k"))
     if column.limit(min_rows + 1).count() <= min_rows:
@@ -80,21 +81,28 @@ def left_join_lookups(
 
 
 def left_join_dimension(
-    facts: DataFrame, dimension: DataFrame, key: str, row_key: str, small: bool | None = None
+    facts: DataFrame,
+    dimension: DataFrame,
+    key: str,
+    row_key: str,
+    small: bool | None = None,
+    hot: list | None = None,
 ) -> DataFrame:
     """Left-join a dimension with unique `key`: broadcast if it is counted to be small, else salted.
 
-    `small` is the outcome of an earlier count.
+    `small` is the outcome of an earlier count, `hot` the hot keys if they are known.
     """
     if is_small(dimension) if small is None else small:
         return facts.join(F.broadcast(dimension), key, "left")
-    return left_join_lookups(facts, [dimension], key, row_key)
+    return left_join_lookups(facts, [dimension], key, row_key, hot)
 
 
-def attach_features(requests: DataFrame, features: DataFrame, key: str, row_key: str) -> DataFrame:
+def attach_features(
+    requests: DataFrame, features: DataFrame, key: str, row_key: str, hot: list | None = None
+) -> DataFrame:
     """Requests with their features; a request whose key is unknown is dropped."""
     marked = features.withColumn("_found", F.lit(True))
-    return left_join_lookups(requests, [marked], key, row_key).where("_found").drop("_found")
+    return left_join_lookups(requests, [marked], key, row_key, hot).where("_found").drop("_found")
 
 
 def rows_with_keys(df: DataFrame, key: str, wanted: DataFrame | list) -> DataFrame:

@@ -8,7 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import columns as c
-from riskloom.operators.joins import is_small, left_join_dimension, left_join_lookups
+from riskloom.operators.joins import (
+    hot_keys,
+    is_small,
+    left_join_dimension,
+    left_join_lookups,
+)
 
 MODEL_VERSION = "V2_SPARK_ML"
 MONTHLY_KEYS = [
@@ -80,13 +85,14 @@ class ApplicationMart:
     scores: DataFrame
     features: DataFrame
     hot: list | None = None
-    _small: dict[str, bool] = field(default_factory=dict, repr=False)
+    _treatment: dict[str, tuple[bool, list]] = field(default_factory=dict, repr=False)
 
-    def _is_small(self, code: str, dimension: DataFrame) -> bool:
-        """Each dimension is counted once, when it is first joined."""
-        if code not in self._small:
-            self._small[code] = is_small(dimension)
-        return self._small[code]
+    def _how_to_join(self, code: str, dimension: DataFrame) -> tuple[bool, list]:
+        """Whether a dimension is small, else its hot codes; found once, when it is first joined."""
+        if code not in self._treatment:
+            small = is_small(dimension)
+            self._treatment[code] = (small, [] if small else hot_keys(self.applications, code))
+        return self._treatment[code]
 
     def select(self, *names: str) -> DataFrame:
         wanted = list(dict.fromkeys(names))
@@ -102,8 +108,8 @@ class ApplicationMart:
             used = [n for n in dimension.columns if n in inputs]
             if used:
                 keyed = dimension.select(F.col(code).alias(f"_{code}"), *used)
-                small = self._is_small(code, dimension)
-                facts = left_join_dimension(facts, keyed, f"_{code}", "application_id", small)
+                small, hot = self._how_to_join(code, dimension)
+                facts = left_join_dimension(facts, keyed, f"_{code}", "application_id", small, hot)
         lookups = []
         for table, columns in [
             (self.scores, ["pd_probability", "credit_score"]),
@@ -113,6 +119,8 @@ class ApplicationMart:
             if used:
                 lookups.append(table.select("subject_id", *used))
         if lookups:
+            if self.hot is None:
+                self.hot = hot_keys(self.applications, "subject_id")
             facts = left_join_lookups(facts, lookups, "subject_id", "application_id", self.hot)
         day = F.col("app_date")
         derived = {

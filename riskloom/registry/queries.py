@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from riskloom.functions import columns as c
 from riskloom.functions import fixed_values as fv
 from riskloom.functions.filters import FilterSpec, last_days
-from riskloom.functions.hashing import md5_uniform
+from riskloom.functions.hashing import md5_uniform, md5_uniform_sql
 from riskloom.functions.naming import clean_columns
 from riskloom.operators import drift, encode, evaluate, ranks
 from riskloom.operators.joins import attach_features, rows_with_keys, upsert
@@ -142,7 +142,7 @@ def synthetic_features(t: CreditTables) -> DataFrame:
 @register
 def synthetic_applications(t: CreditTables) -> DataFrame:
     keys = t.raw("orders").select("o_orderkey")
-    return synthetic.application_table(keys, "o_orderkey", 1_000_000, md5_uniform)
+    return synthetic.application_table(keys, "o_orderkey", 1_000_000, md5_uniform_sql)
 
 
 @register

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import columns as c
 from riskloom.functions import fixed_values as fv
 from riskloom.functions.draws import Draw, Uniform
-from riskloom.functions.hashing import fast_uniform
+from riskloom.functions.hashing import fast_uniform_sql
 
 
 def _integer(high: float, low: float = 0) -> Draw:
@@ -98,28 +98,31 @@ def bureau_draws(attributes: int = 60, components: int = 10) -> dict[str, Draw]:
     return draws
 
 
-def subject_table(keys: DataFrame, key: str, uniform: Uniform = fast_uniform) -> DataFrame:
+def subject_table(keys: DataFrame, key: str, uniform: Uniform = fast_uniform_sql) -> DataFrame:
     """Subject features for every key: a narrow job without a shuffle.
 
     Each value depends only on (key, column name), so any partitioning gives the same table. The few
     columns behind the default probability are drawn first; the wide row is built only once.
     """
-    id_ = F.col("_id")
     draws = CORE_DRAWS | bureau_draws()
     drivers = [n for n, *_ in fv.LOGIT_TERMS if n in draws] + ["monthly_installment"]
-    first = keys.select(
-        F.col(key).alias("_id"),
-        *[draws[n].column(F.col(key), n, uniform) for n in drivers],
-        NOISE.column(F.col(key), "u_noise", uniform),
+    first = keys.selectExpr(
+        f"{key} AS _id",
+        *[draws[n].sql(key, n, uniform) for n in drivers],
+        NOISE.sql(key, "u_noise", uniform),
     )
     ratio = c.dti_nullable(F.col("monthly_installment"), F.col("monthly_income"))
-    with_pd = first.withColumn("pd_true", c.probability(c.latent_logit(ratio)))
-    return with_pd.select(
-        c.padded_key("SUBJ", id_, 9).alias("subject_id"),
-        *[F.col(n) if n in drivers else d.column(id_, n, uniform) for n, d in draws.items()],
+    with_pd = (
+        first.withColumn("pd_true", c.probability(c.latent_logit(ratio)))
+        .withColumn("subject_id", c.padded_key("SUBJ", F.col("_id"), 9))
+        .withColumn("default_flag", c.bernoulli_label(F.col("u_noise"), F.col("pd_true")))
+    )
+    return with_pd.selectExpr(
+        "subject_id",
+        *[n if n in drivers else d.sql("_id", n, uniform) for n, d in draws.items()],
         "pd_true",
-        F.round("pd_true", 6).alias("pd_true_prob"),
-        c.bernoulli_label(F.col("u_noise"), F.col("pd_true")).alias("default_flag"),
+        "round(pd_true, 6) AS pd_true_prob",
+        "default_flag",
     )
 
 
@@ -131,47 +134,42 @@ def application_table(
     keys: DataFrame,
     key: str,
     n_subjects: int,
-    uniform: Uniform = fast_uniform,
+    uniform: Uniform = fast_uniform_sql,
     first: dt.date = dt.date(2025, 1, 1),
     last: dt.date = dt.date(2026, 6, 30),
 ) -> DataFrame:
     """Loan applications for every key, with the domains and odds of the sample log."""
-    id_ = F.col(key)
 
-    def pick(name: str, options: list, weights: list | None = None):
-        return Draw("choice", options=tuple(options), weights=tuple(weights or ())).column(
-            id_, name, uniform
-        )
+    def pick(name: str, options: list, weights: list | None = None) -> str:
+        return Draw("choice", options=tuple(options), weights=tuple(weights or ())).sql(key, name, uniform)
 
-    codes = [code for code, _, _ in fv.PRODUCTS]
+    drawn = keys.selectExpr(
+        f"{key} AS _id",
+        pick("region_code", fv.REGION_CODES),
+        pick("product_code", [code for code, _, _ in fv.PRODUCTS], fv.PRODUCT_WEIGHTS),
+        pick("lender_code", [code for code, _, _ in fv.LENDERS]),
+        pick("channel", fv.CHANNELS, fv.CHANNEL_WEIGHTS),
+        pick("tenor", fv.TENORS),
+        *[f"{uniform(key, n)} AS u_{n}" for n in ("subject", "day", "amount", "decision")],
+    )
     base = F.element_at(
         F.create_map(*[F.lit(x) for pair in fv.PRODUCT_BASE_AMOUNT.items() for x in pair]),
         F.col("product_code"),
     )
+    amount = F.round(base * (0.4 + 1.4 * F.col("u_amount")), -4)
     approve = (
         F.lit(0.62)
         + F.when(F.col("channel").isin("Branch", "Agent"), 0.08).otherwise(-0.03)
         + F.when(F.col("product_code").isin("KPR", "KKB"), 0.05).otherwise(-0.04)
     )
     days = (last - first).days + 1
-    drawn = keys.select(
-        c.padded_key("APP", id_, 8).alias("application_id"),
-        c.padded_key("SUBJ", F.floor(uniform(id_, "subject") * n_subjects), 9).alias("subject_id"),
-        F.date_add(F.lit(first), F.floor(uniform(id_, "day") * days).cast("int")).alias("app_date"),
-        pick("region_code", fv.REGION_CODES),
-        pick("product_code", codes, fv.PRODUCT_WEIGHTS),
-        pick("lender_code", [code for code, _, _ in fv.LENDERS]),
-        pick("channel", fv.CHANNELS, fv.CHANNEL_WEIGHTS),
-        pick("tenor", fv.TENORS).cast("decimal(5,0)").alias("tenor_months"),
-        uniform(id_, "amount").alias("u_amount"),
-        uniform(id_, "decision").alias("u_decision"),
-    )
-    amount = F.round(base * (0.4 + 1.4 * F.col("u_amount")), -4)
     return drawn.select(
-        "application_id", "subject_id", "app_date", "region_code", "product_code", "lender_code",
-        "channel",
+        c.padded_key("APP", F.col("_id"), 8).alias("application_id"),
+        c.padded_key("SUBJ", F.floor(F.col("u_subject") * n_subjects), 9).alias("subject_id"),
+        F.date_add(F.lit(first), F.floor(F.col("u_day") * days).cast("int")).alias("app_date"),
+        "region_code", "product_code", "lender_code", "channel",
         amount.cast("decimal(18,0)").alias("requested_amount"),
-        "tenor_months",
+        F.col("tenor").cast("decimal(5,0)").alias("tenor_months"),
         F.when(F.col("u_decision") < approve, "APPROVE")
         .when(F.col("u_decision") < approve + 0.15, "REVIEW")
         .otherwise("REJECT").alias("decision"),

@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions import columns as c
-from riskloom.functions.hashing import md5_uniform
+from riskloom.functions.hashing import md5_uniform, md5_uniform_sql
 from riskloom.operators.joins import (
     attach_features,
     hot_keys,
+    is_small,
     left_join_dimension,
     left_join_lookups,
 )
@@ -95,10 +96,15 @@ class CreditTables:
         status = F.col("o_orderstatus")
         customers = self.raw("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
         parts = self.raw("part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+        orders = self.raw("orders")
+        placed = attach_features(
+            orders, customers, "o_custkey", "o_orderkey", hot_keys(orders, "o_custkey")
+        )
         lines = self._order_lines.select("o_orderkey", "l_partkey", "l_suppkey", "quantity")
-        ordered = self.raw("orders").join(lines, "o_orderkey", "left")
-        placed = attach_features(ordered, customers, "o_custkey", "o_orderkey")
-        joined = left_join_dimension(placed, parts, "l_partkey", "o_orderkey")
+        ordered = placed.join(lines, "o_orderkey", "left")
+        small = is_small(parts)
+        hot_parts = [] if small else hot_keys(lines, "l_partkey")
+        joined = left_join_dimension(ordered, parts, "l_partkey", "o_orderkey", small, hot_parts)
         return materialize(
             joined.select(
                 c.padded_key("APP", F.col("o_orderkey"), 8).alias("application_id"),
@@ -190,17 +196,13 @@ class CreditTables:
         keys = self.raw("customer").select(F.col("c_custkey").alias("rn"))
         # A few ids cost much computing: spread them over all cores first.
         spread = keys.repartition(self.spark.sparkContext.defaultParallelism, "rn")
-        return materialize(subject_table(spread, "rn", md5_uniform), "subject-features-wide")
-
-    @cached_property
-    def hot_subjects(self) -> list:
-        return hot_keys(self.applications, "subject_id")
+        return materialize(subject_table(spread, "rn", md5_uniform_sql), "subject-features-wide")
 
     @cached_property
     def mart(self) -> ApplicationMart:
         return ApplicationMart(
             self.applications, self.region, self.product, self.lender,
-            self.scores, self.subjects, self.hot_subjects,
+            self.scores, self.subjects,
         )
 
     @cached_property

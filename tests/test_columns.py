@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import columns as c
 from riskloom.functions.draws import Draw
 from riskloom.functions.filters import FilterSpec, last_days, previous_month
-from riskloom.functions.hashing import fast_uniform, md5_uniform
+from riskloom.functions.hashing import fast_uniform_sql, md5_uniform, md5_uniform_sql
 from riskloom.functions.naming import clean_names
 
 
@@ -76,15 +76,15 @@ def test_clean_names():
     assert clean_names(raw) == ["GENDER_F", "A_B", "A_B_1", "X_Y", "A_B_2", "MOBILE_APP"]
 
 
-@pytest.mark.parametrize("uniform", [fast_uniform, md5_uniform])
+@pytest.mark.parametrize("uniform", [fast_uniform_sql, md5_uniform_sql])
 def test_draws_keep_their_ranges(spark, uniform):
     keys = spark.range(20000)
-    df = keys.select(
-        Draw("integer", 1, 6).column(F.col("id"), "kol", uniform),
-        Draw("real", -0.5, 0.8, 3).column(F.col("id"), "growth", uniform),
-        Draw("real", 0, 1.5, 3, cap=1.2).column(F.col("id"), "util", uniform),
-        Draw("product_integer", 0, 180).column(F.col("id"), "dpd", uniform),
-        Draw("choice", options=("a", "b"), weights=(3, 1)).column(F.col("id"), "w", uniform),
+    df = keys.selectExpr(
+        Draw("integer", 1, 6).sql("id", "kol", uniform),
+        Draw("real", -0.5, 0.8, 3).sql("id", "growth", uniform),
+        Draw("real", 0, 1.5, 3, cap=1.2).sql("id", "util", uniform),
+        Draw("product_integer", 0, 180).sql("id", "dpd", uniform),
+        Draw("choice", options=("a", "b"), weights=(3, 1)).sql("id", "w", uniform),
     )
     r = df.agg(
         F.min("kol"), F.max("kol"), F.min("growth"), F.max("growth"), F.max("util"), F.avg("dpd"),
@@ -108,3 +108,19 @@ def test_relative_periods(rows):
     df = rows("d date", *[(d,) for d in days])
     assert df.where(previous_month("d", dt.date(2025, 4, 15))).count() == 2
     assert df.where(last_days("d", 1, dt.date(2025, 4, 1))).count() == 1
+
+
+def test_both_forms_of_the_md5_draw_agree(spark):
+    df = spark.range(500).select(
+        md5_uniform(F.col("id"), "x").alias("a"), F.expr(md5_uniform_sql("id", "x")).alias("b")
+    )
+    assert df.where("a != b or a < 0 or a >= 1").count() == 0
+
+
+def test_salts_of_the_subject_table_differ():
+    from zlib import crc32
+
+    from riskloom.sources.synthetic import CORE_DRAWS, bureau_draws
+
+    names = [n + s for n in CORE_DRAWS | bureau_draws() for s in ("", "/2")] + ["u_noise"]
+    assert len({crc32(n.encode()) for n in names}) == len(names)

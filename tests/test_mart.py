@@ -133,7 +133,7 @@ def test_crosstab_margins(parts):
 
 
 def test_histogram_keeps_every_row(spark, rows):
-    df = spark.range(1000).select((fast_uniform(F.col("id"), "p") ** 2).alias("p"), (F.col("id") % 2).alias("y"))
+    df = spark.range(1000).select((fast_uniform("id", "p") ** 2).alias("p"), (F.col("id") % 2).alias("y"))
     out = trends.histogram(df, "p", "y")
     assert out.agg(F.sum("n"), F.min("bin"), F.max("bin")).first()[:] == (1000, 0, 49)
     flat = trends.histogram(rows("p double, y int", (0.5, 1), (0.5, 0), (None, 1)), "p", "y")
