@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import table
+from riskloom.llm.common import small_batches, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 NONE = np.int32(2**31 - 1)
 #: Words whose encodings a task remembers before it starts afresh.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 
 class Merges:
@@ -187,6 +187,7 @@ def replay_word(word: bytes, merges: Merges) -> bytes:
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids: str = "ids") -> DataFrame:
     """`docs` with a binary column `ids`: the tokens as little-endian unsigned 32-bit integers."""
     spark: SparkSession = docs.sparkSession
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(Merges.load(path))
 
     @F.arrow_udf("binary")

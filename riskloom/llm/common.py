@@ -12,6 +12,18 @@ from pyspark.sql import functions as F
 BLOCK_ROWS, BLOCK_CHARS = 4096, 8_000_000
 
 
+#: Rows and bytes that Spark hands to Python at once, so that workers stay small beside their executor.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to the sizes above; only memory and speed depend on it."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        if not 0 < int(spark.conf.get(key).removesuffix("b")) <= most:
+            spark.conf.set(key, str(most))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import table
+from riskloom.llm.common import small_batches, table
 
 BINS = 64
 #: Rows that one range is meant to hold.
@@ -148,6 +148,7 @@ def both_fingerprints(text: str, following: str) -> tuple[str, str, str]:
 
 def in_ranges(docs: DataFrame, id_col: str, text_col: str, range_rows: int) -> DataFrame:
     """(part, guest, id, text), each part sorted; guests are the first rows of the following part."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     place = F.coalesce("id", F.lit(LEAST))
     parts = max(1, -(-rows.count() // range_rows))

@@ -4,8 +4,9 @@ A line's key is the line without ASCII white space at its ends and with A-Z lowe
 least `min_chars` code points that occur in at least `min_docs` rows lose all their lines.
 
 Method: every document gives the hashes of its distinct keys, so that counting a hash counts its
-documents; hashes over the threshold are joined back to the (document, hash) pairs and gathered per
-document, whose lines are then filtered and rejoined in their order.
+documents; hashes over the threshold are joined back to the (document, hash) pairs, the few very
+frequent ones without a shuffle, and gathered per document, whose lines are then filtered and rejoined
+in their order.
 
 Defined cases: a null or empty text is one empty line and stays an empty text; an empty key is never
 dropped; every row counts as one document, repeated rows and ids included; a null id is an id like
@@ -21,10 +22,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import table, text_udf
+from riskloom.llm.common import small_batches, table, text_udf
 from riskloom.session import materialize
 
 MIN_DOCS, MIN_CHARS = 10, 1
+#: A key is hot if it has at least one pair in so many.
+HOT_PARTS = 2000
 _WHITE = b" \t\n\x0b\x0c\r"
 _RESULT = pa.struct([("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept", pa.string())])
 
@@ -41,6 +44,7 @@ def line_keys(text: str | None, min_chars: int = MIN_CHARS) -> list[int | None]:
 
 def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_docs: int, min_chars: int) -> DataFrame:
     """(id, drop): for each document with such lines, the hashes of its lines that are to go."""
+    small_batches(docs.sparkSession)
     keys_of = text_udf(
         "array<bigint>",
         pa.list_(pa.int64()),
@@ -48,9 +52,15 @@ def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_docs: int, m
     )
     keyed = materialize(docs.select(F.col(id_col).alias("id"), keys_of(text_col).alias("keys")), "line-keys")
     pairs = keyed.select("id", F.explode("keys").alias("key"))
-    frequent = pairs.groupBy("key").count().where(F.col("count") >= min_docs).select("key")
-    # A frequent line's rows are many, but its other side is one row: the skewed join is split at run time.
-    return pairs.join(frequent, "key").groupBy("id").agg(F.collect_set("key").alias("drop"))
+    counts = materialize(pairs.groupBy("key").count().where(F.col("count") >= min_docs), "line-counts")
+    n_pairs = keyed.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0]
+    hot = F.col("count") * HOT_PARTS >= n_pairs
+    # Fewer than HOT_PARTS keys can hold such a share of all pairs, so that the broadcast is bounded;
+    # no key of the shuffled join has more than that share.
+    marked = pairs.join(F.broadcast(counts.where(hot).select("key", F.lit(True).alias("hot"))), "key", "left")
+    often = marked.where("hot").select("id", "key")
+    rest = marked.where("hot IS NULL").select("id", "key").join(counts.where(~hot).select("key"), "key")
+    return often.unionByName(rest.select("id", "key")).groupBy("id").agg(F.collect_set("key").alias("drop"))
 
 
 def drop_repeated_lines(

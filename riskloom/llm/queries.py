@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from riskloom.llm import bpe, fingerprint, line_dedup
+from riskloom.llm import bpe, fingerprint, language, line_dedup, quality
 
 
 def llm_queries() -> dict[str, Callable]:
     found = [
         line_dedup.op1_line_dedup,
+        language.op2_language,
+        quality.op4_quality,
         bpe.op9_bpe,
         fingerprint.op10_fingerprints,
     ]
