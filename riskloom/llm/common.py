@@ -59,3 +59,22 @@ def text_udf(kind: str, arrow_type: pa.DataType, prepare: Callable[[], Callable[
             yield pa.concat_arrays(done) if done else pa.array([], type=arrow_type)
 
     return apply
+
+
+#: A key is hot if it has at least one row in so many; fewer keys than this can be hot.
+HOT_PARTS = 2000
+
+
+def join_counted(rows: DataFrame, counted: DataFrame, key: str, total: int) -> DataFrame:
+    """Inner join of `rows` to `counted`, which has one row for each key with the rows of the key in `count`.
+
+    Hot keys, of which there are fewer than HOT_PARTS, are joined by broadcasting their few rows of
+    `counted`; the others by a shuffle in which no key has more than one row in HOT_PARTS of `total`.
+    """
+    hot = F.col("count") * HOT_PARTS >= F.lit(total)
+    values = [c for c in counted.columns if c != key]
+    few = counted.where(hot).select(key, F.struct(*values).alias("hot_values"))
+    marked = rows.join(F.broadcast(few), key, "left")
+    often = marked.where("hot_values IS NOT NULL").select(*rows.columns, *[F.col(f"hot_values.{c}").alias(c) for c in values])
+    rest = marked.where("hot_values IS NULL").select(*rows.columns).join(counted.where(~hot), key)
+    return often.unionByName(rest.select(*rows.columns, *values))

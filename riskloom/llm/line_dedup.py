@@ -22,12 +22,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import small_batches, table, text_udf
+from riskloom.llm.common import join_counted, small_batches, table, text_udf
 from riskloom.session import materialize
 
 MIN_DOCS, MIN_CHARS = 10, 1
-#: A key is hot if it has at least one pair in so many.
-HOT_PARTS = 2000
 _WHITE = b" \t\n\x0b\x0c\r"
 _RESULT = pa.struct([("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept", pa.string())])
 
@@ -54,13 +52,8 @@ def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_docs: int, m
     pairs = keyed.select("id", F.explode("keys").alias("key"))
     counts = materialize(pairs.groupBy("key").count().where(F.col("count") >= min_docs), "line-counts")
     n_pairs = keyed.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0]
-    hot = F.col("count") * HOT_PARTS >= n_pairs
-    # Fewer than HOT_PARTS keys can hold such a share of all pairs, so that the broadcast is bounded;
-    # no key of the shuffled join has more than that share.
-    marked = pairs.join(F.broadcast(counts.where(hot).select("key", F.lit(True).alias("hot"))), "key", "left")
-    often = marked.where("hot").select("id", "key")
-    rest = marked.where("hot IS NULL").select("id", "key").join(counts.where(~hot).select("key"), "key")
-    return often.unionByName(rest.select("id", "key")).groupBy("id").agg(F.collect_set("key").alias("drop"))
+    found = join_counted(pairs, counts, "key", n_pairs)
+    return found.groupBy("id").agg(F.collect_set("key").alias("drop"))
 
 
 def drop_repeated_lines(

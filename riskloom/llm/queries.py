@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from riskloom.llm import bpe, fingerprint, language, line_dedup, quality
+from riskloom.llm import bpe, embedding_dedup, fingerprint, language, line_dedup, quality, url_filter
 
 
 def llm_queries() -> dict[str, Callable]:
@@ -12,6 +12,8 @@ def llm_queries() -> dict[str, Callable]:
         line_dedup.op1_line_dedup,
         language.op2_language,
         quality.op4_quality,
+        url_filter.op7_url_filter,
+        embedding_dedup.op8_embedding_dedup,
         bpe.op9_bpe,
         fingerprint.op10_fingerprints,
     ]
@@ -19,4 +21,4 @@ def llm_queries() -> dict[str, Callable]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.ORACLE}
+    return {"op1_line_dedup": line_dedup.ORACLE, "op7_url_filter": url_filter.ORACLE}
