@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from riskloom.llm import bpe, embedding_dedup, fingerprint, language, line_dedup, quality, url_filter
+from riskloom.llm import bpe, embedding_dedup, fingerprint, language, line_dedup, minhash, quality, url_filter
 
 
 def llm_queries() -> dict[str, Callable]:
@@ -12,6 +12,7 @@ def llm_queries() -> dict[str, Callable]:
         line_dedup.op1_line_dedup,
         language.op2_language,
         quality.op4_quality,
+        minhash.op5_minhash,
         url_filter.op7_url_filter,
         embedding_dedup.op8_embedding_dedup,
         bpe.op9_bpe,
