@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,3 +79,16 @@ def join_counted(rows: DataFrame, counted: DataFrame, key: str, total: int) -> D
     often = marked.where("hot_values IS NOT NULL").select(*rows.columns, *[F.col(f"hot_values.{c}").alias(c) for c in values])
     rest = marked.where("hot_values IS NULL").select(*rows.columns).join(counted.where(~hot), key)
     return often.unionByName(rest.select(*rows.columns, *values))
+
+
+def merge_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Give linked positions the least label of their group."""
+    while True:
+        low = np.minimum(label[a], label[b])
+        if (label[a] == low).all() and (label[b] == low).all():
+            return
+        for side in (a, b):
+            np.minimum.at(label, label[side], low)
+            np.minimum.at(label, side, low)
+        while (label[label] != label).any():
+            label[:] = label[label]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import join_counted, small_batches, table
+from riskloom.llm.common import join_counted, merge_labels, small_batches, table
 from riskloom.llm.components import components
 from riskloom.session import materialize
 
@@ -63,19 +63,6 @@ def unit_rows(data: list[bytes], dim: int) -> tuple[np.ndarray, np.ndarray]:
     return rows, rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Give linked positions the least label of their group."""
-    while True:
-        low = np.minimum(label[a], label[b])
-        if (label[a] == low).all() and (label[b] == low).all():
-            return
-        for side in (a, b):
-            np.minimum.at(label, label[side], low)
-            np.minimum.at(label, side, low)
-        while (label[label] != label).any():
-            label[:] = label[label]
-
-
 def block_links(core: np.ndarray, keys: np.ndarray, other: np.ndarray, other_keys: np.ndarray, weight: np.ndarray, threshold: float):
     """For each core row the weight of its links, and for all rows (core first) a label of their group."""
     links = np.zeros(len(core), np.int64)
@@ -93,7 +80,7 @@ def block_links(core: np.ndarray, keys: np.ndarray, other: np.ndarray, other_key
         rows, columns = rows[linked], columns[linked]
         links += np.bincount(rows, weight[columns], len(core)).astype(np.int64)
         if len(rows):
-            _merge(label, rows, columns + len(core))
+            merge_labels(label, rows, columns + len(core))
     return links, label
 
 

@@ -8,8 +8,9 @@ make the keys of the bands, and the low four bits of each minimum are packed int
    equal values and taking off those expected by collision; what is far below the threshold goes.
 3. Every class is compared with the most alike of the first members of its band keys, on full shingle
    sets. Confirmed links join classes into components.
-4. Members of one band key that are still in different components are all compared the same way.
-   Links within a component change nothing, so a large group of copies is never expanded into pairs.
+4. Members of one band key that are still in different components are all compared the same way: few
+   as pairs, many in blocks whose pairs never leave the task. Links within a component change nothing,
+   so a large group of copies is never expanded into pairs.
 
 With the default parameters a pair at the threshold of 0.85 is missed with a chance of 4e-7, and the
 estimate passes links by five standard errors. Everything that is linked is confirmed exactly.
@@ -31,13 +32,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import blocks, join_counted, small_batches, table
+from riskloom.llm.common import blocks, join_counted, merge_labels, small_batches, table
 from riskloom.llm.components import components
 from riskloom.session import materialize
 
 WORDS, LEAST = 5, 0.8
 HASHES, ROWS, BITS = 128, 5, 4
 BANDS = HASHES // ROWS
+#: Band keys with so many members are compared pair by pair, others in blocks.
+PAIRED = 16
+#: Members of a block, texts compared with a whole block at once, and shingles of one product.
+BLOCK, CHUNK, STRIP = 1024, 256, 4096
 #: Words a task remembers before it starts afresh.
 CACHE_WORDS = 500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -155,6 +160,80 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, least: tuple[int,
     return two.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
 
 
+def estimates(sigs: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """`likeness` of each row of `sigs` with each row of `other`."""
+    same = np.full((len(sigs), len(other)), HASHES, np.int32)
+    ones = np.uint64(int("1" * 16, 16))
+    for left, right in zip(sigs.T, other.T):
+        odd = left[:, None] ^ right[None, :]
+        spread = odd | odd >> np.uint64(1) | odd >> np.uint64(2) | odd >> np.uint64(3)
+        same -= np.bitwise_count(spread & ones)
+    chance = 2.0**-BITS
+    return (same / HASHES - chance) / (1 - chance)
+
+
+def intersections(sets: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each of `sets` shares with each of `other`."""
+    sizes, other_sizes = ([len(x) for x in group] for group in (sets, other))
+    kinds, place = np.unique(np.concatenate([*sets, *other]), return_inverse=True)
+    # Only shingles of several texts can be shared; they are counted by products of 0/1 strips.
+    often = np.flatnonzero(np.bincount(place, minlength=len(kinds)) > 1)
+    column = np.full(len(kinds), -1)
+    column[often] = np.arange(len(often))
+    column = column[place]
+    row = np.repeat(np.arange(len(sets) + len(other)), [*sizes, *other_sizes])
+    shared = np.zeros((len(sets), len(other)), np.float32)
+    for start in range(0, len(often), STRIP):
+        here = np.flatnonzero((column >= start) & (column < start + STRIP))
+        strip = np.zeros((len(sets) + len(other), min(STRIP, len(often) - start)), np.float32)
+        strip[row[here], column[here] - start] = 1
+        shared += strip[: len(sets)] @ strip[len(sets) :].T
+    return shared
+
+
+def confirmed_in_blocks(members: DataFrame, texts: DataFrame, words: int, least: tuple[int, int]) -> DataFrame:
+    """Links (a, b) that join different components within a band key, for keys with many members.
+
+    A key's members are dealt to blocks and every pair of blocks is one group. A group compares its
+    texts by products of 0/1 matrices and returns a spanning forest of the components it joins.
+    """
+    up, down = least
+    bound = passing(up / down)
+    n_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    mine = F.pmod(F.col("node"), n_blocks).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda x: F.struct(F.least(x, mine).alias("i"), F.greatest(x, mine).alias("j")))
+    dealt = members.select("key", "node", "component", "n", "sig", mine.alias("block"), F.explode(pairs).alias("to"))
+    dealt = dealt.join(texts, "node").select("key", "to.i", "to.j", "block", "node", "component", "n", "sig", "text")
+
+    def check(group: pa.Table) -> pa.Table:
+        column = {name: group.column(name).to_numpy(zero_copy_only=False) for name in ("i", "j", "block", "node", "component", "n")}
+        sig = np.stack(group.column("sig").to_pylist()).astype(np.int64).astype(np.uint64)
+        left, right = np.flatnonzero(column["block"] == column["i"]), np.flatnonzero(column["block"] == column["j"])
+        names, part = np.unique(column["component"], return_inverse=True)
+        n, out = column["n"], ([], [])
+        if len(left) and len(right) and len(names) > 1:
+            sets = Shingles(words).of(group.column("text").to_pylist())
+            label = np.arange(len(names))
+            for start in range(0, len(left), CHUNK):
+                some = left[start : start + CHUNK]
+                small, large = np.minimum(n[some][:, None], n[right]), np.maximum(n[some][:, None], n[right])
+                likely = (part[some][:, None] != part[right]) & (small * down >= large * up)
+                likely &= estimates(sig[some], sig[right]) >= bound
+                rows, columns = np.flatnonzero(likely.any(axis=1)), np.flatnonzero(likely.any(axis=0))
+                if not len(rows):
+                    continue
+                both = intersections([sets[k] for k in some[rows]], [sets[k] for k in right[columns]])
+                union = n[some[rows]][:, None] + n[right[columns]] - both
+                a, b = np.nonzero(likely[np.ix_(rows, columns)] & (both * down >= up * union))
+                if len(a):
+                    merge_labels(label, part[some[rows[a]]], part[right[columns[b]]])
+            moved = np.flatnonzero(label != np.arange(len(label)))
+            out = names[moved], names[label[moved]]
+        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
+
+    return dealt.groupBy("key", "i", "j").applyInArrow(check, "a bigint, b bigint")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -214,14 +293,16 @@ def near_duplicates(
 
     placed = members.select("key", "node").join(named, "node", "left")
     placed = placed.select("key", "node", F.coalesce("component", "node").alias("component"))
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    placed = placed.join(open_keys.select("key"), "key", "left_semi").join(light, "node")
+    open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
+    placed = placed.join(open_keys.where("low <> high").select("key", "size"), "key").join(light, "node")
     placed = materialize(placed, "open-bands")
-    one, two = (placed.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "n", "sig")]) for side in "ab")
+    few, many = placed.where(F.col("size") <= PAIRED), placed.where(F.col("size") > PAIRED)
+    one, two = (few.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "n", "sig")]) for side in "ab")
     sized = F.least("n_a", "n_b") * least[1] >= F.greatest("n_a", "n_b") * least[0]
     unlike = (F.col("component_a") < F.col("component_b")) & sized & (likeness("sig_a", "sig_b") >= bound)
     rest = one.join(two, (one.key == two.key) & unlike).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    more = materialize(confirmed(rest, texts, words, least), "links")
+    more = confirmed(rest, texts, words, least).unionByName(confirmed_in_blocks(many, texts, words, least))
+    more = materialize(more, "links")
     # The first links hang together through their components.
     named = components(named.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
