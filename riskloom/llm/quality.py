@@ -37,9 +37,10 @@ TRAIN_ROWS = 6000
 BUCKETS, WIDTH, WINDOW, HIDDEN, STEPS, SEED = 16384, 32, 2, 24, 800, 11
 #: Distances at which the likeness of words is pooled.
 NEAR = 2
-FEATURES = 2 * WIDTH + NEAR + 2
+#: Words whose vectors are held at once.
+STRIP = 50_000
 #: Words a task remembers before it starts afresh.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 200_000
 _WORD = re.compile(r"\w+|[^\w\s]+")
 
 
@@ -97,22 +98,27 @@ def pooled(types: np.ndarray, sizes: np.ndarray, vectors: np.ndarray) -> np.ndar
 
     All but the size are zero where a text has no word.
     """
-    out = np.zeros((len(sizes), FEATURES), np.float64)
-    out[:, -1] = np.log1p(sizes)
-    filled = sizes > 0
-    if filled.any():
-        starts, n = (np.cumsum(sizes) - sizes)[filled], sizes[filled, None]
-        rows = vectors[types]
-        mean = np.add.reduceat(rows, starts, axis=0, dtype=np.float64) / n
-        square = np.add.reduceat(rows * rows, starts, axis=0, dtype=np.float64) / n
-        text_of, near = np.repeat(np.arange(len(starts)), n[:, 0]), []
+    n_texts, n = len(sizes), np.maximum(sizes, 1)[:, None]
+    text_of = np.repeat(np.arange(n_texts), sizes)
+    total, square, near = np.zeros((n_texts, WIDTH)), np.zeros((n_texts, WIDTH)), np.zeros((n_texts, NEAR))
+    # Strips bound the memory that a very long text takes.
+    for start in range(0, len(types), STRIP):
+        rows, owner = vectors[types[start : start + STRIP + NEAR]], text_of[start : start + STRIP + NEAR]
+        own_rows, own_text = rows[:STRIP], owner[:STRIP]
+        firsts = np.flatnonzero(np.concatenate(([True], own_text[1:] != own_text[:-1])))
+        total[own_text[firsts]] += np.add.reduceat(own_rows, firsts, axis=0, dtype=np.float64)
+        square[own_text[firsts]] += np.add.reduceat(own_rows * own_rows, firsts, axis=0, dtype=np.float64)
         for step in range(1, NEAR + 1):
-            alike = np.einsum("ij,ij->i", rows[step:], rows[:-step])
-            alike[text_of[step:] != text_of[:-step]] = 0
-            near.append(np.bincount(text_of[step:], alike, len(starts)) / np.maximum(n[:, 0] - step, 1))
-        length = np.linalg.norm(mean, axis=1)
-        out[filled, :-1] = np.column_stack((mean, np.sqrt(np.maximum(square - mean**2, 0)), *near, length))
-    return out
+            later, here = rows[step : STRIP + step], min(STRIP, len(rows) - step)
+            if here > 0:
+                alike = np.einsum("ij,ij->i", later[:here], rows[:here])
+                alike[owner[step : here + step] != owner[:here]] = 0
+                near[:, step - 1] += np.bincount(owner[:here], alike, n_texts)
+    mean = total / n
+    spread = np.sqrt(np.maximum(square / n - mean**2, 0))
+    near /= np.maximum(n - np.arange(1, NEAR + 1), 1)
+    length = np.linalg.norm(mean, axis=1)
+    return np.column_stack((mean, spread, near, length, np.log1p(sizes)))
 
 
 @dataclass

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from riskloom.llm import bpe, embedding_dedup, fingerprint, language, line_dedup, minhash, quality, url_filter
+from riskloom.llm import bpe, embedding_dedup, fingerprint, language, line_dedup, minhash, mixing, quality, url_filter
 
 
 def llm_queries() -> dict[str, Callable]:
     found = [
         line_dedup.op1_line_dedup,
         language.op2_language,
+        mixing.op3_mixing,
         quality.op4_quality,
         minhash.op5_minhash,
         url_filter.op7_url_filter,
@@ -22,4 +23,4 @@ def llm_queries() -> dict[str, Callable]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.ORACLE, "op7_url_filter": url_filter.ORACLE}
+    return {"op1_line_dedup": line_dedup.ORACLE, "op3_mixing": mixing.ORACLE, "op7_url_filter": url_filter.ORACLE}
