@@ -1,19 +1,83 @@
-"""The training-data pipeline: stages over `documents`, each stored as Parquet and read again by the next."""
+"""The training-data pipeline: stages over `documents`, each stored as Parquet and read again by the next.
+
+Every stage takes (spark, docs, sf_dir) and returns the columns of `docs`, the last one its tokens. A
+stage works on all that its predecessor kept, and what it decides is done to the documents:
+
+1. quality: documents that the classifier, trained on `labels`, scores below 0.5 go;
+2. lines: lines found in many documents go, the others stay in their order;
+3. near_duplicates: of each group of near copies the document with the least id stays;
+4. mix: documents are left out or repeated until the sources have their target shares;
+5. tokens: texts become token ids, which are decoded again as a check.
+
+A null text passes through 1 to 3 by the operators' rules for empty texts and is not drawn by 4.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from riskloom.llm import bpe, line_dedup, minhash, mixing, quality
+from riskloom.llm.common import table
 from riskloom.session import materialize
 
-STAGES: list = []
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored 0.5 or more."""
+    labels = table(spark, sf_dir, "labels").where(~quality.held_out()).select("doc_id", "quality")
+    model = quality.fit(docs.select("doc_id", "text"), labels)
+    return docs.where(quality.score(spark, model) >= 0.5)
+
+
+def _with_text(docs: DataFrame, text: Column) -> DataFrame:
+    """`docs` with another text, and the number of its characters where the table has that."""
+    changed = docs.withColumn("text", text)
+    return changed.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else changed
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that many share; a null text stays null."""
+    done = line_dedup.drop_repeated_lines(docs, result="__lines")
+    kept = F.when(F.col("text").isNotNull(), F.col("__lines.kept"))
+    return _with_text(done, kept).select(*docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near copies; of equal rows one."""
+    found = minhash.near_duplicates(docs.select("doc_id", "text"))
+    gone = found.where(~F.col("kept")).select("doc_id")
+    rest = docs.join(gone, "doc_id", "left_anti").withColumn("__mark", F.xxhash64("text"))
+    return rest.dropDuplicates(["doc_id", "__mark"]).select(*docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole documents, each as often as the mix takes its words."""
+    return mixing.mixed_documents(docs)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens, ids and whether decoding gives the text back."""
+    path = public_tokenizers.path(bpe.VOCABULARY)
+    coded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, public_tokenizers.PATTERN), path)
+    whole = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    return coded.select("doc_id", "lang", "source", bpe.token_count().alias("n_tokens"), "ids", whole.alias("whole"))
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("lines", line_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("mix", mixing_stage),
+    ("tokens", token_stage),
+]
 
 #: A trained classifier decides in the first stage, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)
     return docs

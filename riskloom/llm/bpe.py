@@ -226,6 +226,10 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", result: str = "decoded"
     return docs.withColumn(result, decoded(ids))
 
 
+def token_count(ids: str = "ids"):
+    return (F.octet_length(ids) / 4).cast("long")
+
+
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -233,7 +237,7 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = encode(table(spark, folder, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
     return decode(docs, path).select(
         "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        token_count().alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from riskloom.llm import bpe, embedding_dedup, fingerprint, language, line_dedup, minhash, mixing, quality, url_filter
+from riskloom.llm import bpe, embedding_dedup, fingerprint, language, line_dedup, minhash, mixing, pii, quality, url_filter
 
 
 def llm_queries() -> dict[str, Callable]:
@@ -14,6 +14,7 @@ def llm_queries() -> dict[str, Callable]:
         mixing.op3_mixing,
         quality.op4_quality,
         minhash.op5_minhash,
+        pii.op6_pii,
         url_filter.op7_url_filter,
         embedding_dedup.op8_embedding_dedup,
         bpe.op9_bpe,
