@@ -33,7 +33,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def _with_text(docs: DataFrame, text: Column) -> DataFrame:
     """`docs` with another text, and the number of its characters where the table has that."""
     changed = docs.withColumn("text", text)
-    return changed.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else changed
+    if "n_chars" not in docs.columns:
+        return changed
+    return changed.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
