@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.ranks import SINGLE_TASK_ROWS, running_totals
+from riskloom.operators.ranks import running_totals
 
 
 def score_counts(df: DataFrame, score: str, label: str, groups: list[str]) -> DataFrame:
@@ -21,9 +21,9 @@ def score_counts(df: DataFrame, score: str, label: str, groups: list[str]) -> Da
 
 
 def _placed(
-    df: DataFrame, score: str, label: str, groups: list[str], task_rows: int
+    df: DataFrame, score: str, label: str, groups: list[str], ranges: int | None
 ) -> DataFrame:
-    return running_totals(score_counts(df, score, label, groups), score, ["pos", "neg"], groups, task_rows)
+    return running_totals(score_counts(df, score, label, groups), score, ["pos", "neg"], groups, ranges)
 
 
 def discrimination(
@@ -31,11 +31,11 @@ def discrimination(
     score: str,
     label: str,
     groups: list[str] | None = None,
-    task_rows: int = SINGLE_TASK_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Exact AUC (ties count half), Gini and KS per group; NULL where only one class occurs."""
     groups = groups or []
-    placed = _placed(df, score, label, groups, task_rows)
+    placed = _placed(df, score, label, groups, ranges)
     pos, neg = F.col("pos"), F.col("neg")
     won = pos * (F.col("neg_before") + neg / 2.0)
     gap = F.abs(
@@ -59,11 +59,11 @@ def roc_curve(
     score: str,
     label: str,
     groups: list[str] | None = None,
-    task_rows: int = SINGLE_TASK_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, and the origin at an infinite threshold."""
     groups = groups or []
-    placed = _placed(df, score, label, groups, task_rows)
+    placed = _placed(df, score, label, groups, ranges)
     points = placed.select(
         *groups,
         F.col(score).cast("double").alias("threshold"),
@@ -151,7 +151,7 @@ def univariate_rank(
     features: list[str],
     label: str,
     keep: int = 30,
-    task_rows: int = SINGLE_TASK_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """|AUC - 0.5| of every feature alone, the `keep` best first; NULL counts as 0.
 
@@ -163,7 +163,7 @@ def univariate_rank(
         *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features],
     )
     long = filled.unpivot(["_label"], features, "feature", "value")
-    stats = discrimination(long, "value", "_label", ["feature"], task_rows)
+    stats = discrimination(long, "value", "_label", ["feature"], ranges)
     strength = F.coalesce(F.abs(F.col("auc") - 0.5), F.lit(0.0))
     return (
         stats.select("feature", strength.alias("strength"))

@@ -1,84 +1,60 @@
-"""Running totals, exact order statistics and exact samples without a single-task sort."""
+"""Running totals, exact order statistics and exact samples without a single-task sort.
 
-from __future__ import annotations
+Nothing here starts a job: every function returns a plan.
+"""
 
-import math
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from riskloom.functions.hashing import md5_int
-from riskloom.operators.joins import BROADCAST_ROWS, broadcast_if_small
-from riskloom.session import materialize
 
-SINGLE_TASK_ROWS = 1_000_000
+#: Leading hash bits by which a sample finds its last row; the rows of one such bucket are ranked.
+SAMPLE_BITS = 18
+#: Strata of a sample, which are values of a label; more are an error.
+MAX_STRATA = 1000
+
+
+def _ranges(df: DataFrame, ranges: int | None) -> int:
+    """As many ranges as a shuffle has partitions: that setting grows with the data."""
+    return ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def running_totals(
-    df: DataFrame,
-    value: str,
-    totals: list[str],
-    groups: list[str],
-    task_rows: int = SINGLE_TASK_ROWS,
+    df: DataFrame, value: str, totals: list[str], groups: list[str], ranges: int | None = None
 ) -> DataFrame:
     """Add `<t>_before` (sum over smaller values of the group) and `<t>_total` (sum of the group).
 
-    `df` holds one row per group and value. It is written once, since it is read several times.
-    If it holds at most `task_rows` rows, one window per group does. Otherwise each group is cut at
-    quantiles of its own values into ranges of about `task_rows` rows; ranges are summed, and a
-    window runs inside each range.
+    `df` holds one row per group and value. Each group is cut at quantiles of its own values into
+    `ranges` ranges of about equal size; ranges are summed, and a window runs inside each range.
     """
+    n_ranges = _ranges(df, ranges)
     keys = groups or ["_all"]
-    source = df if groups else df.withColumn("_all", F.lit(0))
-    rows = materialize(source, "running-totals")
-    n_rows = rows.count()
-    if n_rows <= task_rows:
-        ordered = W.partitionBy(*keys).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
-        whole = W.partitionBy(*keys)
-        out = rows.select(
-            "*",
-            *[F.coalesce(F.sum(t).over(ordered), F.lit(0)).alias(f"{t}_before") for t in totals],
-            *[F.sum(t).over(whole).alias(f"{t}_total") for t in totals],
-        )
-        return out.select(*df.columns, *_added(totals))
-
-    n_ranges = min(1000, math.ceil(n_rows / task_rows) + 1)
-    cuts = materialize(
-        rows.groupBy(*keys).agg(
-            F.array_sort(
-                F.array_distinct(
-                    F.percentile_approx(value, [i / n_ranges for i in range(1, n_ranges)], 10 * n_ranges)
-                )
-            ).alias("_cuts")
-        ),
-        "running-total-cuts",
-    )
-    small_cuts = broadcast_if_small(cuts, BROADCAST_ROWS // n_ranges)
-    ranged = _join_null_safe(rows, small_cuts, keys).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda c: c < F.col(value)))
-    ).drop("_cuts")
-    per_range = ranged.groupBy(*keys, "_range").agg(*[F.sum(t).alias(f"_{t}") for t in totals])
-    earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    rows = df if groups else df.withColumn("_all", F.lit(0))
+    marks = [i / n_ranges for i in range(1, n_ranges)] or [0.5]
+    found = F.percentile_approx(value, marks, max(10_000, 10 * n_ranges))
+    cuts = rows.groupBy(*keys).agg(F.array_sort(F.array_distinct(found)).alias("_cuts"))
+    range_of = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
+    ranged = _join_null_safe(rows, cuts, keys).withColumn("_range", range_of).drop("_cuts")
+    sums = ranged.groupBy(*keys, "_range").agg(*[F.sum(t).alias(f"_{t}") for t in totals])
     whole = W.partitionBy(*keys)
-    offsets = materialize(
-        per_range.select(
-            *keys,
-            "_range",
-            *[F.coalesce(F.sum(f"_{t}").over(earlier), F.lit(0)).alias(f"_{t}_offset") for t in totals],
-            *[F.sum(f"_{t}").over(whole).alias(f"{t}_total") for t in totals],
-        ),
-        "running-total-offsets",
+    earlier = whole.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sums.select(
+        *keys,
+        "_range",
+        *[F.coalesce(F.sum(f"_{t}").over(earlier), F.lit(0)).alias(f"_{t}_offset") for t in totals],
+        *[F.sum(f"_{t}").over(whole).alias(f"{t}_total") for t in totals],
     )
     inside = W.partitionBy(*keys, "_range").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
-    out = _join_null_safe(ranged, broadcast_if_small(offsets), [*keys, "_range"]).select(
-        "*",
-        *[
-            (F.col(f"_{t}_offset") + F.coalesce(F.sum(t).over(inside), F.lit(0))).alias(f"{t}_before")
+    placed = _join_null_safe(ranged, offsets, [*keys, "_range"]).withColumns(
+        {
+            f"{t}_before": F.col(f"_{t}_offset") + F.coalesce(F.sum(t).over(inside), F.lit(0))
             for t in totals
-        ],
+        }
     )
-    return out.select(*df.columns, *_added(totals))
+    return placed.select(*df.columns, *[f"{t}_{part}" for t in totals for part in ("before", "total")])
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -88,10 +64,6 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return left.join(renamed, same).drop(*[f"{k}_r" for k in keys])
 
 
-def _added(totals: list[str]) -> list[str]:
-    return [f"{t}_{suffix}" for t in totals for suffix in ("before", "total")]
-
-
 def value_counts(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
     """Number of rows per group and non-NULL value, combined on the map side."""
     return (
@@ -111,11 +83,11 @@ def order_statistics(
     value: str,
     percents: dict[str, float],
     groups: list[str] | None = None,
-    task_rows: int = SINGLE_TASK_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Per group: row count `n`, exact nearest-rank percentiles by name, and the exact `median`."""
     groups = groups or []
-    placed = running_totals(value_counts(df, value, groups), value, ["n"], groups, task_rows)
+    placed = running_totals(value_counts(df, value, groups), value, ["n"], groups, ranges)
     total, before, own = F.col("n_total"), F.col("n_before"), F.col("n")
 
     def at(index: Column) -> Column:
@@ -137,62 +109,37 @@ def smallest_hash_rows(
     n: int | None = None,
     strata: str | None = None,
     fraction: float | None = None,
-    edge_rows: int = SINGLE_TASK_ROWS,
+    bits: int = SAMPLE_BITS,
 ) -> DataFrame:
     """The rows with the smallest hashes of a unique key: exactly `n`, or a rounded `fraction` of each
     stratum (strata are few, such as label values).
 
     A histogram over the leading hash bits finds, per stratum, the bucket in which the quota is
-    reached; rows of lower buckets are kept without a sort and only the rows of that one bucket are
-    ranked. Buckets are refined until the ranked part is small or the hash is used up.
+    reached; the rows of that bucket are ranked to find the last (hash, key) that is wanted. Both read
+    two columns of the input. The wide rows are then read once, by one filter.
     """
-    by = [strata] if strata else []
-    hashed = df.withColumn("_h", md5_int(F.col(key), salt))
-    bits = 16
-    while True:
-        shift = 32 - bits
-        cut = _quota_buckets(hashed, by, shift, n, fraction)
-        if shift == 0 or all(row["edge_count"] <= edge_rows for row in cut):
-            break
-        bits += 8
-    bucket = F.shiftright("_h", shift)
-
-    def per_stratum(field: str) -> Column:
-        if not by:
-            return F.lit(cut[0][field] if cut else -1)
-        picked = F
-        for row in cut:
-            picked = picked.when(F.col(strata).eqNullSafe(F.lit(row[strata])), F.lit(row[field]))
-        return picked if cut else F.lit(-1)
-
-    below = hashed.where(bucket < per_stratum("edge"))
-    ranked = hashed.where(bucket == per_stratum("edge")).withColumn(
-        "_rank", F.row_number().over(W.partitionBy(*by, bucket).orderBy("_h", key))
-    )
-    edge = ranked.where(F.col("_rank") <= per_stratum("needed"))
-    return below.drop("_h").unionByName(edge.drop("_h", "_rank"))
-
-
-def _quota_buckets(
-    hashed: DataFrame, by: list[str], shift: int, n: int | None, fraction: float | None
-) -> list:
-    """Per stratum, the bucket where the quota is reached and how many of its rows are needed."""
-    counts = hashed.groupBy(*by, F.shiftright("_h", shift).alias("edge")).agg(
-        F.count(F.lit(1)).alias("edge_count")
-    )
-    placed = running_totals(counts, "edge", ["edge_count"], by)
-    quota = F.lit(n) if n is not None else F.round(F.lit(fraction) * F.col("edge_count_total"))
-    needed = (quota - F.col("edge_count_before")).cast("bigint")
-    return (
-        placed.withColumn("needed", needed)
-        .where(
-            (F.col("needed") > 0)
-            & ((F.col("needed") <= F.col("edge_count"))
-               | (F.col("edge_count_before") + F.col("edge_count") == F.col("edge_count_total")))
-        )
-        .select(*by, "edge", "edge_count", "needed")
-        .collect()
+    stratum = F.coalesce(F.col(strata).cast("string"), F.lit("")) if strata else F.lit("")
+    missing = F.col(strata).isNull() if strata else F.lit(False)
+    group = F.struct(stratum.alias("value"), missing.alias("missing"))
+    hashed = F.struct(md5_int(F.col(key), salt).alias("h"), F.col(key).alias("k"))
+    thin = df.select(group.alias("_group"), hashed.alias("_at"))
+    bucket = F.shiftright("_at.h", 32 - bits)
+    counts = thin.groupBy("_group", bucket.alias("edge")).agg(F.count(F.lit(1)).alias("own"))
+    whole = W.partitionBy("_group")
+    before = F.coalesce(F.sum("own").over(whole.orderBy("edge").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.withColumns({"total": F.sum("own").over(whole), "before": before})
+    quota = F.lit(n) if n is not None else F.round(F.lit(fraction) * F.col("total")).cast("bigint")
+    counts = counts.withColumn("needed", F.least(quota, "total") - F.col("before"))
+    edges = counts.where("needed > 0 AND needed <= own").select("_group", "edge", "needed")
+    inside = thin.withColumn("edge", bucket).join(edges, ["_group", "edge"])
+    ranked = inside.withColumn("_rank", F.row_number().over(whole.orderBy("_at")))
+    last = ranked.where(F.col("_rank") == F.col("needed")).select("_group", "_at")
+    entries = last.agg(F.collect_list(F.struct("_group", "_at")).alias("entries"))
+    few = F.when(F.size("entries") <= MAX_STRATA, F.map_from_entries("entries")).otherwise(
+        F.raise_error(F.lit(f"more than {MAX_STRATA} strata"))
     )
+    limits = entries.select(few.alias("limits")).scalar()
+    return df.where(hashed <= F.try_element_at(limits, group))
 
 
 def hash_split(df: DataFrame, key: str, fraction: float, salt: str) -> tuple[DataFrame, DataFrame]:

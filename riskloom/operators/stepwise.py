@@ -1,14 +1,13 @@
-"""Forward selection for logistic regression, all candidates of a round in the same jobs."""
+"""Forward selection for logistic regression."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +16,10 @@ from riskloom.operators.evaluate import discrimination
 from riskloom.session import materialize
 
 MIN_GAIN = 1e-4
+MAX_ITERATIONS = 200
+#: Candidates fitted at the same time.
+PARALLEL = 8
+ROWS_PER_TASK = 50_000
 
 
 @dataclass(frozen=True)
@@ -25,68 +28,30 @@ class Step:
     auc: float
 
 
-def _newton_sums(
-    rows: DataFrame, candidates: dict[int, list[int]], weights: dict[int, np.ndarray]
-) -> dict[int, np.ndarray]:
-    """Gradient and Hessian of the log-loss per candidate set, summed over all rows.
+def fit_logistic(
+    rows: DataFrame, features: str, label: str, n: int, c: float = 1.0, max_iter: int = MAX_ITERATIONS
+) -> LogisticRegressionModel:
+    """L2-penalised logistic regression, penalty 1/c on the sum of the losses, free intercept.
 
-    Each task reduces its rows to one small vector per candidate; Spark adds the vectors up.
+    Spark penalises the mean loss, so its parameter is 1/(c n). Not converging is an error.
     """
+    model = LogisticRegression(
+        labelCol=label, featuresCol=features, maxIter=max_iter, tol=1e-8, regParam=1.0 / (c * max(n, 1)),
+        standardization=False,
+    ).fit(rows)
+    if model.summary.totalIterations >= max_iter:
+        raise ArithmeticError(f"logistic regression did not converge in {max_iter} iterations")
+    return model
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            if batch.empty:
-                continue
-            x = np.stack(batch["x"].to_numpy())
-            y = batch["y"].to_numpy(dtype=float)
-            for name, columns in candidates.items():
-                design = np.column_stack([np.ones(len(y)), x[:, columns]])
-                p = 1.0 / (1.0 + np.exp(-np.clip(design @ weights[name], -35, 35)))
-                hessian = (design * (p * (1 - p))[:, None]).T @ design
-                part = np.concatenate([design.T @ (p - y), hessian.ravel()])
-                sums[name] = sums.get(name, 0.0) + part
-        if sums:
-            yield pd.DataFrame({"name": list(sums), "sums": [s.tolist() for s in sums.values()]})
-
-    parts = rows.mapInPandas(partial, "name int, sums array<double>")
-    added = parts.groupBy("name").agg(Summarizer.sum(array_to_vector("sums")).alias("v")).collect()
-    return {row["name"]: row["v"].toArray() for row in added}
-
-
-def fit_all(
-    rows: DataFrame,
-    candidates: dict[int, list[int]],
-    start: np.ndarray | None = None,
-    c: float = 1.0,
-    max_iter: int = 25,
-    tolerance: float = 1e-6,
-) -> dict[int, np.ndarray]:
-    """L2-penalised logistic regression (penalty 1/c on the sum of losses, intercept free) for every
-    candidate feature set: one Spark job per Newton step, whatever the number of candidates.
-
-    `start` holds the weights of the features that all candidates share, which come first."""
-    known = np.zeros(1) if start is None else start
-    weights = {
-        name: np.concatenate([known, np.zeros(len(columns) + 1 - len(known))])
-        for name, columns in candidates.items()
-    }
-    active = dict(candidates)
-    for _ in range(max_iter):
-        sums = _newton_sums(rows, active, weights)
-        for name in list(active):
-            size = len(weights[name])
-            ridge = np.full(size, 1.0 / c)
-            ridge[0] = 0.0
-            gradient = sums[name][:size] + ridge * weights[name]
-            hessian = sums[name][size:].reshape(size, size) + np.diag(ridge)
-            step = np.linalg.solve(hessian + 1e-12 * np.eye(size), gradient)
-            weights[name] = weights[name] - step
-            if np.max(np.abs(step)) < tolerance:
-                del active[name]
-        if not active:
-            break
-    return weights
+
+def best_candidate(aucs: list[tuple[int, float | None]], best: float, min_gain: float = MIN_GAIN) -> int | None:
+    """The leader after all candidates, in ranked order: one takes the lead if it is better than
+    the leader, at first the best result so far, by more than `min_gain`."""
+    leader = None
+    for candidate, auc in aucs:
+        if auc is not None and auc > best + min_gain:
+            leader, best = candidate, auc
+    return leader
 
 
 def forward_selection(
@@ -97,39 +62,50 @@ def forward_selection(
     max_rounds: int = 20,
     min_gain: float = MIN_GAIN,
 ) -> list[Step]:
-    """Add the feature with the best validation AUC until the gain is too small.
+    """Add the winner of each round until none gains enough; `features` are in ranked order.
 
-    Every remaining feature is tried in every round; inputs are scaled with the parameters of `fit`.
+    Every remaining feature is tried in every round, several fits at once. Inputs are scaled with the
+    parameters of `fit`; a missing value counts as 0. One job ranks all candidates of a round.
     """
-    parameters = scale_parameters(fit, features)
+    filled_fit, filled_validate = (df.select(label, *features).fillna(0, features) for df in (fit, validate))
+    parameters = scale_parameters(filled_fit, features)
+    assembler = VectorAssembler(inputCols=features, outputCol="all")
 
     def prepared(df: DataFrame, name: str) -> DataFrame:
-        scaled = standard_scale(df.select(label, *features), parameters)
-        return materialize(
-            scaled.select(F.col(label).cast("int").alias("y"), F.array(*features).alias("x")), name
-        )
+        scaled = standard_scale(df, parameters)
+        return materialize(assembler.transform(scaled).select(F.col(label).cast("int").alias("y"), "all"), name)
+
+    train, held_out = prepared(filled_fit, "stepwise-fit"), prepared(filled_validate, "stepwise-validate")
+    n = train.count()
+    # Hundreds of fits read the sample, which is bounded: few partitions, kept in memory where it fits.
+    train = train.coalesce(-(-n // ROWS_PER_TASK)).persist()
+    values = held_out.select("y", vector_to_array("all").alias("x"))
+
+    def weights(indices: list[int]) -> list[float]:
+        rows = VectorSlicer(inputCol="all", outputCol="some", indices=indices).transform(train)
+        return [float(w) for w in fit_logistic(rows.select("y", "some"), "some", "y", n).coefficients]
 
-    train, held_out = prepared(fit, "stepwise-fit"), prepared(validate, "stepwise-validate")
     chosen: list[int] = []
     steps: list[Step] = []
-    best, reached = 0.5, None
-    for _ in range(max_rounds):
-        candidates = {i: [*chosen, i] for i in range(len(features)) if i not in chosen}
-        if not candidates:
-            break
-        weights = fit_all(train, candidates, reached)
-        scores = [
-            sum((F.lit(float(w)) * F.col("x")[j] for j, w in zip(candidates[i], weights[i][1:])), F.lit(0.0))
-            .alias(str(i))
-            for i in candidates
-        ]
-        long = held_out.select("y", *scores).unpivot(["y"], [str(i) for i in candidates], "name", "score")
-        ranked = discrimination(long, "score", "y", ["name"]).select("name", "auc").collect()
-        aucs = {int(row["name"]): row["auc"] for row in ranked if row["auc"] is not None}
-        winner = max(sorted(aucs), key=lambda i: aucs[i], default=None)
-        if winner is None or aucs[winner] <= best + min_gain:
-            break
-        best, reached = aucs[winner], weights[winner]
-        chosen.append(winner)
-        steps.append(Step(features[winner], best))
+    best = 0.5
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        for _ in range(max_rounds):
+            candidates = [i for i in range(len(features)) if i not in chosen]
+            if not candidates:
+                break
+            fitted = list(pool.map(weights, [[*chosen, i] for i in candidates]))
+            scores = [
+                sum((F.lit(w) * F.col("x")[j] for j, w in zip([*chosen, i], own)), F.lit(0.0)).alias(str(i))
+                for i, own in zip(candidates, fitted)
+            ]
+            long = values.select("y", *scores).unpivot(["y"], [str(i) for i in candidates], "name", "score")
+            ranked = discrimination(long, "score", "y", ["name"]).select("name", "auc").collect()
+            aucs = {int(row["name"]): row["auc"] for row in ranked}
+            winner = best_candidate([(i, aucs.get(i)) for i in candidates], best, min_gain)
+            if winner is None:
+                break
+            best = aucs[winner]
+            chosen.append(winner)
+            steps.append(Step(features[winner], best))
+    train.unpersist()
     return steps

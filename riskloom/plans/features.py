@@ -56,7 +56,7 @@ def credit_bureau_features(subjects: DataFrame) -> FeatureView:
         name="CREDIT_BUREAU_FEATURES",
         key="subject_id",
         features=core_features(subjects),
-        description="Core credit bureau features for PD modeling",
+        description="What the bureau knows about a subject, as model inputs",
         feature_descriptions=fv.FEATURE_DESCRIPTIONS,
     )
 

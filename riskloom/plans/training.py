@@ -3,19 +3,34 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import ElementwiseProduct, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.operators.encode import scale_parameters
 from riskloom.operators.evaluate import discrimination, roc_curve, univariate_rank
 from riskloom.operators.ranks import smallest_hash_rows
-from riskloom.operators.stepwise import forward_selection
+from riskloom.operators.stepwise import fit_logistic, forward_selection
+from riskloom.plans.mart import score_results
 from riskloom.session import materialize, scratch_root
 
 SEED = 42
+#: Labelled rows that a model is fitted on at most; everything else covers all rows.
 LR_SAMPLE = 100_000
+BOOSTED_SAMPLE = 1_000_000
+ROWS_PER_TASK = 50_000
+
+
+def boosted_sample(train: DataFrame, id_: str, sample: int = BOOSTED_SAMPLE) -> DataFrame:
+    """At most `sample` training rows, stored in partitions that are worth a task each.
+
+    A boosted model passes over its rows thousands of times.
+    """
+    rows = materialize(smallest_hash_rows(train, id_, "boosted", n=sample), "boosted-sample")
+    return materialize(rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK))), "boosted-train")
 
 
 def _boosted(features: list[str], label: str, weight: str, **parameters) -> Pipeline:
@@ -57,11 +72,9 @@ def train_gbt_balanced(
 ) -> PipelineModel:
     """Boosted trees with classes weighted to equal totals; depth 6 stands in for 48 leaves."""
     _with_checkpoints(train)
-    counts = {row[label]: row["count"] for row in train.groupBy(label).count().collect()}
-    total = sum(counts.values())
-    weight = F
-    for value, n in counts.items():
-        weight = weight.when(F.col(label) == value, total / (len(counts) * n))
+    total, positive = train.agg(F.count(label), F.count_if(F.col(label) == 1)).first()
+    each = total / 2.0
+    weight = F.when(F.col(label) == 1, each / max(positive, 1)).otherwise(each / max(total - positive, 1))
     model = _boosted(
         features, label, "_w", maxIter=trees, maxDepth=6, stepSize=0.05, subsamplingRate=0.8,
         featureSubsetStrategy="0.8",
@@ -80,29 +93,58 @@ def train_logreg_stepwise(
 ) -> tuple[PipelineModel, list]:
     """Rank features alone, select forward on a stratified 70/30 split, fit on the whole sample.
 
-    The sample of exactly `sample` rows is part of the method; a smaller table is used whole.
+    The sample of exactly `sample` rows is part of the method; a smaller table is used whole. Missing
+    values count as 0. The final fit divides each feature by its population deviation; centring it
+    would only move the intercept, which is free.
     """
-    rows = materialize(
-        smallest_hash_rows(train.select(id_, label, *numeric), id_, "logreg", n=sample), "logreg-sample"
-    )
-    ranked = [r["feature"] for r in univariate_rank(rows, numeric[:50], label, keep).collect()]
+    rows = smallest_hash_rows(train.select(id_, label, *numeric), id_, "logreg", n=sample)
+    doubles = [F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias(n) for n in numeric]
+    rows = materialize(rows.select(id_, label, *doubles), "logreg-sample")
+    ranked = [r["feature"] for r in univariate_rank(rows, numeric, label, keep).collect()]
     fit = materialize(
         smallest_hash_rows(rows, id_, "stepwise", strata=label, fraction=0.7), "logreg-fit"
     )
     validate = rows.join(fit.select(id_), id_, "left_anti")
     steps = forward_selection(fit, validate, ranked, label, max_rounds)
     chosen = [s.feature for s in steps] or ranked[:1]
-    pipeline = Pipeline(
+    parameters = scale_parameters(rows, chosen)
+    scaling = Vectors.dense([1.0 / parameters[name][1] for name in chosen])
+    inputs = Pipeline(
         stages=[
-            VectorAssembler(inputCols=chosen, outputCol="raw"),
-            StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
-            LogisticRegression(
-                labelCol=label, featuresCol="features", maxIter=500, standardization=False,
-                regParam=1.0 / max(rows.count(), 1),
-            ),
+            VectorAssembler(inputCols=chosen, outputCol="raw", handleInvalid="keep"),
+            ElementwiseProduct(scalingVec=scaling, inputCol="raw", outputCol="features"),
         ]
-    )
-    return pipeline.fit(rows), steps
+    ).fit(rows)
+    model = fit_logistic(inputs.transform(rows), "features", label, rows.count(), max_iter=500)
+    return PipelineModel([*inputs.stages, model]), steps
+
+
+def logistic_slope(model: PipelineModel, rows: DataFrame, label: str) -> float:
+    """The largest slope of the penalised loss per row at the weights of a stepwise model; 0 at its optimum."""
+    *inputs, fitted = model.stages
+    placed = PipelineModel(inputs).transform(rows).select(F.col(label).alias("y"), vector_to_array("features").alias("x"))
+    weights = [float(w) for w in fitted.coefficients]
+    logit = sum((F.lit(w) * F.col("x")[i] for i, w in enumerate(weights)), F.lit(float(fitted.intercept)))
+    error = 1 / (1 + F.exp(-logit)) - F.col("y")
+    sums = placed.agg(
+        F.count("y").alias("n"), F.sum(error).alias("s"), *[F.sum(error * F.col("x")[i]).alias(f"s{i}") for i in range(len(weights))]
+    ).first()
+    slopes = [sums["s"], *(sums[f"s{i}"] + w for i, w in enumerate(weights))]
+    return max(abs(s) for s in slopes) / max(sums["n"], 1)
+
+
+def score_stored(
+    spark: SparkSession, root: str, name: str, version: str, subjects: DataFrame, scored_at: str | None = None
+) -> DataFrame:
+    """Score results of all subjects by a stored model: probability, score, decision, time and version."""
+    model, _ = load_model(spark, root, name, version)
+    scored = positive_probability(model, subjects)
+    return score_results(scored, F.col("score"), version, scored_at)
+
+
+def monitored(model: PipelineModel, rows: DataFrame, scored_at: str) -> DataFrame:
+    """Rows with the model's class and the time of scoring, as drift monitors read them."""
+    return positive_probability(model, rows).withColumn("scored_at", F.lit(scored_at).cast("timestamp_ntz"))
 
 
 def positive_probability(model: PipelineModel, df: DataFrame) -> DataFrame:

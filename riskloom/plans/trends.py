@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 
 from riskloom.functions import columns as c
 from riskloom.functions.fixed_values import DECISIONS
-from riskloom.operators.ranks import order_statistics, smallest_hash_rows
+from riskloom.operators.ranks import order_statistics
 from riskloom.plans.tiles import with_share
 
 def _approved() -> Column:
@@ -210,10 +210,9 @@ def monthly_by_product(applications: DataFrame) -> DataFrame:
     )
 
 
-def util_income_scatter(subjects: DataFrame, n: int = 50_000) -> DataFrame:
-    """A reproducible sample of exactly n points."""
-    points = subjects.select("subject_id", "credit_utilization", "monthly_income", "default_flag")
-    return smallest_hash_rows(points, "subject_id", "scatter", n=n)
+def util_income_scatter(subjects: DataFrame) -> DataFrame:
+    """Every subject's point."""
+    return subjects.select("subject_id", "credit_utilization", "monthly_income", "default_flag")
 
 
 def picker_bounds(applications: DataFrame) -> DataFrame:

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from functools import cache
+import datetime as dt
+from functools import cache, cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.ml import PipelineModel
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import columns as c
-from riskloom.operators import encode, ranks
+from riskloom.functions import fixed_values as fv
+from riskloom.operators import drift, encode, evaluate, ranks
 from riskloom.operators.drift import in_period
-from riskloom.plans import training
+from riskloom.operators.stepwise import MIN_GAIN
+from riskloom.plans import mart, training
 from riskloom.registry.queries import (
     EVENTS_AS_OF,
     monitor_sets,
@@ -19,97 +24,169 @@ from riskloom.registry.queries import (
     upsert_inputs,
 )
 from riskloom.session import materialize, scratch_path
-from riskloom.sources.testtables import CreditTables
+from riskloom.sources import tables
+from riskloom.sources.testtables import SCORED_AT, CreditTables
 from riskloom.streaming import jobs
 
-TREES = 10
 LABEL = "default_flag"
+BASELINE_AT, SOURCE_AT = "2026-07-01 00:00:00", "2026-07-15 00:00:00"
+CLASS_AS_OF = dt.date(2026, 7, 20)
 
 
 class ModelRun:
     """Train and test sets of one data folder and the models fitted on them, each once."""
 
     def __init__(self, t: CreditTables):
-        labels = t.wide.select("subject_id", LABEL)
+        labels = t.wide.select("subject_id", LABEL, "pd_true")
         encoded = encode.fill_zero(encode.scoring_view(t.wide)).join(labels, "subject_id")
         train, test = ranks.hash_split(encoded, "subject_id", 0.75, "split")
+        self.spark = t.spark
         self.train = materialize(train, "model-train")
         self.test = materialize(test, "model-test")
-        self.inputs = [n for n in encoded.columns if n not in ("subject_id", LABEL)]
+        self.inputs = [n for n in encoded.columns if n not in ("subject_id", LABEL, "pd_true")]
         self.numeric = [n for n in self.inputs if not n.startswith(
             ("gender_", "employment_type_", "education_", "region_code_"))]
-        self._fitted: dict = {}
-
-    def model(self, name: str):
-        if name not in self._fitted:
-            if name == "weighted":
-                fitted = training.train_gbt_weighted(self.train, self.inputs, LABEL, TREES)
-            elif name == "balanced":
-                fitted = training.train_gbt_balanced(self.train, self.inputs, LABEL, TREES)
-            else:
-                fitted = training.train_logreg_stepwise(self.train, self.numeric, "subject_id", LABEL)
-            self._fitted[name] = fitted
-        return self._fitted[name]
-
-    def all_models(self) -> dict:
+
+    @cached_property
+    def boosted_rows(self) -> DataFrame:
+        return training.boosted_sample(self.train, "subject_id")
+
+    @cached_property
+    def weighted(self) -> PipelineModel:
+        return training.train_gbt_weighted(self.boosted_rows, self.inputs, LABEL)
+
+    @cached_property
+    def balanced(self) -> PipelineModel:
+        return training.train_gbt_balanced(self.boosted_rows, self.inputs, LABEL)
+
+    @cached_property
+    def logreg(self) -> tuple[PipelineModel, list]:
+        return training.train_logreg_stepwise(self.train, self.numeric, "subject_id", LABEL)
+
+    @cached_property
+    def models(self) -> dict[str, PipelineModel]:
         return {
-            "LogReg (stepwise)": self.model("logreg")[0],
-            "GBT (weighted)": self.model("weighted"),
-            "GBT (balanced)": self.model("balanced"),
+            "LogReg (stepwise)": self.logreg[0],
+            "GBT (weighted)": self.weighted,
+            "GBT (balanced)": self.balanced,
         }
 
+    @cached_property
+    def comparison(self) -> DataFrame:
+        found = training.model_comparison(self.models, self.test, LABEL)
+        return materialize(found.coalesce(1), "model-comparison")
+
+    @cached_property
+    def stored(self) -> str:
+        """The folder where the best model is stored with the comparison."""
+        root = scratch_path(self.spark, "models")
+        best = training.best_model(self.comparison.orderBy(F.desc("auc"), "model"))
+        training.save_model(self.models[best], self.comparison, root, "PD_MODEL", mart.MODEL_VERSION)
+        return root
+
 
 @cache
 def model_run(t: CreditTables) -> ModelRun:
     return ModelRun(t)
 
 
-def _scores(t: CreditTables, name: str) -> DataFrame:
-    run = model_run(t)
-    model = run.model(name)
-    model = model[0] if isinstance(model, tuple) else model
-    return training.positive_probability(model, run.test).select(
-        "subject_id", LABEL, "score", "prediction"
+# Fitted numbers cannot be had from SQL. The model queries return the rows that SQL can derive and, for
+# each, whether what must hold of the fitted values does.
+
+
+def _checked(scored: DataFrame, *columns: str) -> DataFrame:
+    """Whether a score is a probability, and the class the one that the score stands for."""
+    return scored.select(
+        *columns,
+        F.coalesce(F.col("score").between(0, 1), F.lit(False)).alias("score_in_range"),
+        F.coalesce(F.col("prediction") == (F.col("score") > 0.5).cast("int"), F.lit(False)).alias("class_follows"),
     )
 
 
 @register
 def train_gbt_weighted(t: CreditTables) -> DataFrame:
-    return _scores(t, "weighted")
+    run = model_run(t)
+    return _checked(training.positive_probability(run.weighted, run.test), "subject_id", LABEL)
 
 
 @register
 def train_gbt_balanced(t: CreditTables) -> DataFrame:
-    return _scores(t, "balanced")
+    run = model_run(t)
+    return _checked(training.positive_probability(run.balanced, run.test), "subject_id", LABEL)
 
 
 @register
 def train_logreg_stepwise(t: CreditTables) -> DataFrame:
-    return _scores(t, "logreg")
+    """Also whether the weights are at the optimum, and every chosen feature gained enough."""
+    run = model_run(t)
+    model, steps = run.logreg
+    rows = ranks.smallest_hash_rows(run.train, "subject_id", "logreg", n=training.LR_SAMPLE)
+    slope = training.logistic_slope(model, rows.fillna(0), LABEL)
+    aucs = [0.5, *(step.auc for step in steps)]
+    gained = all(later > earlier + MIN_GAIN for earlier, later in zip(aucs, aucs[1:]))
+    checked = _checked(training.positive_probability(model, run.test), "subject_id", LABEL)
+    return checked.withColumns({"at_optimum": F.lit(slope < 1e-4), "gains_hold": F.lit(gained)})
+
+
+def _noise(n_pos: Column, n_neg: Column) -> Column:
+    """Three standard deviations of the AUC of scores that tell nothing."""
+    return 3 * F.sqrt((n_pos + n_neg + 1) / (12.0 * n_pos * n_neg))
 
 
 @register
 def model_comparison(t: CreditTables) -> DataFrame:
+    """For each model: Gini from AUC, and AUC between chance and that of the true probability."""
     run = model_run(t)
-    return training.model_comparison(run.all_models(), run.test, LABEL)
+    truth = evaluate.discrimination(run.test, "pd_true", LABEL).first()
+    noise = _noise(F.lit(truth["n_pos"]), F.lit(truth["n_neg"]))
+    again = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="score", numBins=0)
+    scores = {name: again.evaluate(training.positive_probability(m, run.test)) for name, m in run.models.items()}
+    same = F.create_map(*[F.lit(x) for pair in scores.items() for x in pair])[F.col("model")]
+    return run.comparison.select(
+        "model",
+        (F.abs(F.col("gini") - (2 * F.col("auc") - 1)) < 1e-12).alias("gini_follows"),
+        (F.abs(F.col("auc") - same) < 1e-9).alias("auc_agrees"),
+        (F.col("auc") > 0.5 - noise).alias("above_chance"),
+        (F.col("auc") < F.lit(truth["auc"]) + noise).alias("below_truth"),
+    )
 
 
 @register
 def rank_models(t: CreditTables) -> DataFrame:
-    """The stored metrics of the best model, read back with it."""
+    """The stored metrics of the best model, read back with it, in their order."""
     run = model_run(t)
-    comparison = materialize(model_comparison(t).coalesce(1), "model-comparison")
-    best = training.best_model(comparison.orderBy(F.desc("auc"), "model"))
-    root = scratch_path(t.spark, "models")
-    training.save_model(run.all_models()[best], comparison, root, "PD_MODEL", "V2")
-    _, stored = training.load_model(t.spark, root, "PD_MODEL", "V2")
-    return stored.orderBy(F.desc("auc"), "model")
+    _, stored = training.load_model(t.spark, run.stored, "PD_MODEL", mart.MODEL_VERSION)
+    order = Window.partitionBy().orderBy(F.desc("auc"), "model")  # one row for each model
+    return stored.select(
+        F.row_number().over(order).cast("bigint").alias("place"),
+        F.coalesce(F.col("auc") <= F.lag("auc").over(order), F.lit(True)).alias("not_better_than_the_last"),
+        F.col("model").isin(list(run.models)).alias("known"),
+    )
 
 
 @register
 def roc_long(t: CreditTables) -> DataFrame:
+    """For each model: whether its curve goes from (0, 0) to (1, 1) without falling, and encloses its AUC."""
     run = model_run(t)
-    return training.model_curves(run.all_models(), run.test, LABEL)
+    curves = training.model_curves(run.models, run.test, LABEL)
+    order = Window.partitionBy("model").orderBy(F.desc("threshold"))
+    before = [F.lag(c).over(order).alias(f"{c}_before") for c in ("fpr", "tpr")]
+    steps = curves.select("model", "threshold", "fpr", "tpr", *before)
+    width = F.col("fpr") - F.coalesce("fpr_before", F.lit(0.0))
+    height = (F.col("tpr") + F.coalesce("tpr_before", F.lit(0.0))) / 2
+    ends = steps.groupBy("model").agg(
+        F.max_by(F.struct("fpr", "tpr"), "threshold").alias("first"),
+        F.min_by(F.struct("fpr", "tpr"), "threshold").alias("last"),
+        F.bool_and(F.coalesce((F.col("fpr") >= F.col("fpr_before")) & (F.col("tpr") >= F.col("tpr_before")), F.lit(True))).alias("never_falls"),
+        F.sum(width * height).alias("area"),
+    )
+    return ends.join(run.comparison, "model").select(
+        "model",
+        ((F.col("first.fpr") == 0) & (F.col("first.tpr") == 0)).alias("from_the_origin"),
+        ((F.col("last.fpr") == 1) & (F.col("last.tpr") == 1)).alias("to_one"),
+        "never_falls",
+        (F.abs(F.col("area") - F.col("auc")) < 1e-9).alias("area_is_auc"),
+    )
 
 
 @register
@@ -117,8 +194,54 @@ def predict_sample(t: CreditTables) -> DataFrame:
     """Class predictions for ten encoded rows."""
     run = model_run(t)
     rows = run.test.orderBy("subject_id").limit(10)
-    return training.positive_probability(run.model("weighted"), rows).select(
-        "subject_id", "prediction"
+    return _checked(training.positive_probability(run.weighted, rows), "subject_id")
+
+
+@register
+def score_batch_model(t: CreditTables) -> DataFrame:
+    """All subjects scored by the stored model, the results stored and read back."""
+    run = model_run(t)
+    inputs = encode.fill_zero(encode.scoring_view(t.wide))
+    scored = training.score_stored(t.spark, run.stored, "PD_MODEL", mart.MODEL_VERSION, inputs, SCORED_AT)
+    stored = tables.replace_table(scored, scratch_path(t.spark, "model-scores"))
+    pd = F.col("pd_probability")
+    decided = F.when(pd < fv.PD_APPROVE_BELOW, "APPROVE").when(pd < fv.PD_REVIEW_BELOW, "REVIEW").otherwise("REJECT")
+    return stored.select(
+        "subject_id",
+        pd.between(0, 1).alias("pd_in_range"),
+        (F.col("credit_score") == 300 + F.round(550 * (1 - pd))).alias("score_follows"),
+        (F.col("decision") == decided).alias("decision_follows"),
+        "scored_at",
+        "model_version",
+    )
+
+
+def _class_monitors(t: CreditTables) -> tuple[DataFrame, DataFrame]:
+    """What the model predicted for its training rows, and for the rows it had not seen."""
+    run = model_run(t)
+    return training.monitored(run.weighted, run.train, BASELINE_AT), training.monitored(run.weighted, run.test, SOURCE_AT)
+
+
+@register
+def monitor_predicted_class(t: CreditTables) -> DataFrame:
+    """Both monitor tables of the predicted class, as written."""
+    stored = [
+        tables.replace_table(df, scratch_path(t.spark, f"class-{name}")).withColumn("part", F.lit(name))
+        for name, df in zip(["baseline", "source"], _class_monitors(t))
+    ]
+    both = stored[0].unionByName(stored[1])
+    return both.select("subject_id", LABEL, "scored_at", "part", F.col("prediction").isin(0, 1).alias("class_known"))
+
+
+@register
+def drift_predicted_class(t: CreditTables) -> DataFrame:
+    """Difference of the mean predicted class, by day."""
+    baseline, source = _class_monitors(t)
+    found = drift.difference_of_means(source, baseline, "scored_at", ["prediction"], CLASS_AS_OF)
+    return found.select(
+        "day", "feature", "n",
+        (F.abs(F.col("difference") - (F.col("mean") - F.col("baseline_mean"))) < 1e-12).alias("difference_follows"),
+        (F.col("mean").between(0, 1) & F.col("baseline_mean").between(0, 1)).alias("means_are_shares"),
     )
 
 

@@ -292,8 +292,8 @@ def _metric(name: str) -> str:
     )
 
 
-def _univariate(n_features: int = 50, keep: int = 30) -> str:
-    names = [n for n, d in WIDE_DRAWS.items() if d.kind != "choice"][:n_features]
+def _univariate(keep: int = 30) -> str:
+    names = [n for n, d in WIDE_DRAWS.items() if d.kind != "choice"]
     casts = ", ".join(f"{n}::DOUBLE AS {n}" for n in names)
     return wide(
         f"""SELECT feature, round(strength, 9) AS strength FROM (
@@ -326,6 +326,7 @@ BUNDLE = """app_date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'
   AND island_group IN ('AFRICA','ASIA','EUROPE') AND product_class = 'Secured' AND risk_segment IN ('Low','Medium')"""
 SPLIT = f"{hash32('subject_id', 'split')} < {int(0.75 * 2**32)}"
 SCALED = ["age", "monthly_income", "credit_utilization", "max_dpd_12m"]
+MODELS = "(VALUES ('LogReg (stepwise)'), ('GBT (weighted)'), ('GBT (balanced)')) m(model)"
 
 
 def _kpi_period(suffix: str, condition: str) -> str:
@@ -335,6 +336,11 @@ def _kpi_period(suffix: str, condition: str) -> str:
       round(100.0 * avg(default_flag) FILTER ({condition}), 2) AS default_rate_pct_{suffix}"""
 
 
+# The regions of the log and their odds, written out apart from the package's own lists.
+REGION_CODES = "DKI JABAR JATENG JATIM BANTEN YOGYA BALI NTB SUMUT SUMSEL RIAU LAMPUNG KALTIM KALBAR SULSEL SULUT PAPUA MALUKU".split()
+REGION_WEIGHTS = [11, 18, 17, 3, 11, 25, 15, 23, 28, 26, 8, 10, 8, 25, 25, 5, 16, 6]
+
+
 def _application_log() -> str:
     """Loan applications drawn per order."""
     def u(name: str) -> str:
@@ -348,9 +354,9 @@ def _application_log() -> str:
       SELECT 'APP' || lpad(o_orderkey::VARCHAR, 8, '0') AS application_id,
         'SUBJ' || lpad(floor({u('subject')} * 1000000)::BIGINT::VARCHAR, 9, '0') AS subject_id,
         DATE '2025-01-01' + floor({u('day')} * 546)::INT AS app_date,
-        {pick('region_code', fv.REGION_CODES)} AS region_code,
-        {pick('product_code', [p for p, _, _ in fv.PRODUCTS], fv.PRODUCT_WEIGHTS)} AS product_code,
-        {pick('lender_code', [x for x, _, _ in fv.LENDERS])} AS lender_code,
+        {pick('region_code', REGION_CODES, REGION_WEIGHTS)} AS region_code,
+        {pick('product_code', fv.PRODUCT_CODES, fv.PRODUCT_WEIGHTS)} AS product_code,
+        {pick('lender_code', fv.LENDER_CODES)} AS lender_code,
         {pick('channel', fv.CHANNELS, fv.CHANNEL_WEIGHTS)} AS channel,
         {pick('tenor', fv.TENORS)}::DOUBLE AS tenor_months,
         {u('amount')} AS ua, {u('decision')} AS ud
@@ -594,8 +600,7 @@ def oracles() -> dict[str, str]:
             f"SELECT region_code::BIGINT AS region_code, count(*) AS volume, {AVG_AMOUNT} AS avg_amount FROM apps GROUP BY 1"
         ),
         "util_income_scatter": credit(
-            f"""SELECT subject_id, credit_utilization, monthly_income, default_flag::BIGINT AS default_flag FROM subjects
-                ORDER BY {hash32('subject_id', 'scatter')}, subject_id LIMIT 1000"""
+            "SELECT subject_id, credit_utilization, monthly_income, default_flag::BIGINT AS default_flag FROM subjects"
         ),
         "latency_percentiles": f"""SELECT len(v) AS n, round(m, 6) AS mean_ms, {_nearest(50)} AS p50, {_nearest(95)} AS p95,
               {_nearest(99)} AS p99, round(len(v) * 1e6 / us, 9) AS per_second
@@ -655,6 +660,35 @@ def oracles() -> dict[str, str]:
                  CASE WHEN pd_true_prob < 0.10 THEN 'APPROVE' WHEN pd_true_prob < 0.30 THEN 'REVIEW' ELSE 'REJECT' END AS decision,
                  TIMESTAMP '2024-01-31 00:00:00' AS scored_at, 'V2_SPARK_ML' AS model_version FROM wide"""
         ),
+        # trained models: the rows, and what must hold of the fitted values
+        **{
+            f"train_gbt_{kind}": wide(f"SELECT subject_id, default_flag::BIGINT AS default_flag, true AS score_in_range, true AS class_follows FROM wide WHERE NOT ({SPLIT})")
+            for kind in ("weighted", "balanced")
+        },
+        "train_logreg_stepwise": wide(
+            f"""SELECT subject_id, default_flag::BIGINT AS default_flag, true AS score_in_range, true AS class_follows,
+                  true AS at_optimum, true AS gains_hold FROM wide WHERE NOT ({SPLIT})"""
+        ),
+        "model_comparison": f"""SELECT model, true AS gini_follows, true AS auc_agrees, true AS above_chance, true AS below_truth
+            FROM {MODELS}""",
+        "rank_models": "SELECT unnest([1, 2, 3])::BIGINT AS place, true AS not_better_than_the_last, true AS known",
+        "roc_long": f"""SELECT model, true AS from_the_origin, true AS to_one, true AS never_falls, true AS area_is_auc FROM {MODELS}""",
+        "predict_sample": wide(
+            f"SELECT subject_id, true AS score_in_range, true AS class_follows FROM wide WHERE NOT ({SPLIT}) ORDER BY subject_id LIMIT 10"
+        ),
+        "score_batch_model": wide(
+            """SELECT subject_id, true AS pd_in_range, true AS score_follows, true AS decision_follows,
+                 TIMESTAMP '2024-01-31 00:00:00' AS scored_at, 'V2_SPARK_ML' AS model_version FROM wide"""
+        ),
+        "monitor_predicted_class": wide(
+            f"""SELECT subject_id, default_flag::BIGINT AS default_flag, true AS class_known,
+                  CASE WHEN {SPLIT} THEN TIMESTAMP '2026-07-01' ELSE TIMESTAMP '2026-07-15' END AS scored_at,
+                  CASE WHEN {SPLIT} THEN 'baseline' ELSE 'source' END AS part FROM wide"""
+        ),
+        "drift_predicted_class": wide(
+            f"""SELECT DATE '2026-07-15' AS day, 'prediction' AS feature, count(*) AS n, true AS difference_follows,
+                  true AS means_are_shares FROM wide WHERE NOT ({SPLIT})"""
+        ),
         # feature views, drift
         "feature_view": wide(_core_select()),
         "dataset_snapshot": wide(_core_select("default_flag, ")),

@@ -598,7 +598,7 @@ def region_volume_avg_amount(t: CreditTables) -> DataFrame:
 
 @register
 def util_income_scatter(t: CreditTables) -> DataFrame:
-    return trends.util_income_scatter(t.subjects, 1000)
+    return trends.util_income_scatter(t.subjects)
 
 
 @register
@@ -671,7 +671,7 @@ def stratified_split(t: CreditTables) -> DataFrame:
 def univariate_auc_rank(t: CreditTables) -> DataFrame:
     _, numeric = encode.split_by_type(t.wide, "subject_id", "default_flag")
     usable = [n for n in numeric if not n.startswith("pd_true")]
-    return rounded(evaluate.univariate_rank(t.wide, usable[:50], "default_flag"), strength=9)
+    return rounded(evaluate.univariate_rank(t.wide, usable, "default_flag"), strength=9)
 
 
 @register

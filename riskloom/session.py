@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,22 +25,12 @@ def build_session(app: str = "riskloom", master: str | None = None, **conf: str)
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by `spark.checkpoint.dir`.
+    """The shared folder named by `spark.checkpoint.dir`, else one below the warehouse.
 
-    A temporary folder is used only on a local master where the setting is absent: executors of a
-    cluster cannot see each other's disks.
+    Executors of a cluster reach both; a folder of one machine is never used.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = _local_root(spark.sparkContext.applicationId)
-    return root.rstrip("/")
-
-
-@cache
-def _local_root(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"riskloom-{application}-")
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from itertools import product
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions import columns as c
@@ -145,9 +145,9 @@ def application_table(
 
     drawn = keys.selectExpr(
         f"{key} AS _id",
-        pick("region_code", fv.REGION_CODES),
-        pick("product_code", [code for code, _, _ in fv.PRODUCTS], fv.PRODUCT_WEIGHTS),
-        pick("lender_code", [code for code, _, _ in fv.LENDERS]),
+        pick("region_code", fv.REGION_CODES, fv.REGION_WEIGHTS),
+        pick("product_code", fv.PRODUCT_CODES, fv.PRODUCT_WEIGHTS),
+        pick("lender_code", fv.LENDER_CODES),
         pick("channel", fv.CHANNELS, fv.CHANNEL_WEIGHTS),
         pick("tenor", fv.TENORS),
         *[f"{uniform(key, n)} AS u_{n}" for n in ("subject", "day", "amount", "decision")],
@@ -156,11 +156,17 @@ def application_table(
         F.create_map(*[F.lit(x) for pair in fv.PRODUCT_BASE_AMOUNT.items() for x in pair]),
         F.col("product_code"),
     )
-    amount = F.round(base * (0.4 + 1.4 * F.col("u_amount")), -4)
+    low, high = fv.AMOUNT_FACTORS
+    amount = F.round(base * (low + round(high - low, 6) * F.col("u_amount")), -4)
+
+    def shift(column: str, rule: tuple) -> Column:
+        values, inside, outside = rule
+        return F.when(F.col(column).isin(*values), inside).otherwise(outside)
+
     approve = (
-        F.lit(0.62)
-        + F.when(F.col("channel").isin("Branch", "Agent"), 0.08).otherwise(-0.03)
-        + F.when(F.col("product_code").isin("KPR", "KKB"), 0.05).otherwise(-0.04)
+        F.lit(fv.APPROVAL_ODDS)
+        + shift("channel", fv.APPROVAL_BY_CHANNEL)
+        + shift("product_code", fv.APPROVAL_BY_PRODUCT)
     )
     days = (last - first).days + 1
     return drawn.select(
@@ -171,6 +177,6 @@ def application_table(
         amount.cast("decimal(18,0)").alias("requested_amount"),
         F.col("tenor").cast("decimal(5,0)").alias("tenor_months"),
         F.when(F.col("u_decision") < approve, "APPROVE")
-        .when(F.col("u_decision") < approve + 0.15, "REVIEW")
+        .when(F.col("u_decision") < approve + fv.REVIEW_ODDS, "REVIEW")
         .otherwise("REJECT").alias("decision"),
     )

@@ -74,6 +74,8 @@ def test_stamps_carry_no_zone(spark):
 def test_clean_names():
     raw = ['"GENDER_F"', "a, b", "A  B", "x__y_", "a-b", 'Mobile "App"']
     assert clean_names(raw) == ["GENDER_F", "A_B", "A_B_1", "X_Y", "A_B_2", "MOBILE_APP"]
+    assert clean_names(["a", "a", "a_1", "a", "__", ""]) == ["A", "A_1", "A_1_1", "A_2", "COLUMN", "COLUMN_1"]
+    assert clean_names(["a_1", "a", "a"]) == ["A_1", "A", "A_2"]
 
 
 @pytest.mark.parametrize("uniform", [fast_uniform_sql, md5_uniform_sql])

@@ -2,12 +2,11 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from riskloom.operators import evaluate, ranks
-from riskloom.operators.stepwise import fit_all, forward_selection
+from riskloom.operators.stepwise import best_candidate, fit_logistic, forward_selection
 from riskloom.plans import training
 from riskloom.sources.synthetic import generate_subjects
 
@@ -23,24 +22,29 @@ def subjects(spark):
     return df.repartition(4).cache()
 
 
-def test_newton_fit_equals_spark_logistic_regression(spark):
+def test_fit_is_at_the_least_penalised_loss(spark):
     rng = random.Random(2)
     data = []
     for _ in range(800):
-        x = [rng.gauss(0, 1) for _ in range(3)]
-        y = int(rng.random() < 1 / (1 + np.exp(-(x[0] - 0.5 * x[1] - 1))))
-        data.append((y, x))
-    df = spark.createDataFrame(data, "y int, x array<double>").repartition(5)
-    got = fit_all(df, {0: [0, 1], 1: [2]})
-    assembled = VectorAssembler(inputCols=["a", "b"], outputCol="f").transform(
-        df.select("y", F.col("x")[0].alias("a"), F.col("x")[1].alias("b"))
-    )
-    model = LogisticRegression(
-        labelCol="y", featuresCol="f", regParam=1 / 800, standardization=False, tol=1e-12, maxIter=500
-    ).fit(assembled)
-    assert got[0][0] == pytest.approx(model.intercept, abs=1e-4)
-    assert list(got[0][1:]) == pytest.approx(list(model.coefficients), abs=1e-4)
-    assert len(got[1]) == 2
+        x = [rng.gauss(0, 1) for _ in range(2)]
+        data.append((int(rng.random() < 1 / (1 + np.exp(-(x[0] - 0.5 * x[1] - 1)))), *x))
+    df = spark.createDataFrame(data, "y int, a double, b double").repartition(5)
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="f").transform(df)
+    model = fit_logistic(rows, "f", "y", 800)
+    table = np.array(data, float)
+    design = np.column_stack([np.ones(800), table[:, 1:]])
+    weights = np.array([model.intercept, *model.coefficients])
+    slope = design.T @ (1 / (1 + np.exp(-design @ weights)) - table[:, 0]) + np.array([0, 1, 1]) * weights
+    assert np.abs(slope).max() < 0.01
+    with pytest.raises(ArithmeticError):
+        fit_logistic(rows, "f", "y", 800, max_iter=1)
+
+
+def test_a_later_candidate_must_be_clearly_better():
+    assert best_candidate([(4, 0.70), (1, 0.70009), (2, 0.69)], 0.5) == 4
+    assert best_candidate([(4, 0.70), (1, 0.70011), (2, 0.69)], 0.5) == 1
+    assert best_candidate([(4, 0.70), (1, None)], 0.69995) is None
+    assert best_candidate([], 0.5) is None
 
 
 def test_forward_selection_improves_every_round(subjects):

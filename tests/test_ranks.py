@@ -27,11 +27,11 @@ def scored(spark):
     return data, spark.createDataFrame(data, "g string, s double, y int")
 
 
-@pytest.mark.parametrize("task_rows", [1_000_000, 20])
-def test_running_totals_by_window_and_by_range(spark, scored, task_rows):
+@pytest.mark.parametrize("ranges", [1, 20])
+def test_running_totals_by_window_and_by_range(spark, scored, ranges):
     data, df = scored
     counts = df.groupBy("g", "s").agg(F.count("*").alias("n"))
-    got = running_totals(counts, "s", ["n"], ["g"], task_rows).collect()
+    got = running_totals(counts, "s", ["n"], ["g"], ranges).collect()
     assert len(got) == counts.count()
     for row in got:
         group = [s for g, s, _ in data if g == row.g]
@@ -41,15 +41,15 @@ def test_running_totals_by_window_and_by_range(spark, scored, task_rows):
 
 def test_running_totals_keep_a_null_group(rows):
     df = rows("g string, v int, n int", ("a", 1, 2), (None, 1, 3), (None, 2, 4))
-    for task_rows in (100, 1):
-        got = {(r.g, r.v): (r.n_before, r.n_total) for r in running_totals(df, "v", ["n"], ["g"], task_rows).collect()}
+    for ranges in (100, 1):
+        got = {(r.g, r.v): (r.n_before, r.n_total) for r in running_totals(df, "v", ["n"], ["g"], ranges).collect()}
         assert got == {("a", 1): (0, 2), (None, 1): (0, 7), (None, 2): (3, 7)}
 
 
-@pytest.mark.parametrize("task_rows", [1_000_000, 20])
-def test_auc_with_ties_matches_all_pairs(scored, task_rows):
+@pytest.mark.parametrize("ranges", [1, 20])
+def test_auc_with_ties_matches_all_pairs(scored, ranges):
     data, df = scored
-    got = {r.g: r for r in evaluate.discrimination(df, "s", "y", ["g"], task_rows).collect()}
+    got = {r.g: r for r in evaluate.discrimination(df, "s", "y", ["g"], ranges).collect()}
     for g in ("a", "b"):
         expected = brute_auc([(s, y) for gg, s, y in data if gg == g])
         assert got[g].auc == pytest.approx(expected, abs=1e-12)
@@ -105,12 +105,12 @@ def nearest(values, p):
 
 
 @pytest.mark.parametrize("n", [1, 2, 5, 101, 400])
-@pytest.mark.parametrize("task_rows", [1_000_000, 30])
-def test_nearest_rank_percentiles_and_median(spark, n, task_rows):
+@pytest.mark.parametrize("ranges", [1, 30])
+def test_nearest_rank_percentiles_and_median(spark, n, ranges):
     rng = random.Random(n)
     values = [round(rng.expovariate(1), 2) for _ in range(n)]
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
-    row = order_statistics(df, "v", {"p50": 50, "p95": 95, "p99": 99}, task_rows=task_rows).first()
+    row = order_statistics(df, "v", {"p50": 50, "p95": 95, "p99": 99}, ranges=ranges).first()
     assert [row.p50, row.p95, row.p99] == [nearest(values, p) for p in (50, 95, 99)]
     middle = sorted(values)[(n - 1) // 2], sorted(values)[n // 2]
     assert row.n == n and row.median == pytest.approx(sum(middle) / 2)
@@ -126,10 +126,29 @@ def test_exact_sample_size_and_independence_of_partitioning(spark):
     assert smallest_hash_rows(df, "id", "s", n=0).count() == 0
 
 
-def test_sample_refines_its_buckets(spark):
-    df = spark.range(3000).withColumn("id", F.lit(1).cast("bigint") * (F.col("id") % 3))
-    refined = smallest_hash_rows(df, "id", "s", n=1500, edge_rows=10)
-    assert refined.count() == 1500
+def test_sample_does_not_depend_on_its_buckets(spark):
+    df = spark.range(3000)
+    want = sorted(smallest_hash_rows(df, "id", "s", n=1500).collect())
+    assert len(want) == 1500
+    for bits in (1, 5, 32):
+        assert sorted(smallest_hash_rows(df, "id", "s", n=1500, bits=bits).collect()) == want
+
+
+def test_plans_are_built_without_a_job(spark):
+    df = spark.range(100).withColumn("y", (F.col("id") % 2).cast("int"))
+    context = spark.sparkContext
+    context.setJobGroup("plans", "none may start")
+    order_statistics(df, "id", {"p50": 50})
+    smallest_hash_rows(df, "id", "s", n=10)
+    smallest_hash_rows(df, "id", "s", strata="y", fraction=0.5)
+    evaluate.discrimination(df, "id", "y")
+    assert len(context.statusTracker().getJobIdsForGroup("plans")) == 0
+    context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_more_strata_than_a_label_has_are_refused(spark):
+    with pytest.raises(Exception, match="strata"):
+        smallest_hash_rows(spark.range(3000).withColumn("y", F.col("id")), "id", "s", strata="y", fraction=0.5).count()
 
 
 def test_stratified_sample_keeps_the_proportions(spark):
