@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-HOT_SHARE = 0.005
-HOT_ROWS = 100_000
-SALTS = 64
+from riskloom.session import materialize
 
+#: What may be sent to every executor, by counted rows and measured bytes.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 32 << 20
+#: Rows of one key that one task may hold; a key with more is spread.
+TASK_ROWS = 1_000_000
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether `df` holds at most `max_rows` rows; counting stops one row beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
+
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether `df` holds at most `max_rows` rows and `max_bytes` bytes, measured as JSON text.
+
+    Counting stops one row beyond.
+    """
+    width = F.octet_length(F.to_json(F.struct("*"))).cast("bigint")
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -24,28 +32,34 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
-def hot_keys(
-    df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_ROWS
-) -> list:
-    """Key values (None included) that hold more than `share` of the rows and more than `min_rows`
-    rows: at most 1/share of them.
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys (NULL included) with more rows than a task should hold, and the salts each is spread over.
 
-    The frequent-item sketch is one scan of one column without a shuffle and misses no such key;
-    the exact count that follows drops its false positives. Give it a stored table, since `df` is
-    read several times.
+    `table` has columns key and salts; there are at most 1 / task_rows as many keys as rows.
     """
-    column = df.select(F.col(key).alias("k"))
-    if column.limit(min_rows + 1).count() <= min_rows:
-        return []
-    sketch = column.stat.freqItems(["k"], share).first()["k_freqItems"] or []
-    candidates = [value for value in sketch if value is not None]
-    flagged = F.when(F.col("k").isin(candidates), F.col("k")) if candidates else F.lit(None)
-    counted = column.groupBy(F.col("k").isNull().alias("missing"), flagged.alias("k")).count().collect()
-    bound = max(share * sum(row["count"] for row in counted), min_rows)
-    return [
-        row["k"] for row in counted
-        if row["count"] > bound and (row["missing"] or row["k"] is not None)
-    ]
+
+    table: DataFrame | None = None
+    n: int = 0
+
+    def __bool__(self) -> bool:
+        return self.n > 0
+
+    def joined(self, df: DataFrame, key: str) -> DataFrame:
+        """`df` with the column `_salts`, 1 for keys that are not hot."""
+        table = self.table.withColumnsRenamed({"key": "_hot_key", "salts": "_salts"})
+        # A row of the table is a key and a number.
+        table = F.broadcast(table) if self.n <= BROADCAST_ROWS else table
+        found = df.join(table, df[key].eqNullSafe(table["_hot_key"]), "left").drop("_hot_key")
+        return found.withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+
+
+def hot_keys(df: DataFrame, key: str, task_rows: int = TASK_ROWS) -> HotKeys:
+    """The keys of `df` with more than `task_rows` rows, by one count of one column."""
+    counts = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    salts = F.ceil(F.col("n") / task_rows).cast("int").alias("salts")
+    table = materialize(counts.where(F.col("n") > task_rows).select("key", salts), "hot-keys")
+    return HotKeys(table, table.count())
 
 
 def left_join_lookups(
@@ -53,26 +67,25 @@ def left_join_lookups(
     lookups: list[DataFrame],
     key: str,
     row_key: str,
-    hot: list | None = None,
-    salts: int = SALTS,
+    hot: HotKeys | list | None = None,
 ) -> DataFrame:
     """Left-join several tables with unique `key` onto `facts`.
 
-    Rows of a hot key are spread over `salts` partitions by a hash of `row_key`, and the lookup row
-    of that key (one per table) is repeated as often. A hot NULL is spread too; it matches nothing.
-    All joins share one join key, so `facts` is shuffled once. Without hot keys it is a plain join.
+    Rows of a hot key are spread by a hash of `row_key` over as many salts as it has tasks' worth of
+    rows, and the lookup row of that key (one per table) is repeated as often, so that no task holds
+    more than its share of one key, however large the data. A hot NULL is spread too; it matches
+    nothing. All joins share one join key, so `facts` is shuffled once. Without hot keys (`hot` an
+    empty list says that there are none) it is a plain join.
     """
     hot = hot_keys(facts, key) if hot is None else hot
     if not hot:
         return reduce(lambda left, lookup: left.join(lookup, key, "left"), lookups, facts)
-    values = [value for value in hot if value is not None]
-    is_hot = F.col(key).isin(values) if values else F.lit(False)
-    spread = F.pmod(F.xxhash64(row_key), F.lit(salts)).cast("int")
-    salted = facts.withColumn("_salt", F.when(F.col(key).isNull() | is_hot, spread).otherwise(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    spread = F.pmod(F.xxhash64(row_key), F.col("_salts")).cast("int")
+    salted = hot.joined(facts, key).withColumn("_salt", spread).drop("_salts")
+    copies = F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))
     joined = reduce(
         lambda left, lookup: left.join(
-            lookup.withColumn("_salt", F.explode(copies)), [key, "_salt"], "left"
+            hot.joined(lookup, key).withColumn("_salt", copies).drop("_salts"), [key, "_salt"], "left"
         ),
         lookups,
         salted,
@@ -86,7 +99,7 @@ def left_join_dimension(
     key: str,
     row_key: str,
     small: bool | None = None,
-    hot: list | None = None,
+    hot: HotKeys | list | None = None,
 ) -> DataFrame:
     """Left-join a dimension with unique `key`: broadcast if it is counted to be small, else salted.
 
@@ -98,7 +111,7 @@ def left_join_dimension(
 
 
 def attach_features(
-    requests: DataFrame, features: DataFrame, key: str, row_key: str, hot: list | None = None
+    requests: DataFrame, features: DataFrame, key: str, row_key: str, hot: HotKeys | list | None = None
 ) -> DataFrame:
     """Requests with their features; a request whose key is unknown is dropped."""
     marked = features.withColumn("_found", F.lit(True))

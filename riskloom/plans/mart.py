@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import columns as c
 from riskloom.operators.joins import (
+    HotKeys,
     hot_keys,
     is_small,
     left_join_dimension,
@@ -84,10 +85,10 @@ class ApplicationMart:
     lender: DataFrame
     scores: DataFrame
     features: DataFrame
-    hot: list | None = None
-    _treatment: dict[str, tuple[bool, list]] = field(default_factory=dict, repr=False)
+    hot: HotKeys | list | None = None
+    _treatment: dict[str, tuple[bool, HotKeys | list]] = field(default_factory=dict, repr=False)
 
-    def _how_to_join(self, code: str, dimension: DataFrame) -> tuple[bool, list]:
+    def _how_to_join(self, code: str, dimension: DataFrame) -> tuple[bool, HotKeys | list]:
         """Whether a dimension is small, else its hot codes; found once, when it is first joined."""
         if code not in self._treatment:
             small = is_small(dimension)

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 
 from riskloom.functions.filters import FilterSpec
 from riskloom.functions.fixed_values import APPROVAL_TARGET_PCT
-from riskloom.plans.mart import ApplicationMart
+from riskloom.plans.mart import MONTHLY_KEYS, ApplicationMart
 
 Mart = ApplicationMart | DataFrame
 
@@ -57,6 +57,41 @@ class Tile:
         return out.limit(self.limit) if self.limit else out
 
 
+    def fits_monthly(self, filters: FilterSpec | None = None) -> bool:
+        """Whether the monthly pre-aggregate holds the tile's keys, measures and filters."""
+        read = {*self.by, *(filters.columns() if filters else [])}
+        return read <= set(MONTHLY_KEYS) and set(self.measures) <= set(_monthly_measures())
+
+    def query_monthly(self, monthly: DataFrame, filters: FilterSpec | None = None) -> DataFrame:
+        """The same rows from the stored pre-aggregate: sums of its sums and counts."""
+        known = _monthly_measures()
+        source = filters.apply(monthly) if filters else monthly
+        out = source.groupBy(*self.by).agg(*[known[m].alias(m) for m in self.measures])
+        order = [F.desc(self.descending)] if self.descending else []
+        if self.by:
+            out = out.orderBy(*order, *self.by)
+        return out.limit(self.limit) if self.limit else out
+
+
+def _monthly_measures() -> dict[str, Column]:
+    """The measures over rows of the monthly pre-aggregate."""
+
+    def mean(total: str, n: str) -> Column:
+        return F.try_divide(F.sum(total).cast("double"), F.sum(n))
+
+    count = F.coalesce(F.sum("n_applications"), F.lit(0))
+    score = F.round(mean("sum_credit_score", "n_credit_score"))
+    return {
+        "applications": count,
+        "total_applications": count,
+        "approval_rate_pct": F.round(100.0 * mean("n_approved", "n_applications"), 1),
+        "avg_credit_score": score,
+        "avg_score": score,
+        "default_rate_pct": F.round(100.0 * mean("n_default", "n_default_known"), 2),
+        "avg_pd": F.round(mean("sum_pd", "n_pd"), 4),
+    }
+
+
 TILES = {
     "kpi_total_applications": Tile((), ("total_applications",)),
     "kpi_approval_rate": Tile((), ("approval_rate_pct",)),
@@ -83,8 +118,14 @@ TILES = {
 }
 
 
-def tile(name: str, mart: Mart, filters: FilterSpec | None = None) -> DataFrame:
-    return TILES[name].query(mart, filters)
+def tile(
+    name: str, mart: Mart, filters: FilterSpec | None = None, monthly: DataFrame | None = None
+) -> DataFrame:
+    """A tile, from the monthly pre-aggregate if one is given that holds all it needs."""
+    made = TILES[name]
+    if monthly is not None and made.fits_monthly(filters):
+        return made.query_monthly(monthly, filters)
+    return made.query(mart, filters)
 
 
 def with_share(counts: DataFrame, value: str, within: tuple[str, ...] = ()) -> DataFrame:

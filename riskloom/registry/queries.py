@@ -15,7 +15,8 @@ from riskloom.functions.filters import FilterSpec, last_days
 from riskloom.functions.hashing import md5_uniform, md5_uniform_sql
 from riskloom.functions.naming import clean_columns
 from riskloom.operators import drift, encode, evaluate, ranks
-from riskloom.operators.joins import attach_features, rows_with_keys, upsert
+from riskloom.operators.joins import attach_features, rows_with_keys
+from riskloom.operators.upserts import BucketedTable
 from riskloom.plans import features, mart, metrics, tiles, trends
 from riskloom.session import scratch_path
 from riskloom.sources import delimited, schemas, synthetic, tables
@@ -314,25 +315,25 @@ def add_scored_at(t: CreditTables) -> DataFrame:
 
 @register
 def lookup_one(t: CreditTables) -> DataFrame:
-    return t.wide.where(F.col("subject_id") == "SUBJ000000042").select(*LOOKUP_COLUMNS)
+    return t.lookup.where(F.col("subject_id") == "SUBJ000000042").select(*LOOKUP_COLUMNS)
 
 
 @register
 def lookup_many(t: CreditTables) -> DataFrame:
     """The subjects that placed a request, by semi-join."""
     wanted = t.raw("events").select(c.padded_key("SUBJ", F.col("user_id"), 9).alias("subject_id"))
-    return rows_with_keys(t.wide, "subject_id", wanted.distinct()).select(*LOOKUP_COLUMNS)
+    return rows_with_keys(t.lookup, "subject_id", wanted.distinct()).select(*LOOKUP_COLUMNS)
 
 
 @register
 def lookup_list(t: CreditTables) -> DataFrame:
     keys = ["SUBJ000000007", "SUBJ000000042", "SUBJ000000099", "SUBJ999999999"]
-    return rows_with_keys(t.wide, "subject_id", keys).select(*LOOKUP_COLUMNS)
+    return rows_with_keys(t.lookup, "subject_id", keys).select(*LOOKUP_COLUMNS)
 
 
 @register
 def count_by_secondary(t: CreditTables) -> DataFrame:
-    return t.wide.where(F.col("region_code") == "DKI").agg(F.count(F.lit(1)).alias("n_in_region"))
+    return t.subjects_by_region.where(F.col("region_code") == "DKI").agg(F.count(F.lit(1)).alias("n_in_region"))
 
 
 BUNDLE = FilterSpec(
@@ -451,7 +452,9 @@ def upsert_inputs(t: CreditTables) -> tuple[DataFrame, DataFrame]:
 @register
 def feature_upsert(t: CreditTables) -> DataFrame:
     base, changes = upsert_inputs(t)
-    return upsert(base, changes, "subject_id", increments=("num_inquiries_12m",))
+    stored = BucketedTable.create(base, scratch_path(t.spark, "upsert"), "subject_id")
+    stored.upsert(changes, increments=("num_inquiries_12m",))
+    return stored.read()
 
 
 # --- aggregates -------------------------------------------------------------------------------------------
@@ -469,6 +472,8 @@ def decision_summary(t: CreditTables) -> DataFrame:
 
 def _register_tile(name: str) -> None:
     QUERIES[name] = lambda t: tiles.tile(name, t.mart)
+    if tiles.TILES[name].fits_monthly():
+        QUERIES[f"{name}_monthly"] = lambda t: tiles.tile(name, t.mart, monthly=t.monthly)
 
 
 for _name in tiles.TILES:

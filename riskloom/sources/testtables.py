@@ -20,11 +20,15 @@ from riskloom.operators.joins import (
     left_join_dimension,
     left_join_lookups,
 )
-from riskloom.plans.mart import ApplicationMart, score_results
-from riskloom.session import materialize
+from riskloom.plans.features import lookup_table
+from riskloom.plans.mart import ApplicationMart, mart_app_monthly, score_results
+from riskloom.session import materialize, scratch_path
 from riskloom.sources.synthetic import subject_table
+from riskloom.sources.tables import replace_table, write_clustered
 
 SCORED_AT = "2024-01-31 00:00:00"
+#: Wide rows that one task makes.
+ROWS_PER_TASK = 200_000
 
 
 class CreditTables:
@@ -194,10 +198,27 @@ class CreditTables:
     def wide(self) -> DataFrame:
         """The 198-column feature table, one row per customer, with reproducible draws."""
         keys = self.raw("customer").select(F.col("c_custkey").alias("rn"))
-        # A few ids cost much computing: spread them over all cores first.
-        spread = keys.repartition(self.spark.sparkContext.defaultParallelism, "rn")
+        # A few ids cost much computing: spread them over all cores, and many over as many tasks as they fill.
+        tasks = max(self.spark.sparkContext.defaultParallelism, keys.count() // ROWS_PER_TASK)
+        spread = keys.repartition(tasks, "rn")
         return materialize(subject_table(spread, "rn", md5_uniform_sql), "subject-features-wide")
 
+    @cached_property
+    def lookup(self) -> DataFrame:
+        """The columns served to requests, sorted by subject: a key lookup skips all row groups but a few."""
+        return write_clustered(lookup_table(self.wide), scratch_path(self.spark, "lookup"), "subject_id")
+
+    @cached_property
+    def subjects_by_region(self) -> DataFrame:
+        """Subject ids in one folder for each region, for lookups by that second key."""
+        ids = self.wide.select("subject_id", "region_code")
+        return replace_table(ids, scratch_path(self.spark, "by-region"), ["region_code"])
+
+    @cached_property
+    def monthly(self) -> DataFrame:
+        """The monthly pre-aggregate of the mart, in one folder for each year."""
+        return replace_table(mart_app_monthly(self.mart), scratch_path(self.spark, "mart-monthly"), ["app_year"])
+
     @cached_property
     def mart(self) -> ApplicationMart:
         return ApplicationMart(
@@ -221,12 +242,19 @@ def _int(column: Column) -> Column:
     return column.cast("int")
 
 
-_STAGED: dict[tuple[str, str], CreditTables] = {}
+_STAGED: dict[tuple, CreditTables] = {}
+
+
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of what lies in a folder, in whatever store Spark reads it from."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
 
 
 def credit_tables(spark: SparkSession, folder: str) -> CreditTables:
-    """The staged tables of `folder`, kept for the life of the Spark application."""
-    key = (spark.sparkContext.applicationId, folder)
+    """The staged tables of `folder` as its files are now, kept for the life of the Spark application."""
+    key = (spark.sparkContext.applicationId, folder, _state(spark, folder))
     if key not in _STAGED:
         _STAGED[key] = CreditTables(spark, folder)
     return _STAGED[key]

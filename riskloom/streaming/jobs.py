@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from riskloom.functions import columns as c
 from riskloom.operators.drift import overall_means, with_baseline
-from riskloom.operators.joins import left_join_lookups, upsert
+from riskloom.operators.joins import is_small, left_join_lookups
+from riskloom.operators.upserts import BUCKETS, BucketedTable
 from riskloom.session import scratch_path
 
 
@@ -47,14 +48,27 @@ def run_available(
 
 
 def score_requests(requests: DataFrame, features: DataFrame, key: str, row_key: str, pd: Column) -> DataFrame:
-    """Requests with probability, score and decision; an unknown subject has no probability."""
-    joined = left_join_lookups(requests, [features], key, row_key)
-    scored = joined.withColumn("pd_probability", pd)
-    return scored.select(
+    """Requests with probability, score and decision; an unknown subject has none of them.
+
+    The features are first cut to the subjects of the requests. A batch has few of them, so they are
+    sent to the scan of the feature table, which is not shuffled; only a batch of very many subjects
+    makes Spark join both sides by a shuffle.
+    """
+    wanted = requests.select(key).distinct()
+    small = is_small(wanted)
+    known = features.join(F.broadcast(wanted) if small else wanted, key, "left_semi")
+    probable = known.withColumn("pd_probability", pd).select(key, "pd_probability")
+    # Of each wanted subject one row is known, so that this side is as small as the other.
+    if small:
+        joined = requests.join(F.broadcast(probable), key, "left")
+    else:
+        joined = left_join_lookups(requests, [probable], key, row_key)
+    found = F.col("pd_probability")
+    return joined.select(
         *requests.columns,
         "pd_probability",
-        c.credit_score(F.col("pd_probability")).alias("credit_score"),
-        c.decision_band(F.col("pd_probability")).alias("decision"),
+        c.credit_score(found).alias("credit_score"),
+        F.when(found.isNotNull(), c.decision_band(found)).alias("decision"),
     )
 
 
@@ -112,26 +126,21 @@ def stream_feature_refresh(
     increments: tuple[str, ...],
     checkpoint: str,
     versions: str,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Apply a stream of raw changes to a feature table, one table version per micro-batch.
 
-    `summarise` reduces a batch to one row per key. Version n is made from version n - 1, so running
-    a batch again gives the same version again.
+    `summarise` reduces a batch to one row per key. A batch reads and writes only the key buckets that
+    it touches. Version n + 1 is made from version n by batch n, so running a batch again gives the
+    same version again.
     """
-    spark = base.sparkSession
-
-    def path(number: int) -> str:
-        return f"{versions}/version={number}"
+    table = BucketedTable.create(base, versions, key, buckets)
 
     def each(batch: DataFrame, number: int) -> None:
-        before = base if number == 0 else spark.read.schema(base.schema).parquet(path(number - 1))
-        updated = upsert(before, summarise(batch), key, increments)
-        updated.write.mode("overwrite").parquet(path(number))
+        table.upsert(summarise(batch), increments, number)
 
     run_available(changes, each, checkpoint)
-    stored = spark.read.option("basePath", versions).parquet(versions)
-    newest = stored.agg(F.max("version")).first()[0]
-    return spark.read.schema(base.schema).parquet(path(newest))
+    return table.read()
 
 
 def stream_paths(spark: SparkSession, name: str) -> tuple[str, str]:

@@ -7,6 +7,7 @@ from riskloom.operators.joins import (
     attach_features,
     broadcast_if_small,
     hot_keys,
+    is_small,
     left_join_dimension,
     left_join_lookups,
     rows_with_keys,
@@ -31,11 +32,38 @@ def lookup(spark):
     return spark.range(0, 2500).select(F.col("id").cast("int").alias("k"), (F.col("id") * 10).alias("v"))
 
 
+def salts_of(hot):
+    return {row["key"]: row["salts"] for row in hot.table.collect()}
+
+
 def test_hot_keys_finds_the_heavy_key_and_null_only(skewed):
-    assert sorted(hot_keys(skewed, "k", 0.01, min_rows=0), key=str) == [7, None]
-    assert hot_keys(skewed, "k", 0.01, min_rows=1000) == [7]
-    assert hot_keys(skewed, "k") == []
-    assert hot_keys(skewed.where("row_id < 0"), "k", min_rows=0) == []
+    counts = {row.k: row["count"] for row in skewed.groupBy("k").count().collect()}
+    found = salts_of(hot_keys(skewed, "k", 100))
+    assert found == {7: -(-counts[7] // 100), None: -(-counts[None] // 100)}
+    assert set(salts_of(hot_keys(skewed, "k", 1000))) == {7}
+    assert not hot_keys(skewed, "k")
+    assert not hot_keys(skewed.where("row_id < 0"), "k", 0)
+
+
+def test_no_task_gets_more_than_its_share_of_hot_keys(spark):
+    """One key with 30 % of the rows, and many with 0.5 %."""
+    df = spark.range(20_000).select(
+        F.col("id").alias("row_id"),
+        F.when(F.col("id") % 10 < 3, -1).otherwise(F.col("id") % 140).cast("int").alias("k"),
+    )
+    lookup = spark.range(-1, 140).select(F.col("id").cast("int").alias("k"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    try:
+        joined = left_join_lookups(df, [lookup], "k", "row_id", hot_keys(df, "k", 60))
+        assert joined.count() == 20_000 and joined.where("v != k").count() == 0
+        sizes = joined.groupBy(F.spark_partition_id().alias("p"), "k").count()
+        assert sizes.agg(F.max("count")).first()[0] <= 4 * 60
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
 def test_salted_join_equals_plain_join(spark, skewed, lookup):
@@ -43,7 +71,7 @@ def test_salted_join_equals_plain_join(spark, skewed, lookup):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        salted = left_join_lookups(skewed, [lookup, other], "k", "row_id", hot=[7, None], salts=8)
+        salted = left_join_lookups(skewed, [lookup, other], "k", "row_id", hot=hot_keys(skewed, "k", 100))
         plain = skewed.join(lookup, "k", "left").join(other, "k", "left")
         columns = ["row_id", "k", "v", "w"]
         assert sorted(map(str, salted.select(columns).collect())) == sorted(
@@ -51,7 +79,7 @@ def test_salted_join_equals_plain_join(spark, skewed, lookup):
         )
         spread = (
             left_join_lookups(
-                skewed.select("row_id", "k"), [lookup], "k", "row_id", hot=[7, None], salts=8
+                skewed.select("row_id", "k"), [lookup], "k", "row_id", hot=hot_keys(skewed, "k", 100)
             )
             .where("k = 7")
             .select(F.spark_partition_id().alias("p"))
@@ -69,7 +97,7 @@ def test_salted_join_shuffles_the_facts_once(spark, skewed, lookup):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         other = lookup.withColumnRenamed("v", "w")
-        joined = left_join_lookups(skewed, [lookup, other], "k", "row_id", hot=[7], salts=8)
+        joined = left_join_lookups(skewed, [lookup, other], "k", "row_id", hot=hot_keys(skewed, "k", 1000))
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") == 3
     finally:
@@ -91,6 +119,8 @@ def test_broadcast_needs_a_counted_size(spark):
 
     assert hinted(broadcast_if_small(spark.range(10), 10))
     assert not hinted(broadcast_if_small(spark.range(11), 10))
+    wide = spark.range(3).select(F.repeat(F.lit("x"), 1000).alias("x"))
+    assert is_small(wide, 10, 4000) and not is_small(wide, 10, 2000)
 
 
 def test_unknown_requests_are_dropped(skewed, lookup):

@@ -7,6 +7,7 @@ from riskloom.functions.filters import FilterSpec
 from riskloom.functions.hashing import fast_uniform
 from riskloom.plans import metrics, tiles, trends
 from riskloom.plans.features import FeatureView, credit_bureau_features, dataset_snapshot, training_set
+from riskloom.operators.joins import hot_keys
 from riskloom.plans.mart import (
     MART_COLUMNS,
     MONTHLY_KEYS,
@@ -71,7 +72,7 @@ def test_decision_is_the_applications(mart):
 
 
 def test_hot_subject_gives_the_same_mart(parts, mart):
-    salted = ApplicationMart(*parts, hot=["s1", None]).all_columns()
+    salted = ApplicationMart(*parts, hot=hot_keys(parts[0], "subject_id", 1)).all_columns()
     assert sorted(map(str, salted.collect())) == sorted(map(str, mart.collect()))
 
 
@@ -171,7 +172,7 @@ def test_feature_view_versions_and_training_set(spark, tmp_path):
     view.register(root)
     stored = view.read(spark, root)
     assert len(stored.columns) == 35 and stored.count() == 300
-    assert stored.schema["age"].metadata["comment"] == "Usia debitur"
+    assert stored.schema["age"].metadata["comment"] == "Age in years"
     second = FeatureView("CREDIT_BUREAU_FEATURES", "subject_id", subjects.select("subject_id", "age"), "2")
     second.register(root)
     assert len(view.read(spark, root).columns) == 35 and len(second.read(spark, root).columns) == 2

@@ -61,6 +61,18 @@ def test_replace_in_another_format_and_by_partition(spark, tmp_path):
     assert orc.exceptAll(df).count() == 0 and split.select(df.columns).exceptAll(df).count() == 0
 
 
+def test_a_failed_replacement_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.replace_table(spark.range(5), path)
+    with pytest.raises(Exception):
+        tables.replace_table(spark.range(5).select(F.raise_error(F.lit("no")).alias("id")), path)
+    assert tables.scan(spark, path).count() == 5
+    tables.append_table(spark.range(2), path)
+    assert tables.scan(spark, path).count() == 7
+    tables.replace_table(spark.range(1), path)
+    assert tables.scan(spark, path).count() == 1
+
+
 def test_key_violations(rows):
     df = rows("id int", (1,), (2,), (2,), (None,))
     assert {r.id: r.occurrences for r in tables.key_violations(df, "id").collect()} == {2: 2, None: 1}

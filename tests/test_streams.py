@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import drift
 from riskloom.operators.joins import upsert
+from riskloom.operators.upserts import BucketedTable
 from riskloom.streaming import jobs
 
 
@@ -37,7 +38,7 @@ def test_scored_log_equals_the_batch_result(spark, events, tmp_path):
     assert log.count() == 900
     assert log.exceptAll(batch).count() == 0
     unknown = log.where("subject_id >= 40").select("pd_probability", "decision").distinct().collect()
-    assert [tuple(r) for r in unknown] == [(None, "REJECT")]
+    assert [tuple(r) for r in unknown] == [(None, None)]
     again = jobs.stream_score(
         stream(spark, folder, df).select("event_id", "subject_id"), features, "subject_id", "event_id",
         F.col("p"), state, sink,
@@ -74,6 +75,48 @@ def test_feature_refresh_equals_one_upsert(spark, events, tmp_path):
     assert got.select("subject_id", "n").exceptAll(want.select("subject_id", "n")).count() == 0
 
 
+def test_a_batch_does_not_shuffle_the_features(spark, tmp_path):
+    path = str(tmp_path / "features")
+    spark.range(50_000).select(F.col("id").cast("int").alias("subject_id"), F.rand(1).alias("p")).write.parquet(path)
+    requests = spark.range(20).select(F.col("id").alias("event_id"), F.col("id").cast("int").alias("subject_id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        scored = jobs.score_requests(requests, spark.read.parquet(path), "subject_id", "event_id", F.col("p"))
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        lines = plan.splitlines()
+        scan = next(i for i, line in enumerate(lines) if "FileScan" in line)
+        depth = lines[scan].index("FileScan")
+        above = [line for line in lines[:scan] if len(line) - len(line.lstrip(" :+-*()0123456789")) < depth]
+        assert "Exchange hashpartitioning" not in "".join(line for line in above if "Exchange" in line and "Broadcast" not in line)
+        assert scored.count() == 20
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_an_upsert_reads_and_writes_only_the_buckets_it_touches(spark, tmp_path):
+    base = spark.range(5000).select("id", F.lit(1).cast("bigint").alias("n"), F.lit("s").alias("s"))
+    table = BucketedTable.create(base, str(tmp_path / "t"), "id", 32)
+    changes = spark.createDataFrame([(17, 4), (90_000, 9)], "id long, n long")
+    before = table.manifest(0)
+    assert table.upsert(changes, ("n",)) == 1
+    after = table.manifest(1)
+    touched = {b for b, v in after.items() if v == 1}
+    assert len(before) == 32 and 1 <= len(touched) <= 2 and all(after[b] == 0 for b in set(after) - touched)
+    written = spark.read.parquet(str(tmp_path / "t" / "data" / "version=1"))
+    assert {r.bucket for r in written.select("bucket").distinct().collect()} == touched
+    assert written.count() < 600
+    want = upsert(base, changes, "id", ("n",))
+    assert table.read().exceptAll(want).count() == 0 and table.read().count() == 5001
+    assert table.read(0).exceptAll(base).count() == 0 and table.read(0).count() == 5000
+    assert table.upsert(changes.limit(0)) == 2 and table.read().count() == 5001
+    empty = BucketedTable.create(base.limit(0), str(tmp_path / "e"), "id", 4)
+    assert empty.read().count() == 0
+    empty.upsert(changes, ("n",))
+    assert empty.read().count() == 2
+
+
 def test_performance_per_day(spark):
     df = spark.createDataFrame(
         [("2024-01-01", 0.9, 1), ("2024-01-01", 0.2, 0), ("2024-01-01", 0.8, 0), ("2024-01-02", 0.9, 1),
