@@ -13,6 +13,11 @@ from riskloom.functions.fixed_values import APPROVAL_TARGET_PCT
 from riskloom.plans.mart import MONTHLY_KEYS, ApplicationMart
 
 Mart = ApplicationMart | DataFrame
+#: Measures that sums and counts of the monthly pre-aggregate give.
+MONTHLY_MEASURES = {
+    "applications", "total_applications", "approval_rate_pct", "avg_credit_score", "avg_score",
+    "default_rate_pct", "avg_pd",
+}
 
 
 def _percent(column: str, digits: int) -> Column:
@@ -60,7 +65,7 @@ class Tile:
     def fits_monthly(self, filters: FilterSpec | None = None) -> bool:
         """Whether the monthly pre-aggregate holds the tile's keys, measures and filters."""
         read = {*self.by, *(filters.columns() if filters else [])}
-        return read <= set(MONTHLY_KEYS) and set(self.measures) <= set(_monthly_measures())
+        return read <= set(MONTHLY_KEYS) and set(self.measures) <= MONTHLY_MEASURES
 
     def query_monthly(self, monthly: DataFrame, filters: FilterSpec | None = None) -> DataFrame:
         """The same rows from the stored pre-aggregate: sums of its sums and counts."""
