@@ -12,8 +12,9 @@ make the keys of the bands, and the low four bits of each minimum are packed int
    as pairs, many in blocks whose pairs never leave the task. Links within a component change nothing,
    so a large group of copies is never expanded into pairs.
 
-With the default parameters a pair at the threshold of 0.85 is missed with a chance of 4e-7, and the
-estimate passes links by five standard errors. Everything that is linked is confirmed exactly.
+Bands are as long as the threshold allows: a pair that just reaches it shares no band key less than
+once in a million times, and the estimate passes links by five standard errors. Everything that is
+linked is confirmed exactly.
 
 Defined cases: texts with fewer words than a shingle are one shingle; a null, empty or white text has an
 empty set, links with nothing and is its own component; repeated rows are copies; a null id is a
@@ -37,8 +38,9 @@ from riskloom.llm.components import components
 from riskloom.session import materialize
 
 WORDS, LEAST = 5, 0.8
-HASHES, ROWS, BITS = 128, 5, 4
-BANDS = HASHES // ROWS
+HASHES, BITS = 128, 4
+#: How often a pair at the threshold may share no band key.
+MISSED = 1e-6
 #: Band keys with so many members are compared pair by pair, others in blocks.
 PAIRED = 16
 #: Members of a block, texts compared with a whole block at once, and shingles of one product.
@@ -88,8 +90,14 @@ class Shingles:
         return np.unique(total)
 
 
-def prints(sets: list[np.ndarray]) -> list[dict]:
-    """Size, 64-bit name of the set, band keys and packed signature of each set."""
+def band_rows(least: float) -> int:
+    """The most minima of a band at which a pair of this likeness is missed no more often than MISSED."""
+    return max(rows for rows in range(1, 17) if rows == 1 or (1 - least**rows) ** (HASHES // rows) <= MISSED)
+
+
+def prints(sets: list[np.ndarray], rows: int) -> list[dict]:
+    """Size, 64-bit name of the set, band keys of `rows` minima each, and packed signature of each set."""
+    bands = HASHES // rows
     rng = np.random.default_rng(5)
     salts, factors = rng.integers(0, 2**64, (2, HASHES), np.uint64)
     factors |= np.uint64(1)
@@ -104,10 +112,10 @@ def prints(sets: list[np.ndarray]) -> list[dict]:
     for k in range(HASHES):
         least[k] = np.minimum.reduceat((flat ^ salts[k]) * factors[k], starts)
     names = _mixed(np.add.reduceat(_mixed(flat), starts) + sizes[filled].astype(np.uint64))
-    keys = np.empty((BANDS, len(filled)), np.uint64)
-    for band in range(BANDS):
+    keys = np.empty((bands, len(filled)), np.uint64)
+    for band in range(bands):
         key = np.full(len(filled), band + 1, np.uint64)
-        for row in least[band * ROWS : (band + 1) * ROWS]:
+        for row in least[band * rows : (band + 1) * rows]:
             key = _mixed(key * _ODD + row)
         keys[band] = key
     # The top bits are the well-mixed ones of a product.
@@ -247,13 +255,14 @@ def near_duplicates(
     """
     small_batches(docs.sparkSession)
     bound = passing(least[0] / least[1])
+    band = band_rows(least[0] / least[1])
 
     @F.arrow_udf("n bigint, node bigint, bands array<bigint>, sig array<bigint>")
     def printed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         made = Shingles(words)
         kind = pa.struct([("n", pa.int64()), ("node", pa.int64()), ("bands", pa.list_(pa.int64())), ("sig", pa.list_(pa.int64()))])
         for batch in batches:
-            done = [row for block in blocks(batch.to_pylist(), chars=1_000_000) for row in prints(made.of(block))]
+            done = [row for block in blocks(batch.to_pylist(), chars=1_000_000) for row in prints(made.of(block), band)]
             yield pa.array(done, kind)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -267,7 +276,7 @@ def near_duplicates(
     banded = classes.select("node", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("count")).where("count > 1")
     shared = materialize(shared, "bands")
-    members = join_counted(banded, shared, "key", classes.count() * BANDS).select("key", "node", "hub")
+    members = join_counted(banded, shared, "key", classes.count() * (HASHES // band)).select("key", "node", "hub")
     members = materialize(members, "band-members")
 
     involved = members.select("node").distinct().join(classes.select("node", "first", "n", "sig"), "node")

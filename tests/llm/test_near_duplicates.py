@@ -100,7 +100,7 @@ def test_signatures_estimate_the_likeness(spark):
         own = [[rng.getrandbits(64) for _ in range(2000 - len(both))] for _ in range(2)]
         sets = [np.unique(np.array(both + x, np.uint64)) for x in own]
         true = len(both) / (4000 - len(both))
-        a, b = minhash.prints(sets)
+        a, b = minhash.prints(sets, 5)
         sig = np.array([a["sig"], b["sig"]]).astype(np.int64).astype(np.uint64)
         about = minhash.estimates(sig[:1], sig[1:])[0, 0]
         assert about == pytest.approx(true, abs=0.2)
@@ -109,6 +109,13 @@ def test_signatures_estimate_the_likeness(spark):
     assert minhash.intersections([sets[0]], [sets[1], sets[0]]).tolist() == [[len(both), 2000]]
 
 
+def test_bands_miss_less_than_one_pair_in_a_million():
+    assert [minhash.band_rows(x) for x in (0.5, 0.8, 0.85, 0.95)] == [2, 4, 5, 9]
+    for least in (0.3, 0.6, 0.8, 0.85, 0.9, 0.99):
+        rows = minhash.band_rows(least)
+        assert rows == 1 or (1 - least**rows) ** (minhash.HASHES // rows) <= 1e-6
+
+
 def test_near_documents_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert minhash.near_duplicates(empty).count() == 0
