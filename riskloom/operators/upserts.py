@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from riskloom.operators.joins import upsert
 
-#: Buckets of a table, for changes that touch few keys to touch few of its rows.
-BUCKETS = 64
+#: Buckets of a small table; a large one has about one for as many rows as a task should rewrite.
+BUCKETS = 16
 _ENTRY = "bucket int, version int"
 
 
