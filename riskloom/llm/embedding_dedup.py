@@ -204,3 +204,19 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
 
 def op8_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
+ORACLE = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v, len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)) > 0 AS usable FROM embeddings),
+units AS (SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS size FROM vectors WHERE usable),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM units a JOIN units b
+  ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_inner_product(a.v, b.v) / (a.size * b.size) >= 0.9),
+reach AS (
+  SELECT vec_id, vec_id AS other FROM vectors
+  UNION SELECT reach.vec_id, b FROM reach JOIN links ON a = other)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, min(other) AS component_id, vec_id = min(other) AS kept
+FROM reach GROUP BY vec_id
+"""

@@ -24,4 +24,10 @@ def llm_queries() -> dict[str, Callable]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.ORACLE, "op3_mixing": mixing.ORACLE, "op7_url_filter": url_filter.ORACLE}
+    return {
+        "op1_line_dedup": line_dedup.ORACLE,
+        "op3_mixing": mixing.ORACLE,
+        "op5_minhash": minhash.ORACLE,
+        "op7_url_filter": url_filter.ORACLE,
+        "op8_embedding_dedup": embedding_dedup.ORACLE,
+    }
