@@ -108,13 +108,27 @@ def domain(df: DataFrame, column: str) -> DataFrame:
 
 
 def known_values(df: DataFrame, column: str, max_values: int = 10_000) -> list:
-    """Sorted non-NULL values of a low-cardinality column, for pivot headers."""
+    """Sorted non-NULL values of a low-cardinality column, for pivot headers; `crosstab_long` has no bound."""
     rows = domain(df.where(F.col(column).isNotNull()), column).limit(max_values + 1).collect()
     if len(rows) > max_values:
         raise ValueError(f"{column} has more than {max_values} values")
     return [row[0] for row in rows]
 
 
+def crosstab_long(df: DataFrame, row: str, col: str) -> DataFrame:
+    """Counts by (row value, column value) with `All` margins, one line each, for domains of any size."""
+    both = df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
+    counts = both.groupBy(row, col).agg(F.count(F.lit(1)).alias("n"))
+    margins = counts.cube(row, col).agg(
+        F.sum("n").alias("n"), F.grouping(row).alias("_all_rows"), F.grouping(col).alias("_all_columns")
+    )
+
+    def label(column: str, margin: str) -> Column:
+        return F.when(F.col(margin) == 1, "All").otherwise(F.col(column).cast("string")).alias(column)
+
+    return margins.select(label(row, "_all_rows"), label(col, "_all_columns"), "n")
+
+
 def crosstab(df: DataFrame, row: str, col: str, col_values: list | None = None) -> DataFrame:
     """Counts of row value by column value with an `All` row and an `All` column.
 

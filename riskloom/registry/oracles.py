@@ -580,6 +580,11 @@ def _oracles() -> dict[str, str]:
         "monthly_trend_filled": _trend("date_trunc('month', app_date)::DATE", "1 MONTH"),
         "weekly_trend_filled": _trend("(app_date + ((7 - isodow(app_date)) % 7)::INT)::DATE", "7 DAYS"),
         "crosstab_margins": _crosstab("product_code", "decision", ["APPROVE", "REVIEW", "REJECT"]),
+        "crosstab_lender_channel_long": credit(
+            """SELECT CASE WHEN grouping(lender_code) = 1 THEN 'All' ELSE lender_code::VARCHAR END AS lender_code,
+                 CASE WHEN grouping(channel) = 1 THEN 'All' ELSE channel END AS channel, count(*) AS n
+               FROM apps WHERE lender_code IS NOT NULL AND channel IS NOT NULL GROUP BY CUBE (lender_code, channel)"""
+        ),
         "crosstab_region_channel": _crosstab("region_code", "channel", PRIORITIES),
         "crosstab_lender_product": _crosstab("lender_code", "product_code", PRODUCT_TYPES),
         "heat_approval_region_product": credit(

@@ -550,6 +550,11 @@ def crosstab_margins(t: CreditTables) -> DataFrame:
     return trends.crosstab(t.applications, "product_code", "decision", fv.DECISIONS)
 
 
+@register
+def crosstab_lender_channel_long(t: CreditTables) -> DataFrame:
+    return trends.crosstab_long(t.applications, "lender_code", "channel")
+
+
 @register
 def crosstab_region_channel(t: CreditTables) -> DataFrame:
     return trends.crosstab(t.applications, "region_code", "channel")
