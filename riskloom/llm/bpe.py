@@ -28,7 +28,7 @@ from riskloom.llm.common import small_batches, table
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 NONE = np.int32(2**31 - 1)
 #: Words whose encodings a task remembers before it starts afresh.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 
 
 class Merges:

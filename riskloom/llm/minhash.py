@@ -46,7 +46,7 @@ PAIRED = 16
 #: Members of a block, texts compared with a whole block at once, and shingles of one product.
 BLOCK, CHUNK, STRIP = 1024, 256, 4096
 #: Words a task remembers before it starts afresh.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 

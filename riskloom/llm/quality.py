@@ -40,7 +40,7 @@ NEAR = 2
 #: Words whose vectors are held at once.
 STRIP = 50_000
 #: Words a task remembers before it starts afresh.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 _WORD = re.compile(r"\w+|[^\w\s]+")
 
 
