@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,11 +18,17 @@ BLOCK_ROWS, BLOCK_CHARS = 4096, 8_000_000
 BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 
 
+def _size(text: str) -> int:
+    """A setting such as 2000, 67108864b or 64m as a number; anything else counts as no bound."""
+    found = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", text.strip().lower())
+    return int(found[1]) << 10 * " kmgt".index(found[2] or " ") if found else 0
+
+
 def small_batches(spark: SparkSession) -> None:
     """Lower the session's Arrow batches to the sizes above; only memory and speed depend on it."""
     for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         key = f"spark.sql.execution.arrow.{key}"
-        if not 0 < int(spark.conf.get(key).removesuffix("b")) <= most:
+        if not 0 < _size(spark.conf.get(key)) <= most:
             spark.conf.set(key, str(most))
 
 

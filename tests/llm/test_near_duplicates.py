@@ -171,3 +171,25 @@ def test_cells_miss_no_near_vector():
 
 def test_no_vectors(spark):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+@pytest.mark.parametrize(("given", "after"), [("64m", "8388608"), ("4m", "4m"), ("67108864b", "8388608"), ("-1", "8388608")])
+def test_batches_are_only_lowered(spark, given, after):
+    from riskloom.llm.common import small_batches
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(key, given)
+    small_batches(spark)
+    assert spark.conf.get(key) == after
+    spark.conf.unset(key)
+
+
+def test_counted_join_gives_hot_and_other_keys(spark):
+    from pyspark.sql import functions as F
+
+    from riskloom.llm.common import join_counted
+
+    rows = spark.range(6000).select("id", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    counted = rows.groupBy("k").agg(F.count("*").alias("count"), F.min("id").alias("low")).where("k % 2 != 0")
+    got = join_counted(rows, counted, "k", 6000)
+    assert sorted(got.select("id", "k", "low").collect()) == sorted(rows.join(counted, "k").select("id", "k", "low").collect())
