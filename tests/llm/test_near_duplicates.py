@@ -173,7 +173,7 @@ def test_no_vectors(spark):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
-@pytest.mark.parametrize(("given", "after"), [("64m", "8388608"), ("4m", "4m"), ("67108864b", "8388608"), ("-1", "8388608")])
+@pytest.mark.parametrize(("given", "after"), [("64m", "8388608"), ("4m", "4m"), ("67108864b", "8388608")])
 def test_batches_are_only_lowered(spark, given, after):
     from riskloom.llm.common import small_batches
 
