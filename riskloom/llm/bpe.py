@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import small_batches, table
+from riskloom.llm.common import give_back, small_batches, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 NONE = np.int32(2**31 - 1)
@@ -207,6 +207,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
             encoded_words += replay([word.encode() for word in fresh], merges)
             get = encoded_words.__getitem__
             yield pa.array([b"".join(map(get, row.tolist())) for row in rows], pa.binary())
+        number = encoded_words = rows = fresh = get = batch = None  # noqa: F841
+        give_back()
 
     return docs.withColumn(ids, encoded(text_col))
 
@@ -222,6 +224,8 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", result: str = "decoded"
             yield pa.array(
                 [b"".join(map(get, np.frombuffer(x.as_py() or b"", "<u4").tolist())) for x in batch], pa.binary()
             )
+        batch = None  # noqa: F841
+        give_back()
 
     return docs.withColumn(result, decoded(ids))
 

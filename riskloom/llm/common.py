@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from collections.abc import Callable, Iterator
 
@@ -50,6 +52,15 @@ def blocks(texts: list, rows: int = BLOCK_ROWS, chars: int = BLOCK_CHARS) -> Ite
         yield block
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: workers wait for their next one beside others."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim:
+        trim(0)
+
+
 def text_udf(kind: str, arrow_type: pa.DataType, prepare: Callable[[], Callable[..., list]]) -> Callable[..., Column]:
     """A column function over text blocks.
 
@@ -65,6 +76,8 @@ def text_udf(kind: str, arrow_type: pa.DataType, prepare: Callable[[], Callable[
             for block in blocks(texts):
                 done.append(pa.array(run(block), type=arrow_type))
             yield pa.concat_arrays(done) if done else pa.array([], type=arrow_type)
+        run = batch = texts = done = None  # noqa: F841
+        give_back()
 
     return apply
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import small_batches, table
+from riskloom.llm.common import give_back, small_batches, table
 
 BINS = 64
 #: Rows that one range is meant to hold.
@@ -201,6 +201,8 @@ def fingerprints(
                 if not guest:
                     held = (part, key, text)
             yield from _rows(out)
+        held = out = batch = None  # noqa: F841
+        give_back()
 
     def _rows(items):
         if not items:

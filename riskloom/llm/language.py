@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import blocks, small_batches, table
+from riskloom.llm.common import blocks, give_back, small_batches, table
 from riskloom.llm.quality import held_out
 
 #: Documents of each language that are learned from, about.
@@ -163,6 +163,8 @@ def identify(spark: SparkSession, filters: Filters, text_col: str = "text") -> C
                 names += found
                 scores += values.tolist()
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
+        batch = names = scores = None  # noqa: F841
+        give_back()
 
     return identified(text_col)
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import join_counted, small_batches, table, text_udf
+from riskloom.llm.common import give_back, join_counted, small_batches, table, text_udf
 from riskloom.session import materialize
 
 MIN_DOCS, MIN_CHARS = 10, 1
@@ -95,6 +95,8 @@ def _struct_udf(prepare):
         run = prepare()
         for batch in batches:
             yield pa.array(run(batch.to_pylist()), type=_RESULT)
+        batch = None  # noqa: F841
+        give_back()
 
     return apply
 

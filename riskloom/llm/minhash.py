@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import blocks, join_counted, merge_labels, small_batches, table
+from riskloom.llm.common import blocks, give_back, join_counted, merge_labels, small_batches, table
 from riskloom.llm.components import components
 from riskloom.session import materialize
 
@@ -162,6 +162,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, least: tuple[int,
                 both = len(np.intersect1d(mine, last_set, assume_unique=True))
                 good.append(both * down >= up * (len(mine) + len(last_set) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+        made = last_set = batch = columns = None  # noqa: F841
+        give_back()
 
     one = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     two = one.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
@@ -264,6 +266,8 @@ def near_duplicates(
         for batch in batches:
             done = [row for block in blocks(batch.to_pylist(), chars=1_000_000) for row in prints(made.of(block), band)]
             yield pa.array(done, kind)
+        made = batch = done = None  # noqa: F841
+        give_back()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = rows.select("id", F.xxhash64("text").alias("mark"), printed("text").alias("p")).select("id", "mark", "p.*")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import blocks, small_batches, table
+from riskloom.llm.common import blocks, give_back, small_batches, table
 from riskloom.session import materialize
 
 #: Most labelled rows that a model is trained on.
@@ -227,6 +227,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
             for block in blocks(batch.column(0).to_pylist(), chars=2_000_000):
                 total += contexts(*words.of(block), index)
         used = np.flatnonzero(total.any(axis=1))
+        words = None
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array(used)] + [pa.array(total[used, i]) for i in range(WIDTH)], ["type", *names])
 
     names = [f"v{i}" for i in range(WIDTH)]
@@ -247,6 +249,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
             done = [pooled(*words.of(block), vectors) for block in blocks(batch.column(2).to_pylist(), chars=2_000_000)]
             rows = pa.array(np.concatenate(done).tolist() if done else [], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), rows], ["id", "label", "x"])
+        words = batch = done = rows = None  # noqa: F841
+        give_back()
 
     rows = sample.select("id", "label", "text").mapInArrow(features, "id bigint, label int, x array<double>").toPandas()
     rows = rows.sort_values("id")
@@ -275,6 +279,8 @@ def score(spark: SparkSession, model: Model, text_col: str = "text") -> Column:
         for batch in batches:
             done = [known.scores(*words.of(block)) for block in blocks(batch.to_pylist(), chars=1_000_000)]
             yield pa.array(np.concatenate(done) if done else [], pa.float64())
+        words = batch = done = None  # noqa: F841
+        give_back()
 
     return scored(text_col)
 
