@@ -156,17 +156,15 @@ def univariate_rank(
     """|AUC - 0.5| of every feature alone, the `keep` best first; NULL counts as 0.
 
     All features go through one job: unpivot, combine per (feature, value), rank inside features.
-    A feature on which AUC is undefined scores 0.
+    A feature on which AUC is undefined scores 0. Features go by their number until the end.
     """
-    filled = df.select(
-        F.col(label).alias("_label"),
-        *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features],
-    )
-    long = filled.unpivot(["_label"], features, "feature", "value")
-    stats = discrimination(long, "value", "_label", ["feature"], ranges)
+    values = F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features])
+    long = df.select(F.col(label).alias("_label"), F.posexplode(values).alias("number", "value"))
+    stats = discrimination(long, "value", "_label", ["number"], ranges)
     strength = F.coalesce(F.abs(F.col("auc") - 0.5), F.lit(0.0))
+    names = F.array(*[F.lit(f) for f in features])
     return (
-        stats.select("feature", strength.alias("strength"))
+        stats.select(names[F.col("number")].alias("feature"), strength.alias("strength"))
         .orderBy(F.desc(F.round("strength", 12)), "feature")
         .limit(keep)
     )

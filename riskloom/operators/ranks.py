@@ -34,18 +34,21 @@ def running_totals(
     keys = groups or ["_all"]
     rows = df if groups else df.withColumn("_all", F.lit(0))
     marks = [i / n_ranges for i in range(1, n_ranges)] or [0.5]
-    found = F.percentile_approx(value, marks, max(10_000, 10 * n_ranges))
-    cuts = rows.groupBy(*keys).agg(F.array_sort(F.array_distinct(found)).alias("_cuts"))
+    # Ranges only have to be about equal; results do not depend on the cuts.
+    found = F.percentile_approx(value, marks, 50 * n_ranges)
+    # The totals are summed here: with them every reader of `rows` needs all its columns, so that Spark
+    # computes and shuffles it once for all of them.
+    cuts = rows.groupBy(*keys).agg(
+        F.array_sort(F.array_distinct(found)).alias("_cuts"), *[F.sum(t).alias(f"{t}_total") for t in totals]
+    )
     range_of = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
     ranged = _join_null_safe(rows, cuts, keys).withColumn("_range", range_of).drop("_cuts")
     sums = ranged.groupBy(*keys, "_range").agg(*[F.sum(t).alias(f"_{t}") for t in totals])
-    whole = W.partitionBy(*keys)
-    earlier = whole.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = sums.select(
         *keys,
         "_range",
         *[F.coalesce(F.sum(f"_{t}").over(earlier), F.lit(0)).alias(f"_{t}_offset") for t in totals],
-        *[F.sum(f"_{t}").over(whole).alias(f"{t}_total") for t in totals],
     )
     inside = W.partitionBy(*keys, "_range").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
     placed = _join_null_safe(ranged, offsets, [*keys, "_range"]).withColumns(

@@ -453,8 +453,7 @@ def upsert_inputs(t: CreditTables) -> tuple[DataFrame, DataFrame]:
 def feature_upsert(t: CreditTables) -> DataFrame:
     base, changes = upsert_inputs(t)
     stored = BucketedTable.create(base, scratch_path(t.spark, "upsert"), "subject_id")
-    stored.upsert(changes, increments=("num_inquiries_12m",))
-    return stored.read()
+    return stored.read(stored.upsert(changes, increments=("num_inquiries_12m",), version=0))
 
 
 # --- aggregates -------------------------------------------------------------------------------------------
