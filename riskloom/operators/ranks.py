@@ -1,7 +1,4 @@
-"""Running totals, exact order statistics and exact samples without a single-task sort.
-
-Nothing here starts a job: every function returns a plan.
-"""
+"""Running totals, exact order statistics and exact samples without a single-task sort."""
 
 from __future__ import annotations
 
@@ -10,16 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from riskloom.functions.hashing import md5_int
+from riskloom.operators.joins import broadcast_if_small, left_join_lookups
+from riskloom.session import materialize
 
 #: Leading hash bits by which a sample finds its last row; the rows of one such bucket are ranked.
 SAMPLE_BITS = 18
-#: Strata of a sample, which are values of a label; more are an error.
-MAX_STRATA = 1000
-
-
-def _ranges(df: DataFrame, ranges: int | None) -> int:
-    """As many ranges as a shuffle has partitions: that setting grows with the data."""
-    return ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def running_totals(
@@ -27,44 +19,36 @@ def running_totals(
 ) -> DataFrame:
     """Add `<t>_before` (sum over smaller values of the group) and `<t>_total` (sum of the group).
 
-    `df` holds one row per group and value. Each group is cut at quantiles of its own values into
-    `ranges` ranges of about equal size; ranges are summed, and a window runs inside each range.
+    `df` holds one row per group and value. It is cut into ranges of (group, value) by Spark's range
+    partitioning, which samples the cuts once and finds a row's range by binary search; a large group
+    spreads over many ranges and small ones share a range. The rows are stored with their range, so that
+    the sums of the ranges and the rows belong to the same cuts. Each range then starts from a head row
+    that holds what came before it, and one window runs inside each range.
+
+    `ranges` is the number of ranges; without it Spark makes as many as a shuffle has partitions and
+    joins small ones.
     """
-    n_ranges = _ranges(df, ranges)
-    keys = groups or ["_all"]
-    rows = df if groups else df.withColumn("_all", F.lit(0))
-    marks = [i / n_ranges for i in range(1, n_ranges)] or [0.5]
-    # Ranges only have to be about equal; results do not depend on the cuts.
-    found = F.percentile_approx(value, marks, 50 * n_ranges)
-    # The totals are summed here: with them every reader of `rows` needs all its columns, so that Spark
-    # computes and shuffles it once for all of them.
-    cuts = rows.groupBy(*keys).agg(
-        F.array_sort(F.array_distinct(found)).alias("_cuts"), *[F.sum(t).alias(f"{t}_total") for t in totals]
-    )
-    range_of = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
-    ranged = _join_null_safe(rows, cuts, keys).withColumn("_range", range_of).drop("_cuts")
-    sums = ranged.groupBy(*keys, "_range").agg(*[F.sum(t).alias(f"_{t}") for t in totals])
-    earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sums.select(
-        *keys,
+    rows = df.withColumn("_key", F.struct(*groups) if groups else F.lit(0))
+    order = ["_key", value] if groups else [value]
+    spread = rows.repartitionByRange(ranges, *order) if ranges else rows.repartitionByRange(*order)
+    ranged = materialize(spread.withColumn("_range", F.spark_partition_id()), "ranged")
+    sums = ranged.groupBy("_key", "_range").agg(*[F.sum(t).alias(t) for t in totals])
+    earlier = W.partitionBy("_key").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    heads = sums.select(
+        "_key",
         "_range",
-        *[F.coalesce(F.sum(f"_{t}").over(earlier), F.lit(0)).alias(f"_{t}_offset") for t in totals],
+        F.lit(False).alias("_row"),
+        *[F.coalesce(F.sum(t).over(earlier), F.lit(0)).alias(f"_{t}") for t in totals],
+        *[F.sum(t).over(W.partitionBy("_key")).alias(f"{t}_total") for t in totals],
     )
-    inside = W.partitionBy(*keys, "_range").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
-    placed = _join_null_safe(ranged, offsets, [*keys, "_range"]).withColumns(
-        {
-            f"{t}_before": F.col(f"_{t}_offset") + F.coalesce(F.sum(t).over(inside), F.lit(0))
-            for t in totals
-        }
+    amounts = [F.col(t).alias(f"_{t}") for t in totals]
+    together = ranged.select("*", F.lit(True).alias("_row"), *amounts).unionByName(heads, allowMissingColumns=True)
+    inside = W.partitionBy("_key", "_range").orderBy("_row", value)
+    placed = together.withColumns(
+        {f"{t}_before": F.sum(f"_{t}").over(inside.rowsBetween(W.unboundedPreceding, -1)) for t in totals}
+        | {f"{t}_total": F.first(f"{t}_total").over(inside.rowsBetween(W.unboundedPreceding, 0)) for t in totals}
     )
-    return placed.select(*df.columns, *[f"{t}_{part}" for t in totals for part in ("before", "total")])
-
-
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner equi-join in which a NULL group matches itself; hints on `right` are kept."""
-    renamed = right.withColumnsRenamed({k: f"{k}_r" for k in keys})
-    same = [left[k].eqNullSafe(renamed[f"{k}_r"]) for k in keys]
-    return left.join(renamed, same).drop(*[f"{k}_r" for k in keys])
+    return placed.where("_row").select(*df.columns, *[f"{t}_{part}" for t in totals for part in ("before", "total")])
 
 
 def value_counts(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
@@ -115,11 +99,13 @@ def smallest_hash_rows(
     bits: int = SAMPLE_BITS,
 ) -> DataFrame:
     """The rows with the smallest hashes of a unique key: exactly `n`, or a rounded `fraction` of each
-    stratum (strata are few, such as label values).
+    stratum, of which there may be any number.
 
     A histogram over the leading hash bits finds, per stratum, the bucket in which the quota is
     reached; the rows of that bucket are ranked to find the last (hash, key) that is wanted. Both read
-    two columns of the input. The wide rows are then read once, by one filter.
+    two columns of the input. The wide rows are then read once and filtered: by that last row, or, with
+    strata, by the stored table of last rows, which is broadcast if it is counted to be small and else
+    joined with hot strata spread.
     """
     stratum = F.coalesce(F.col(strata).cast("string"), F.lit("")) if strata else F.lit("")
     missing = F.col(strata).isNull() if strata else F.lit(False)
@@ -136,13 +122,18 @@ def smallest_hash_rows(
     edges = counts.where("needed > 0 AND needed <= own").select("_group", "edge", "needed")
     inside = thin.withColumn("edge", bucket).join(edges, ["_group", "edge"])
     ranked = inside.withColumn("_rank", F.row_number().over(whole.orderBy("_at")))
-    last = ranked.where(F.col("_rank") == F.col("needed")).select("_group", "_at")
-    entries = last.agg(F.collect_list(F.struct("_group", "_at")).alias("entries"))
-    few = F.when(F.size("entries") <= MAX_STRATA, F.map_from_entries("entries")).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_STRATA} strata"))
-    )
-    limits = entries.select(few.alias("limits")).scalar()
-    return df.where(hashed <= F.try_element_at(limits, group))
+    last = ranked.where(F.col("_rank") == F.col("needed")).select("_group", F.col("_at").alias("_last"))
+    if strata is None:
+        # One stratum: the last row is a scalar, and planning it starts no job.
+        return df.where(hashed <= last.agg(F.first("_last")).scalar())
+    limits = materialize(last, "sample-limits")
+    few = broadcast_if_small(limits)
+    grouped = df.withColumn("_group", group)
+    if few is not limits:
+        found = grouped.join(few, "_group", "left")
+    else:
+        found = left_join_lookups(grouped, [limits], "_group", key)
+    return found.where(hashed <= F.col("_last")).select(*df.columns)
 
 
 def hash_split(df: DataFrame, key: str, fraction: float, salt: str) -> tuple[DataFrame, DataFrame]:

@@ -79,7 +79,7 @@ def test_a_changed_source_is_read_anew(spark, tmp_path):
     import shutil
 
     for name in ("nation", "region"):
-        shutil.copy(f"{FOLDER}/{name}.parquet", tmp_path)
+        shutil.copyfile(f"{FOLDER}/{name}.parquet", tmp_path / f"{name}.parquet")
     assert credit_tables(spark, str(tmp_path)).region.count() == 25
     spark.read.parquet(f"{FOLDER}/nation.parquet").limit(5).toPandas().to_parquet(tmp_path / "nation.parquet")
     assert credit_tables(spark, str(tmp_path)).region.count() == 5

@@ -1,10 +1,14 @@
 import random
+import re
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import evaluate, ranks
 from riskloom.operators.ranks import order_statistics, running_totals, smallest_hash_rows
+from riskloom.session import materialize
 
 
 def brute_auc(pairs):
@@ -134,21 +138,91 @@ def test_sample_does_not_depend_on_its_buckets(spark):
         assert sorted(smallest_hash_rows(df, "id", "s", n=1500, bits=bits).collect()) == want
 
 
-def test_plans_are_built_without_a_job(spark):
-    df = spark.range(100).withColumn("y", (F.col("id") % 2).cast("int"))
+def test_the_plan_of_a_sample_is_built_without_a_job(spark):
     context = spark.sparkContext
     context.setJobGroup("plans", "none may start")
-    order_statistics(df, "id", {"p50": 50})
-    smallest_hash_rows(df, "id", "s", n=10)
-    smallest_hash_rows(df, "id", "s", strata="y", fraction=0.5)
-    evaluate.discrimination(df, "id", "y")
+    smallest_hash_rows(spark.range(100), "id", "s", n=10)
     assert len(context.statusTracker().getJobIdsForGroup("plans")) == 0
     context.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_more_strata_than_a_label_has_are_refused(spark):
-    with pytest.raises(Exception, match="strata"):
-        smallest_hash_rows(spark.range(3000).withColumn("y", F.col("id")), "id", "s", strata="y", fraction=0.5).count()
+@pytest.mark.parametrize("small", [True, False])
+def test_a_sample_of_five_thousand_strata_is_exact(spark, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(ranks, "broadcast_if_small", lambda df: df)
+    # Strata of 1 to 9 rows, one with a third of all rows, and one without a value.
+    sizes = {i: 1 + i % 9 for i in range(5000)}
+    df = spark.range(5000).select(F.explode(F.expr("sequence(1, 1 + id % 9)")), F.col("id").alias("y")).drop("col")
+    hot = spark.range(12_000).select(F.lit(-1).cast("long").alias("y"))
+    none = spark.range(31).select(F.lit(None).cast("long").alias("y"))
+    rows = df.unionByName(hot).unionByName(none).withColumn("id", F.monotonically_increasing_id())
+    rows = materialize(rows, "strata")
+    got = smallest_hash_rows(rows, "id", "s", strata="y", fraction=0.5)
+    counts = {r.y: r["count"] for r in got.groupBy("y").count().collect()}
+    half = lambda n: (n + 1) // 2  # noqa: E731  0.5 rounds up
+    assert counts == {y: half(n) for y, n in (sizes | {-1: 12_000, None: 31}).items()}
+    assert got.columns == rows.columns
+
+
+def numpy_auc(score, label):
+    """AUC with ties counted half, KS, by sorting."""
+    values, at = np.unique(score, return_inverse=True)
+    pos = np.bincount(at, label, len(values))
+    neg = np.bincount(at, 1 - label, len(values))
+    won = (pos * (np.cumsum(neg) - neg / 2)).sum()
+    gap = np.abs(np.cumsum(pos) / pos.sum() - np.cumsum(neg) / neg.sum()).max()
+    return won / (pos.sum() * neg.sum()), gap
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    """400,000 rows, nearly all scores distinct, in a large group, a NULL group and small ones."""
+    rng = np.random.default_rng(11)
+    n = 400_000
+    score = np.round(rng.normal(size=n), 6)
+    label = (rng.random(n) < 0.3).astype(int)
+    group = np.where(np.arange(n) % 2 == 0, 0, np.where(np.arange(n) % 5 == 0, -1, 1 + np.arange(n) % 7))
+    frame = pd.DataFrame({"g": group, "s": score, "y": label})
+    df = spark.createDataFrame(frame).withColumn("g", F.nullif("g", F.lit(-1)))
+    return frame, materialize(df, "many-scores")
+
+
+@pytest.mark.parametrize("ranges", [None, 1, 8, 64, 500])
+def test_many_distinct_values_equal_numpy_for_any_ranges(many, ranges):
+    frame, df = many
+    auc, ks = numpy_auc(frame.s.to_numpy(), frame.y.to_numpy())
+    got = evaluate.discrimination(df, "s", "y", ranges=ranges).first()
+    assert got.auc == pytest.approx(auc, abs=1e-13) and got.ks == pytest.approx(ks, abs=1e-13)
+    row = order_statistics(df, "s", {"p50": 50, "p95": 95, "p99": 99}, ranges=ranges).first()
+    assert [row.p50, row.p95, row.p99] == [nearest(frame.s.tolist(), p) for p in (50, 95, 99)]
+    assert row.median == pytest.approx(float(np.median(frame.s)), abs=1e-15)
+
+
+@pytest.mark.parametrize("ranges", [None, 64])
+def test_groups_of_many_distinct_values_equal_numpy(spark, many, ranges):
+    frame, df = many
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r.g: r for r in evaluate.discrimination(df, "s", "y", ["g"], ranges).collect()}
+        mid = {r.g: r for r in order_statistics(df, "s", {"p95": 95}, ["g"], ranges).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert set(got) == set(mid) == {None if g == -1 else g for g in frame.g.unique()}
+    for g, part in frame.groupby("g"):
+        g = None if g == -1 else g
+        auc, ks = numpy_auc(part.s.to_numpy(), part.y.to_numpy())
+        assert got[g].auc == pytest.approx(auc, abs=1e-13) and got[g].ks == pytest.approx(ks, abs=1e-13)
+        assert mid[g].p95 == nearest(part.s.tolist(), 95) and mid[g].median == pytest.approx(float(part.s.median()))
+
+
+def test_one_large_group_spreads_evenly(spark, many):
+    frame, df = many
+    placed = running_totals(ranks.value_counts(df, "s", []), "s", ["n"], [], 16)
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    stored = spark.read.parquet(re.search(r"(file:\S*|/\S*)ranged-[0-9a-f]+", placed.inputFiles()[0])[0])
+    sizes = [r["count"] for r in stored.groupBy("_range").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 1.5 * sum(sizes) / 16
+    assert "Join" not in plan
 
 
 def test_stratified_sample_keeps_the_proportions(spark):
