@@ -16,6 +16,14 @@ from pyspark.sql import functions as F
 BLOCK_ROWS, BLOCK_CHARS = 4096, 8_000_000
 
 
+#: DuckDB's expression of the CRC-32 check sum of a text's UTF-8 bytes, for check SQL.
+CRC32_SQL = (
+    "xor(list_reduce(list_concat([4294967295], list_transform(range(strlen({text})),"
+    " lambda b: cast('0x' || substr(hex({text}), 2 * b + 1, 2) AS BIGINT))),"
+    " lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]),"
+    " lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+)
+
 #: Rows and bytes that Spark hands to Python at once, so that workers stay small beside their executor.
 BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 

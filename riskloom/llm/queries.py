@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from riskloom.llm import bpe, embedding_dedup, fingerprint, language, line_dedup, minhash, mixing, pii, quality, url_filter
+from riskloom.llm import (
+    bpe,
+    embedding_dedup,
+    fingerprint,
+    language,
+    line_dedup,
+    minhash,
+    mixing,
+    periodic,
+    pii,
+    quality,
+    url_filter,
+)
 
 
 def llm_queries() -> dict[str, Callable]:
@@ -19,6 +31,7 @@ def llm_queries() -> dict[str, Callable]:
         embedding_dedup.op8_embedding_dedup,
         bpe.op9_bpe,
         fingerprint.op10_fingerprints,
+        periodic.op11_periodic,
     ]
     return {query.__name__: query for query in found}
 
@@ -30,4 +43,5 @@ def llm_oracles() -> dict[str, str]:
         "op5_minhash": minhash.ORACLE,
         "op7_url_filter": url_filter.ORACLE,
         "op8_embedding_dedup": embedding_dedup.ORACLE,
+        "op11_periodic": periodic.ORACLE,
     }
