@@ -15,6 +15,7 @@ from riskloom.llm import (
     periodic,
     pii,
     quality,
+    spelling,
     url_filter,
 )
 
@@ -32,6 +33,7 @@ def llm_queries() -> dict[str, Callable]:
         bpe.op9_bpe,
         fingerprint.op10_fingerprints,
         periodic.op11_periodic,
+        spelling.op12_spelling,
     ]
     return {query.__name__: query for query in found}
 
@@ -44,4 +46,5 @@ def llm_oracles() -> dict[str, str]:
         "op7_url_filter": url_filter.ORACLE,
         "op8_embedding_dedup": embedding_dedup.ORACLE,
         "op11_periodic": periodic.ORACLE,
+        "op12_spelling": spelling.ORACLE,
     }
