@@ -17,6 +17,7 @@ from riskloom.llm import (
     quality,
     spelling,
     url_filter,
+    warc,
 )
 
 
@@ -34,6 +35,7 @@ def llm_queries() -> dict[str, Callable]:
         fingerprint.op10_fingerprints,
         periodic.op11_periodic,
         spelling.op12_spelling,
+        warc.op13_warc,
     ]
     return {query.__name__: query for query in found}
 
@@ -47,4 +49,5 @@ def llm_oracles() -> dict[str, str]:
         "op8_embedding_dedup": embedding_dedup.ORACLE,
         "op11_periodic": periodic.ORACLE,
         "op12_spelling": spelling.ORACLE,
+        "op13_warc": warc.ORACLE,
     }
