@@ -15,6 +15,7 @@ from riskloom.functions import fixed_values as fv
 from riskloom.operators import drift, encode, evaluate, ranks
 from riskloom.operators.drift import in_period
 from riskloom.operators.stepwise import MIN_GAIN
+from riskloom.operators.upserts import BucketedTable
 from riskloom.plans import mart, training
 from riskloom.registry.queries import (
     EVENTS_AS_OF,
@@ -249,10 +250,17 @@ def _event_stream(t: CreditTables) -> DataFrame:
     return jobs.table_stream(t.spark, t.folder, t.raw("events").schema, "events.parquet")
 
 
+@cache
+def request_features(t: CreditTables) -> BucketedTable:
+    """The features of subjects that can be scored, in buckets by subject, built once for a data folder."""
+    features = t.subjects.where(F.col("monthly_income") > 0).drop("pd_true_prob", "default_flag")
+    return BucketedTable.create(features, scratch_path(t.spark, "request-features"), "subject_id")
+
+
 @register
 def stream_score(t: CreditTables) -> DataFrame:
     requests = _event_stream(t).select("event_id", F.col("user_id").alias("subject_id"))
-    features = t.subjects.where(F.col("monthly_income") > 0).drop("pd_true_prob", "default_flag")
+    features = request_features(t)
     ratio = c.dti_nullable(F.col("monthly_installment"), F.col("monthly_income"))
     capped = F.least(F.coalesce(ratio, F.lit(3.0)), F.lit(3.0))
     pd = F.round(c.probability(c.latent_logit(capped)), 6)

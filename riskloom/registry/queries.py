@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -449,10 +450,16 @@ def upsert_inputs(t: CreditTables) -> tuple[DataFrame, DataFrame]:
     return base, changes
 
 
+@cache
+def upsert_table(t: CreditTables) -> BucketedTable:
+    """The stored features that the upsert changes, built once for a data folder."""
+    return BucketedTable.create(upsert_inputs(t)[0], scratch_path(t.spark, "upsert"), "subject_id")
+
+
 @register
 def feature_upsert(t: CreditTables) -> DataFrame:
-    base, changes = upsert_inputs(t)
-    stored = BucketedTable.create(base, scratch_path(t.spark, "upsert"), "subject_id")
+    _, changes = upsert_inputs(t)
+    stored = upsert_table(t)
     return stored.read(stored.upsert(changes, increments=("num_inquiries_12m",), version=0))
 
 

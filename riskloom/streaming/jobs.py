@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from riskloom.functions import columns as c
 from riskloom.operators.drift import overall_means, with_baseline
 from riskloom.operators.joins import is_small, left_join_lookups
-from riskloom.operators.upserts import BUCKETS, BucketedTable
+from riskloom.operators.upserts import BUCKET_ROWS, BucketedTable
 from riskloom.session import scratch_path
 
 
@@ -47,16 +47,22 @@ def run_available(
     query.awaitTermination()
 
 
-def score_requests(requests: DataFrame, features: DataFrame, key: str, row_key: str, pd: Column) -> DataFrame:
+def score_requests(
+    requests: DataFrame, features: DataFrame | BucketedTable, key: str, row_key: str, pd: Column, version: int | None = None
+) -> DataFrame:
     """Requests with probability, score and decision; an unknown subject has none of them.
 
-    The features are first cut to the subjects of the requests. A batch has few of them, so they are
-    sent to the scan of the feature table, which is not shuffled; only a batch of very many subjects
-    makes Spark join both sides by a shuffle.
+    Of features in a bucketed table only the buckets of the requested subjects are read. Other features
+    are cut to the subjects of the requests: a batch has few of them, so they are sent to the scan of
+    the features, which are not shuffled; only a batch of very many subjects makes Spark join both
+    sides by a shuffle.
     """
     wanted = requests.select(key).distinct()
     small = is_small(wanted)
-    known = features.join(F.broadcast(wanted) if small else wanted, key, "left_semi")
+    if isinstance(features, BucketedTable):
+        known = features.lookup(wanted, version)
+    else:
+        known = features.join(F.broadcast(wanted) if small else wanted, key, "left_semi")
     probable = known.withColumn("pd_probability", pd).select(key, "pd_probability")
     # Of each wanted subject one row is known, so that this side is as small as the other.
     if small:
@@ -73,16 +79,25 @@ def score_requests(requests: DataFrame, features: DataFrame, key: str, row_key:
 
 
 def stream_score(
-    requests: DataFrame, features: DataFrame, key: str, row_key: str, pd: Column, checkpoint: str, sink: str
+    requests: DataFrame,
+    features: DataFrame | BucketedTable,
+    key: str,
+    row_key: str,
+    pd: Column,
+    checkpoint: str,
+    sink: str,
 ) -> DataFrame:
-    """Score a stream of requests into a log and return the log."""
+    """Score a stream of requests into a log and return the log.
+
+    A bucketed table is read as it is when a batch starts, so that requests see refreshed features.
+    """
 
     def each(batch: DataFrame, number: int) -> None:
         scored = score_requests(batch, features, key, row_key, pd)
         scored.write.mode("overwrite").parquet(f"{sink}/batch={number}")
 
     run_available(requests, each, checkpoint)
-    spark = features.sparkSession
+    spark = features.spark if isinstance(features, BucketedTable) else features.sparkSession
     return spark.read.option("basePath", sink).parquet(sink).drop("batch")
 
 
@@ -126,7 +141,7 @@ def stream_feature_refresh(
     increments: tuple[str, ...],
     checkpoint: str,
     versions: str,
-    buckets: int = BUCKETS,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Apply a stream of raw changes to a feature table, one table version per micro-batch.
 
@@ -134,7 +149,7 @@ def stream_feature_refresh(
     it touches. Version n + 1 is made from version n by batch n, so running a batch again gives the
     same version again.
     """
-    table = BucketedTable.create(base, versions, key, buckets)
+    table = BucketedTable.create(base, versions, key, bucket_rows)
 
     def each(batch: DataFrame, number: int) -> None:
         table.upsert(summarise(batch), increments, number)

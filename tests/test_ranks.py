@@ -103,6 +103,39 @@ def test_univariate_rank_orders_by_strength(spark):
     assert got[2].strength == 0.0
 
 
+def test_univariate_rank_by_bounds_equals_the_ranking_of_all(spark):
+    rng = np.random.default_rng(4)
+    n = 6000
+    label = (rng.random(n) < 0.2).astype(float)
+    columns = {f"f{i}": rng.normal(size=n) * 10.0**i + label * rng.normal() * 10.0**i / 4 for i in range(8)}
+    columns |= {f"noise{i}": np.round(rng.random(n), 4) for i in range(30)}
+    columns |= {f"whole{i}": rng.integers(0, 5, n).astype(float) for i in range(6)}
+    columns |= {"flat": np.full(n, 3.0), "wide": np.where(label == 1, 1e300, -1e300) * rng.random(n), "empty": np.full(n, np.nan)}
+    frame = pd.DataFrame(columns)
+    frame["same"], frame["y"] = frame["noise3"], label
+    frame["huge"] = np.where(np.arange(n) % 9 == 0, np.inf, rng.random(n))
+    df = materialize(spark.createDataFrame(frame).withColumn("empty", F.nanvl("empty", F.lit(None).cast("double"))), "bounded")
+    features = [c for c in frame.columns if c != "y"]
+    filled = frame.fillna(0.0)
+    want = sorted(((-round(abs(numpy_auc(filled[f].to_numpy(), label.astype(int))[0] - 0.5), 12), f) for f in features))[:12]
+    got = evaluate.univariate_rank(df, features, "y", 12).collect()
+    assert [r.feature for r in got] == [f for _, f in want]
+    assert all(r.strength == pytest.approx(-s, abs=1e-12) for r, (s, _) in zip(got, want))
+    bounds = {features[r.number]: r for r in evaluate.strength_bounds(df, features, "y").collect()}
+    for f in features:
+        strength = abs(numpy_auc(filled[f].to_numpy(), label.astype(int))[0] - 0.5)
+        assert bounds[f].low - 1e-12 <= strength <= bounds[f].high + 1e-12
+    assert all(bounds[f].low == bounds[f].high for f in features if f.startswith("whole"))
+    # Most features that tell nothing are ruled out by their bounds.
+    last = sorted((b.low for b in bounds.values()), reverse=True)[11]
+    assert sum(b.high >= last for b in bounds.values()) < len(features) / 2
+
+
+def test_univariate_rank_with_one_class_scores_nothing(rows):
+    got = evaluate.univariate_rank(rows("a double, b double, y int", (1.0, 2.0, 1), (3.0, 4.0, 1), (5.0, 5.0, None)), ["b", "a"], "y").collect()
+    assert [(r.feature, r.strength) for r in got] == [("a", 0.0), ("b", 0.0)]
+
+
 def nearest(values, p):
     ordered = sorted(values)
     return ordered[round(p / 100 * (len(ordered) - 1))]

@@ -95,28 +95,92 @@ def test_a_batch_does_not_shuffle_the_features(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def table_rows(table, version=None):
+    return {tuple(r) for r in table.read(version).collect()}
+
+
 def test_an_upsert_reads_and_writes_only_the_buckets_it_touches(spark, tmp_path):
     base = spark.range(5000).select("id", F.lit(1).cast("bigint").alias("n"), F.lit("s").alias("s"))
-    table = BucketedTable.create(base, str(tmp_path / "t"), "id", 32)
-    changes = spark.createDataFrame([(17, 4), (90_000, 9)], "id long, n long")
+    table = BucketedTable.create(base, str(tmp_path / "t"), "id", 300)
+    # The type of a change's key need not be that of the table.
+    changes = spark.createDataFrame([(17, 4), (90_000, 9)], "id int, n long")
     before = table.manifest(0)
     assert table.upsert(changes, ("n",)) == 1
     after = table.manifest(1)
-    touched = {b for b, v in after.items() if v == 1}
-    assert len(before) == 32 and 1 <= len(touched) <= 2 and all(after[b] == 0 for b in set(after) - touched)
-    written = spark.read.parquet(str(tmp_path / "t" / "data" / "version=1"))
-    assert {r.bucket for r in written.select("bucket").distinct().collect()} == touched
-    assert written.count() < 600
-    want = upsert(base, changes, "id", ("n",))
-    assert table.read().exceptAll(want).count() == 0 and table.read().count() == 5001
-    assert table.read(0).exceptAll(base).count() == 0 and table.read(0).count() == 5000
+    written = set(after) - set(before)
+    assert 1 <= len(set(before) - set(after)) <= 2 and written
+    folders = {b.folder.split("/")[0] for b in written}
+    stored = [spark.read.parquet(str(tmp_path / "t" / "data" / f)) for f in folders]
+    assert sum(df.count() for df in stored) == sum(b.rows for b in written) < 700
+    want = upsert(base, changes.withColumn("id", F.col("id").cast("long")), "id", ("n",))
+    assert table_rows(table) == {tuple(r) for r in want.collect()} and table.read().count() == 5001
+    assert table_rows(table, 0) == {tuple(r) for r in base.collect()}
     assert table.upsert(changes.limit(0)) == 2 and table.read().count() == 5001
     empty = BucketedTable.create(base.limit(0), str(tmp_path / "e"), "id", 4)
-    assert empty.read().count() == 0
+    assert empty.read().count() == 0 and empty.lookup(changes).count() == 0
     empty.upsert(changes, ("n",))
     assert empty.read().count() == 2
 
 
+def test_a_table_that_grows_fifty_times_keeps_its_buckets_small(spark, tmp_path):
+    def rows(first, last):
+        return spark.range(first, last).select("id", (F.col("id") % 7).alias("n"))
+
+    table = BucketedTable.create(rows(0, 1000), str(tmp_path / "t"), "id", 500)
+    assert {b.depth for b in table.manifest(0)} <= {2, 3}
+    size = 1000
+    for grown in (3000, 9000, 20_000, 50_000):
+        version = table.upsert(rows(size, grown))
+        size = grown
+        buckets = table.manifest(version)
+        assert sum(b.rows for b in buckets) == size and max(b.rows for b in buckets) <= 500
+        # Buckets do not overlap: each prefix is no other's beginning.
+        ends = sorted((b.prefix << 62 - b.depth, b.prefix + 1 << 62 - b.depth) for b in buckets)
+        assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+    assert table.read().exceptAll(rows(0, 50_000)).count() == 0 and table.read().count() == 50_000
+    few = table.upsert(rows(10, 12))
+    assert len(set(table.manifest(few)) - set(table.manifest(few - 1))) <= 2 * 2
+    # Another reader finds the same table from its files.
+    other = BucketedTable(spark, table.root, "id", table.schema, 500)
+    assert other.newest() == few and set(other.manifest(few)) == set(table.manifest(few))
+
+
+def test_a_version_written_again_replaces_nothing_that_is_read(spark, tmp_path):
+    table = BucketedTable.create(spark.range(100).select("id", F.lit(0).alias("n")), str(tmp_path / "t"), "id", 1000)
+    changes = spark.createDataFrame([(5, 1)], "id long, n int")
+    table.upsert(changes, ("n",), 0)
+    first = table.read(1)
+    files = set(first.inputFiles())
+    table.upsert(changes, ("n",), 0)
+    assert first.where("n = 1").count() == 1 and set(first.inputFiles()) == files
+    fresh = BucketedTable(spark, table.root, "id", table.schema, 1000)
+    assert fresh.newest() == 1 and fresh.read().where("n = 1").count() == 1
+
+
+def test_a_lookup_reads_only_the_buckets_of_its_keys(spark, tmp_path):
+    df = spark.range(20_000).select("id", (F.col("id") * 2).alias("v"))
+    table = BucketedTable.create(df, str(tmp_path / "t"), "id", 400)
+    assert len(table.manifest(0)) >= 50
+    wanted = spark.createDataFrame([(3,), (3,), (777,), (99_999,), (None,)], "id int")
+    found = table.lookup(wanted)
+    assert sorted(map(tuple, found.collect())) == [(3, 6), (777, 1554)]
+    assert len(found.inputFiles()) <= 3
+    assert "PushedFilters: [In(id" in found._jdf.queryExecution().executedPlan().toString()
+    many = spark.range(5000).select(F.col("id") * 3)
+    assert table.lookup(many.toDF("id")).count() == 5000
+
+
+def test_a_scored_batch_reads_only_the_buckets_of_its_subjects(spark, tmp_path):
+    features = spark.range(20_000).select(F.col("id").cast("int").alias("subject_id"), (F.col("id") / 40_000).alias("p"))
+    table = BucketedTable.create(features, str(tmp_path / "t"), "subject_id", 400)
+    requests = spark.createDataFrame([(1, 5), (2, 5), (3, 19_999), (4, -1)], "event_id long, subject_id int")
+    got = jobs.score_requests(requests, table, "subject_id", "event_id", F.col("p"))
+    want = jobs.score_requests(requests, features, "subject_id", "event_id", F.col("p"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    read = [f for f in got.inputFiles() if str(tmp_path) in f]
+    assert 1 <= len(read) <= 3 and len(table.manifest(0)) >= 50
+
+
 def test_performance_per_day(spark):
     df = spark.createDataFrame(
         [("2024-01-01", 0.9, 1), ("2024-01-01", 0.2, 0), ("2024-01-01", 0.8, 0), ("2024-01-02", 0.9, 1),
