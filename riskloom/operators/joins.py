@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.session import materialize
+from riskloom.sources.tables import KeyRanges
 
 #: What may be sent to every executor, by counted rows and measured bytes.
 BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 32 << 20
@@ -118,15 +119,28 @@ def attach_features(
     return left_join_lookups(requests, [marked], key, row_key, hot).where("_found").drop("_found")
 
 
-def rows_with_keys(df: DataFrame, key: str, wanted: DataFrame | list) -> DataFrame:
+def rows_with_keys(
+    df: DataFrame, key: str, wanted: DataFrame | list, ranges: KeyRanges | None = None
+) -> DataFrame:
     """Rows whose key is in a short list (pushed to the scan) or in another DataFrame (semi-join).
 
-    Repeated keys are combined first, so a hot one costs nothing; AQE broadcasts what remains if its
-    measured size is small.
+    Repeated keys are combined first, so a hot one costs nothing. With the key ranges of the table's
+    files, only the files are read that may hold a wanted key, as far as the wanted keys are counted to
+    be few (`BROADCAST_ROWS`, which the driver then holds); of very many keys, which would touch
+    nearly all files, only the least and the greatest bound the scan.
     """
     if isinstance(wanted, list):
-        return df.where(F.col(key).isin(wanted))
-    return df.join(wanted.select(key).distinct(), key, "left_semi")
+        part = ranges.part([k for k in wanted if k is not None]) if ranges else df
+        return part.where(F.col(key).isin(wanted))
+    keys = wanted.select(F.col(key).cast(df.schema[key].dataType)).where(F.col(key).isNotNull()).distinct()
+    if ranges is None:
+        return df.join(keys, key, "left_semi")
+    keys = materialize(keys, "wanted-keys")
+    n, low, high = keys.agg(F.count(key), F.min(key), F.max(key)).first()
+    few = n <= BROADCAST_ROWS and is_small(keys)
+    part = ranges.part([row[0] for row in keys.collect()]) if few else df
+    bounded = part.where(F.col(key).between(F.lit(low), F.lit(high)))
+    return bounded.join(F.broadcast(keys) if few else keys, key, "left_semi")
 
 
 def upsert(

@@ -323,13 +323,13 @@ def lookup_one(t: CreditTables) -> DataFrame:
 def lookup_many(t: CreditTables) -> DataFrame:
     """The subjects that placed a request, by semi-join."""
     wanted = t.raw("events").select(c.padded_key("SUBJ", F.col("user_id"), 9).alias("subject_id"))
-    return rows_with_keys(t.lookup, "subject_id", wanted.distinct()).select(*LOOKUP_COLUMNS)
+    return rows_with_keys(t.lookup, "subject_id", wanted, t.lookup_ranges).select(*LOOKUP_COLUMNS)
 
 
 @register
 def lookup_list(t: CreditTables) -> DataFrame:
     keys = ["SUBJ000000007", "SUBJ000000042", "SUBJ000000099", "SUBJ999999999"]
-    return rows_with_keys(t.lookup, "subject_id", keys).select(*LOOKUP_COLUMNS)
+    return rows_with_keys(t.lookup, "subject_id", keys, t.lookup_ranges).select(*LOOKUP_COLUMNS)
 
 
 @register

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -81,6 +83,42 @@ def write_clustered(df: DataFrame, path: str, key: str, partitions: int | None =
     return df.sparkSession.read.parquet(_replace(sorted_rows, path, lambda rows, folder: rows.write.parquet(folder)))
 
 
+@dataclass(frozen=True)
+class KeyRanges:
+    """The least and greatest key of each file of a table sorted by `key`, in order. Files do not overlap
+    but for keys that end one and start the next. The driver holds one entry for each file."""
+
+    table: DataFrame
+    key: str
+    files: tuple[str, ...]
+    lows: tuple
+    highs: tuple
+
+    @staticmethod
+    def of(table: DataFrame, key: str) -> KeyRanges:
+        """Read from the key column of a table that `write_clustered` stored."""
+        found = table.groupBy(F.input_file_name().alias("file")).agg(F.min(key).alias("low"), F.max(key).alias("high"))
+        rows = found.where(F.col("low").isNotNull()).orderBy("low", "high").collect()
+        if any(a["high"] > b["low"] for a, b in zip(rows, rows[1:])):
+            raise ValueError(f"the files are not sorted by {key}")
+        return KeyRanges(table, key, *(tuple(r[c] for r in rows) for c in ("file", "low", "high")))
+
+    def files_with(self, keys: list) -> list[str]:
+        """The files that may hold one of the keys."""
+        found: set[int] = set()
+        for key in keys:
+            found.update(range(bisect_left(self.highs, key), bisect_right(self.lows, key)))
+        return [self.files[i] for i in sorted(found)]
+
+    def part(self, keys: list) -> DataFrame:
+        """The rows of the files that may hold one of the keys."""
+        files = self.files_with(keys)
+        if len(files) == len(self.files):
+            return self.table
+        spark = self.table.sparkSession
+        return spark.read.schema(self.table.schema).parquet(*files) if files else self.table.limit(0)
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
     """Store a table hashed and sorted by `key`; tables with equal buckets join without a shuffle."""
     (

@@ -24,7 +24,7 @@ from riskloom.plans.features import lookup_table
 from riskloom.plans.mart import ApplicationMart, mart_app_monthly, score_results
 from riskloom.session import materialize, scratch_path
 from riskloom.sources.synthetic import subject_table
-from riskloom.sources.tables import replace_table, write_clustered
+from riskloom.sources.tables import KeyRanges, replace_table, write_clustered
 
 SCORED_AT = "2024-01-31 00:00:00"
 #: Wide rows that one task makes.
@@ -208,6 +208,10 @@ class CreditTables:
         """The columns served to requests, sorted by subject: a key lookup skips all row groups but a few."""
         return write_clustered(lookup_table(self.wide), scratch_path(self.spark, "lookup"), "subject_id")
 
+    @cached_property
+    def lookup_ranges(self) -> KeyRanges:
+        return KeyRanges.of(self.lookup, "subject_id")
+
     @cached_property
     def subjects_by_region(self) -> DataFrame:
         """Subject ids in one folder for each region, for lookups by that second key."""

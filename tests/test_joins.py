@@ -1,8 +1,10 @@
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.operators import joins
 from riskloom.operators.joins import (
     attach_features,
     broadcast_if_small,
@@ -13,6 +15,7 @@ from riskloom.operators.joins import (
     rows_with_keys,
     upsert,
 )
+from riskloom.sources.tables import KeyRanges, write_clustered
 
 
 @pytest.fixture
@@ -135,6 +138,32 @@ def test_key_lookup_by_list_and_by_table(spark, lookup):
     assert rows_with_keys(lookup, "k", wanted).count() == 2
 
 
+def test_a_lookup_reads_only_the_files_of_its_keys(spark, tmp_path):
+    df = spark.range(10_000).select(F.format_string("K%06d", F.col("id")).alias("k"), F.repeat(F.md5(F.col("id").cast("string")), 4).alias("v"))
+    stored = write_clustered(df, str(tmp_path / "t"), "k", 20)
+    ranges = KeyRanges.of(stored, "k")
+    assert len(ranges.files) == 20 and list(ranges.lows) == sorted(ranges.lows)
+    size = {f: os.path.getsize(f.removeprefix("file://")) for f in ranges.files}
+    keys = ["K000003", "K000004", "K005000", "K999999", "a"]
+    wanted = spark.createDataFrame([(k,) for k in [*keys, "K000003", None]], "k string")
+    for found in (rows_with_keys(stored, "k", wanted, ranges), rows_with_keys(stored, "k", keys, ranges)):
+        assert sorted(r.k for r in found.collect()) == keys[:3]
+        read = set(found.inputFiles()) & set(size)
+        assert 2 <= len(read) <= 3 and sum(size[f] for f in read) < 0.2 * sum(size.values())
+    every = rows_with_keys(stored, "k", df.select("k").where("k >= 'K000010'"), ranges)
+    assert every.count() == 9990
+    assert rows_with_keys(stored, "k", wanted.limit(0), ranges).count() == 0
+    assert rows_with_keys(stored, "k", ["a"], ranges).count() == 0
+
+
+def test_very_many_wanted_keys_bound_the_scan(spark, tmp_path, monkeypatch):
+    stored = write_clustered(spark.range(1000), str(tmp_path / "t"), "id", 5)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
+    found = rows_with_keys(stored, "id", spark.range(500, 700).union(spark.range(5000, 5010)), KeyRanges.of(stored, "id"))
+    assert found.count() == 200
+    assert "GreaterThanOrEqual(id,500)" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_upsert_updates_inserts_and_keeps(rows):
     base = rows("id int, u double, n int, s string", (1, 0.5, 3, "a"), (2, 0.7, None, "b"), (3, 0.1, 1, "c"))
     changes = rows("id int, u double, n int", (1, 0.42, 1), (2, None, 2), (9, 0.9, 5))
