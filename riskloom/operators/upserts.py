@@ -7,12 +7,13 @@ import uuid
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.operators.joins import BROADCAST_ROWS, is_small, upsert
 from riskloom.session import materialize
+from riskloom.sources.versions import VersionLog
 
 #: Rows of a bucket, which is what one task rewrites.
 BUCKET_ROWS = 1_000_000
@@ -53,7 +54,7 @@ class BucketedTable:
     key: str
     schema: T.StructType
     bucket_rows: int = BUCKET_ROWS
-    _known: dict[int, list[Bucket]] = field(default_factory=dict, repr=False, compare=False)
+    _known: dict[int, list[Row]] = field(default_factory=dict, repr=False, compare=False)
 
     @staticmethod
     def create(df: DataFrame, root: str, key: str, bucket_rows: int = BUCKET_ROWS, rows: int | None = None) -> BucketedTable:
@@ -85,27 +86,19 @@ class BucketedTable:
         deeper = depth + max(1, self._splits(max(b.rows for b in large)))
         return [b for b in found if b not in large] + self._write(self._read(large), deeper)
 
-    def _write_manifest(self, buckets: list[Bucket], version: int) -> None:
-        rows = self.spark.createDataFrame([tuple(b) for b in sorted(buckets)], _MANIFEST).coalesce(1)
-        rows.write.parquet(f"{self.root}/manifest/{version:010d}-{uuid.uuid4().hex}")
-        self._known[version] = buckets
+    @property
+    def _log(self) -> VersionLog:
+        return VersionLog(self.spark, f"{self.root}/manifest", _MANIFEST, self._known)
 
-    def _manifests(self) -> list[str]:
-        """Names of the finished manifests, oldest version first."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest/*/_SUCCESS")
-        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
-        return sorted(f.getPath().getParent().getName() for f in found)
+    def _write_manifest(self, buckets: list[Bucket], version: int) -> None:
+        self._log.write([tuple(b) for b in sorted(buckets)], version)
 
     def manifest(self, version: int) -> list[Bucket]:
         """The buckets of a version that have rows."""
-        if version not in self._known:
-            name = next(n for n in self._manifests() if int(n.split("-")[0]) == version)
-            rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest/{name}")
-            self._known[version] = [Bucket(*row) for row in rows.collect()]
-        return self._known[version]
+        return [Bucket(*row) for row in self._log.read(version)]
 
     def newest(self) -> int:
-        return int(self._manifests()[-1].split("-")[0])
+        return self._log.newest()
 
     def _read(self, buckets: list[Bucket]) -> DataFrame:
         paths = [f"{self.root}/data/{b.folder}" for b in sorted(buckets)]

@@ -15,6 +15,7 @@ from riskloom.operators.joins import (
     left_join_dimension,
     left_join_lookups,
 )
+from riskloom.sources.periods import PeriodStore
 
 MODEL_VERSION = "V2_SPARK_ML"
 MONTHLY_KEYS = [
@@ -138,19 +139,24 @@ class ApplicationMart:
         return self.select(*MART_COLUMNS)
 
 
-def mart_app_monthly(mart: ApplicationMart | DataFrame) -> DataFrame:
-    """Eleven keys, seven measures, and the sums and counts needed to aggregate further."""
-    rows = mart.select(
-        *MONTHLY_KEYS, "is_approved", "requested_amount", "pd_probability", "credit_score", "default_flag"
-    )
+def monthly_sums(mart: ApplicationMart | DataFrame, months: list | None = None) -> DataFrame:
+    """Eleven keys with the sums and counts that add up over months and keys, of all months or of some."""
+    names = [*MONTHLY_KEYS, "is_approved", "requested_amount", "pd_probability", "credit_score", "default_flag"]
+    if months is None:
+        rows = mart.select(*names)
+    else:
+        # The range of days reaches the scan of the facts, the months themselves are compared after it.
+        rows = mart.select("app_date", *names)
+        known = sorted(m for m in months if m is not None)
+        inside = F.col("app_month").isin(known) if known else F.lit(False)
+        if known:
+            inside &= (F.col("app_date") >= F.lit(known[0])) & (F.col("app_date") < F.add_months(F.lit(known[-1]), 1))
+        rows = rows.where((inside | F.col("app_month").isNull()) if None in months else inside)
     return rows.groupBy(*MONTHLY_KEYS).agg(
         F.count(F.lit(1)).alias("n_applications"),
         F.sum("is_approved").alias("n_approved"),
         F.sum("requested_amount").alias("total_requested"),
-        F.avg(F.col("requested_amount").cast("double")).alias("avg_requested"),
-        F.avg("pd_probability").alias("avg_pd"),
-        F.avg("credit_score").alias("avg_credit_score"),
-        F.avg("default_flag").alias("default_rate"),
+        F.count("requested_amount").alias("n_requested"),
         F.sum("pd_probability").alias("sum_pd"),
         F.count("pd_probability").alias("n_pd"),
         F.sum("credit_score").alias("sum_credit_score"),
@@ -160,6 +166,30 @@ def mart_app_monthly(mart: ApplicationMart | DataFrame) -> DataFrame:
     )
 
 
+def with_averages(sums: DataFrame) -> DataFrame:
+    """The averages of the monthly pre-aggregate from its sums and counts."""
+
+    def mean(total: str, n: str) -> Column:
+        return F.try_divide(F.col(total).cast("double"), F.col(n))
+
+    return sums.withColumns({
+        "avg_requested": mean("total_requested", "n_requested"),
+        "avg_pd": mean("sum_pd", "n_pd"),
+        "avg_credit_score": mean("sum_credit_score", "n_credit_score"),
+        "default_rate": mean("n_default", "n_default_known"),
+    })
+
+
+def mart_app_monthly(mart: ApplicationMart | DataFrame) -> DataFrame:
+    """Eleven keys, seven measures, and the sums and counts needed to aggregate further."""
+    return with_averages(monthly_sums(mart))
+
+
+def store_monthly(mart: ApplicationMart | DataFrame, root: str) -> PeriodStore:
+    """The sums and counts of the mart, in one folder for each month."""
+    return PeriodStore.create(monthly_sums(mart), root, "app_month", MONTHLY_KEYS)
+
+
 def feature_summary(subjects: DataFrame) -> DataFrame:
     return subjects.agg(
         F.count(F.lit(1)).alias("n_rows"),

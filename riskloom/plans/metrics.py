@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,29 @@ from riskloom.functions import columns as c
 from riskloom.functions.filters import FilterSpec, previous_month
 from riskloom.plans.tiles import Mart
 from riskloom.plans.trends import rate_matrix
+from riskloom.session import materialize
+from riskloom.sources.periods import PeriodStore
+
+
+@dataclass(frozen=True)
+class Measure:
+    """A count, sum or average of `value`, which can also be had from stored sums and counts."""
+
+    kind: str
+    value: Column
+
+    def direct(self) -> Column:
+        return {"count": F.count, "sum": F.sum, "avg": F.avg}[self.kind](self.value)
+
+    def parts(self, name: str) -> dict[str, Column]:
+        """What has to be stored: columns that add up."""
+        found = {} if self.kind == "count" else {f"{name}_sum": F.sum(self.value)}
+        return found | ({} if self.kind == "sum" else {f"{name}_n": F.count(self.value)})
+
+    def merged(self, name: str) -> Column:
+        """The measure over stored parts."""
+        total, n = F.sum(f"{name}_sum"), F.coalesce(F.sum(f"{name}_n"), F.lit(0))
+        return {"count": n, "sum": total, "avg": F.try_divide(total.cast("double"), n)}[self.kind]
 
 
 @dataclass(frozen=True)
@@ -19,7 +42,7 @@ class MetricTable:
     """Dimensions by name, the time dimension, and measures by name."""
 
     dimensions: dict[str, str]
-    measures: dict[str, Column]
+    measures: dict[str, Measure]
     time: str | None = None
 
 
@@ -37,11 +60,11 @@ def application_metrics() -> MetricTable:
         },
         time="app_date",
         measures={
-            "total_applications": F.count("application_id"),
-            "approval_rate": F.avg(approved),
-            "avg_loan_amount": F.avg(F.col("requested_amount").cast("double")),
-            "total_loan_amount": F.sum("requested_amount"),
-            "avg_tenor": F.avg(F.col("tenor_months").cast("double")),
+            "total_applications": Measure("count", F.col("application_id")),
+            "approval_rate": Measure("avg", approved),
+            "avg_loan_amount": Measure("avg", F.col("requested_amount").cast("double")),
+            "total_loan_amount": Measure("sum", F.col("requested_amount")),
+            "avg_tenor": Measure("avg", F.col("tenor_months").cast("double")),
         },
     )
 
@@ -55,18 +78,27 @@ def subject_metrics() -> MetricTable:
             "default_flag": "default_flag",
         },
         measures={
-            "total_subjects": F.count("subject_id"),
-            "default_rate": F.avg("default_flag"),
-            "avg_pd": F.avg("pd_true_prob"),
-            "avg_income": F.avg("monthly_income"),
-            "avg_utilization": F.avg("credit_utilization"),
-            "avg_dti": F.avg(dti),
-            "avg_dpd_12m": F.avg("max_dpd_12m"),
-            "avg_num_loans": F.avg("num_active_loans"),
+            "total_subjects": Measure("count", F.col("subject_id")),
+            "default_rate": Measure("avg", F.col("default_flag")),
+            "avg_pd": Measure("avg", F.col("pd_true_prob")),
+            "avg_income": Measure("avg", F.col("monthly_income")),
+            "avg_utilization": Measure("avg", F.col("credit_utilization")),
+            "avg_dti": Measure("avg", dti),
+            "avg_dpd_12m": Measure("avg", F.col("max_dpd_12m")),
+            "avg_num_loans": Measure("avg", F.col("num_active_loans")),
         },
     )
 
 
+def _check(table: MetricTable, measures: list[str], dimensions: list[str], grain: str | None, filters: FilterSpec | None) -> None:
+    unknown = [m for m in measures if m not in table.measures]
+    unknown += [d for d in [*dimensions, *(filters.selections if filters else [])] if d not in table.dimensions]
+    if unknown:
+        raise ValueError(f"not declared: {unknown}")
+    if (grain or (filters and (filters.start or filters.end))) and not table.time:
+        raise ValueError("the table declares no time dimension")
+
+
 def metric_query(
     df: DataFrame,
     table: MetricTable,
@@ -74,19 +106,68 @@ def metric_query(
     dimensions: list[str] = (),
     grain: str | None = None,
     where: Column | None = None,
+    filters: FilterSpec | None = None,
+    rollup: Rollup | None = None,
 ) -> DataFrame:
-    """Measures by dimensions and, with a grain, by the start of the period: one aggregate."""
-    unknown = [m for m in measures if m not in table.measures]
-    unknown += [d for d in dimensions if d not in table.dimensions]
-    if unknown:
-        raise ValueError(f"not declared: {unknown}")
-    if grain and not table.time:
-        raise ValueError("the table declares no time dimension")
+    """Measures by dimensions and, with a grain, by the start of the period: one aggregate.
+
+    `filters` selects values of declared dimensions and a range of days; `where` is any other condition on
+    the facts. A rollup that covers the question answers it instead of the facts.
+    """
+    _check(table, measures, dimensions, grain, filters)
+    if rollup is not None and where is None and rollup.covers(measures, dimensions, grain, filters):
+        return rollup.query(measures, dimensions, grain, filters)
     keys = [F.col(table.dimensions[d]).alias(d) for d in dimensions]
     if grain:
         keys.append(GRAINS[grain](F.col(table.time)).alias("period"))
     source = df if where is None else df.where(where)
-    return source.groupBy(*keys).agg(*[table.measures[m].alias(m) for m in measures])
+    if filters:
+        named = {table.dimensions[d]: values for d, values in filters.selections.items()}
+        source = replace(filters, selections=named, date_column=table.time or filters.date_column).apply(source)
+    return source.groupBy(*keys).agg(*[table.measures[m].direct().alias(m) for m in measures])
+
+
+@dataclass(frozen=True)
+class Rollup:
+    """Sums and counts of a metric table by some of its dimensions and by month, stored month by month."""
+
+    table: MetricTable
+    dimensions: tuple[str, ...]
+    store: PeriodStore
+
+    @staticmethod
+    def sums(df: DataFrame, table: MetricTable, dimensions: list[str]) -> DataFrame:
+        parts = {name: part for m, measure in table.measures.items() for name, part in measure.parts(m).items()}
+        keys = [F.col(table.dimensions[d]).alias(d) for d in dimensions]
+        rows = df.groupBy(*keys, c.month_start(F.col(table.time)).alias("month"))
+        return rows.agg(*[part.alias(name) for name, part in parts.items()])
+
+    @staticmethod
+    def build(df: DataFrame, table: MetricTable, dimensions: list[str], root: str) -> Rollup:
+        made = Rollup.sums(df, table, dimensions)
+        return Rollup(table, tuple(dimensions), PeriodStore.create(made, root, "month", [*dimensions, "month"]))
+
+    def add(self, late: DataFrame) -> None:
+        """Add facts that came later; only their months are written."""
+        self.store.add(materialize(Rollup.sums(late, self.table, list(self.dimensions)), "late-sums"))
+
+    def covers(self, measures: list[str], dimensions: list[str], grain: str | None, filters: FilterSpec | None) -> bool:
+        """Whether the stored sums give the exact answer: all keys and filters are stored, and the periods and
+        the range of days are made of whole months."""
+        filters = filters or FilterSpec()
+        read = {*dimensions, *(d for d, values in filters.selections.items() if values)}
+        whole = filters.start is None or filters.start.day == 1
+        whole &= filters.end is None or (filters.end + dt.timedelta(days=1)).day == 1
+        return whole and read <= set(self.dimensions) and set(measures) <= set(self.table.measures) and grain in (None, "month", "quarter", "year")
+
+    def query(self, measures: list[str], dimensions: list[str], grain: str | None, filters: FilterSpec | None) -> DataFrame:
+        rows = self.store.read()
+        if filters:
+            rows = replace(filters, date_column="month").apply(rows)
+        keys = [F.col(d) for d in dimensions]
+        if grain:
+            keys.append(GRAINS[grain](F.col("month")).alias("period"))
+        return rows.groupBy(*keys).agg(*[self.table.measures[m].merged(m).alias(m) for m in measures])
 
 
 def _applications(df: DataFrame, *args, **kwargs) -> DataFrame:

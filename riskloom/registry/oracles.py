@@ -735,13 +735,13 @@ def _oracles() -> dict[str, str]:
         "stream_drift": _drift(["value"], 6),
         "stream_feature_refresh": UPSERT,
         # metrics and questions
-        "metric_query": credit(
+        **dict.fromkeys(("metric_query", "metric_query_rollup"), credit(
             f"""SELECT channel, decision, date_trunc('quarter', app_date)::DATE AS period, count(*) AS total_applications,
                   round({APPROVED}, 9) AS approval_rate, {AVG_AMOUNT} AS avg_loan_amount,
                   sum(requested_amount)::DOUBLE AS total_loan_amount,
                   round(sum(tenor_months)::DOUBLE / count(tenor_months), 6) AS avg_tenor
                 FROM apps GROUP BY ALL"""
-        ),
+        )),
         "metric_query_subjects": credit(
             """SELECT gender, education, count(*) AS total_subjects, round(avg(default_flag), 9) AS default_rate,
                  round(avg(pd_true_prob), 12) AS avg_pd, round(avg(monthly_income), 4) AS avg_income,

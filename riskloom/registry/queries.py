@@ -536,7 +536,7 @@ def decision_funnel(t: CreditTables) -> DataFrame:
 @register
 def mart_app_monthly(t: CreditTables) -> DataFrame:
     return rounded(
-        mart.mart_app_monthly(t.mart),
+        mart.mart_app_monthly(t.mart).drop("n_requested"),
         avg_requested=4, avg_pd=9, avg_credit_score=9, default_rate=9, sum_pd=6,
     )
 
@@ -805,6 +805,17 @@ def metric_query(t: CreditTables) -> DataFrame:
     return rounded(df, approval_rate=9, avg_loan_amount=4, avg_tenor=6)
 
 
+@register
+def metric_query_rollup(t: CreditTables) -> DataFrame:
+    """The same question answered from the stored monthly sums."""
+    df = metrics.metric_query(
+        t.applications, metrics.application_metrics(),
+        ["total_applications", "approval_rate", "avg_loan_amount", "total_loan_amount", "avg_tenor"],
+        ["channel", "decision"], "quarter", rollup=t.metric_rollup,
+    )
+    return rounded(df, approval_rate=9, avg_loan_amount=4, avg_tenor=6)
+
+
 @register
 def metric_query_subjects(t: CreditTables) -> DataFrame:
     table = metrics.subject_metrics()

@@ -8,18 +8,21 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.sources.versions import VersionLog
+
+
+def _log(spark: SparkSession, path: str) -> VersionLog:
+    return VersionLog(spark, f"{path}/log", "version string")
+
 
 def _current(spark: SparkSession, path: str) -> str:
     """The folder of a table's rows: its newest version, or `path` itself if it was never replaced."""
-    try:
-        entries = spark.read.schema("version string, at timestamp").parquet(f"{path}/log")
-    except AnalysisException:
-        return path
-    return f"{path}/{entries.agg(F.max_by('version', 'at')).first()[0]}"
+    log = _log(spark, path)
+    newest = log.newest()
+    return path if newest is None else f"{path}/{log.read(newest)[0]['version']}"
 
 
 def scan(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
@@ -33,9 +36,10 @@ def _replace(df: DataFrame, path: str, write: Callable[[DataFrame, str], None])
     give the folder a retention rule.
     """
     version = f"version-{uuid.uuid4().hex}"
+    log = _log(df.sparkSession, path)
+    number = -1 if (newest := log.newest()) is None else newest
     write(df, f"{path}/{version}")
-    entry = df.sparkSession.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at"))
-    entry.coalesce(1).write.mode("append").parquet(f"{path}/log")
+    log.write([(version,)], number + 1)
     return f"{path}/{version}"
 
 

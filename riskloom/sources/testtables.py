@@ -21,8 +21,10 @@ from riskloom.operators.joins import (
     left_join_lookups,
 )
 from riskloom.plans.features import lookup_table
-from riskloom.plans.mart import ApplicationMart, mart_app_monthly, score_results
+from riskloom.plans.mart import ApplicationMart, score_results, store_monthly, with_averages
+from riskloom.plans.metrics import Rollup, application_metrics
 from riskloom.session import materialize, scratch_path
+from riskloom.sources.periods import PeriodStore
 from riskloom.sources.synthetic import subject_table
 from riskloom.sources.tables import KeyRanges, replace_table, write_clustered
 
@@ -220,8 +222,19 @@ class CreditTables:
 
     @cached_property
     def monthly(self) -> DataFrame:
-        """The monthly pre-aggregate of the mart, in one folder for each year."""
-        return replace_table(mart_app_monthly(self.mart), scratch_path(self.spark, "mart-monthly"), ["app_year"])
+        """The monthly pre-aggregate of the mart, in one folder for each month."""
+        return with_averages(self.monthly_store.read())
+
+    @cached_property
+    def monthly_store(self) -> PeriodStore:
+        return store_monthly(self.mart, scratch_path(self.spark, "mart-monthly"))
+
+    @cached_property
+    def metric_rollup(self) -> Rollup:
+        """Application metrics by all declared dimensions but the ids, in one folder for each month."""
+        table = application_metrics()
+        dimensions = ["region", "product", "lender", "channel", "decision"]
+        return Rollup.build(self.applications, table, dimensions, scratch_path(self.spark, "metric-rollup"))
 
     @cached_property
     def mart(self) -> ApplicationMart:
