@@ -3,14 +3,14 @@
 A line's key is the line without ASCII white space at its ends and with A-Z lower-cased. Keys of at
 least `min_chars` code points that occur in at least `min_docs` rows lose all their lines.
 
-Method: every document gives the hashes of its distinct keys, so that counting a hash counts its
-documents; hashes over the threshold are joined back to the (document, hash) pairs, the few very
+Method: every row gives the hashes of its distinct keys, so that counting a hash counts its documents; of
+the rows whose id occurs again, distinct pairs of id and hash are counted. Hashes over the threshold are joined back to the (document, hash) pairs, the few very
 frequent ones without a shuffle, and gathered per document, whose lines are then filtered and rejoined
 in their order.
 
 Defined cases: a null or empty text is one empty line and stays an empty text; an empty key is never
-dropped; every row counts as one document, repeated rows and ids included; a null id is an id like
-any other; extra columns are carried along untouched.
+dropped; rows with equal ids count as one document, and a null id is an id like any other; extra
+columns are carried along untouched, whatever their names, but one named as the result is replaced.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import give_back, join_counted, small_batches, table, text_udf
+from riskloom.operators.joins import broadcast_if_small
 from riskloom.session import materialize
 
 MIN_DOCS, MIN_CHARS = 10, 1
@@ -50,12 +51,23 @@ def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_docs: int, m
     )
     keyed = materialize(docs.select(F.col(id_col).alias("id"), keys_of(text_col).alias("keys")), "line-keys")
     pairs = keyed.select("id", F.explode("keys").alias("key"))
-    counts = materialize(pairs.groupBy("key").count().where(F.col("count") >= min_docs), "line-counts")
+    counts = materialize(_documents(keyed).groupBy("key").count().where(F.col("count") >= min_docs), "line-counts")
     n_pairs = keyed.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0]
     found = join_counted(pairs, counts, "key", n_pairs)
     return found.groupBy("id").agg(F.collect_set("key").alias("drop"))
 
 
+def _documents(keyed: DataFrame) -> DataFrame:
+    """(id, key) once for each document and key: rows whose id occurs once are so already."""
+    pairs = keyed.select("id", F.explode("keys").alias("key"))
+    again = materialize(keyed.groupBy("id").count().where("count > 1").select(F.col("id").alias("again")), "repeated-ids")
+    if not again.limit(1).count():
+        return pairs
+    again = broadcast_if_small(again)
+    same = pairs.id.eqNullSafe(again.again)
+    return pairs.join(again, same, "left_anti").unionByName(pairs.join(again, same, "left_semi").distinct())
+
+
 def drop_repeated_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -86,7 +98,8 @@ def drop_repeated_lines(
     drops = repeated_lines(docs, id_col, text_col, min_docs, min_chars)
     whole = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("own_id"), F.col(text_col).alias("text"))
     joined = whole.join(drops, whole.own_id.eqNullSafe(drops.id), "left")
-    return joined.select("doc", filtered(F.struct("text", "drop")).alias("done")).select("doc.*", F.col("done").alias(result))
+    done = joined.select("doc", filtered(F.struct("text", "drop")).alias("done"))
+    return done.select(*[F.col(f"doc.`{c}`") for c in docs.columns if c.lower() != result.lower()], F.col("done").alias(result))
 
 
 def _struct_udf(prepare):

@@ -16,10 +16,11 @@ def docs_of(spark, *rows):
 
 def brute_lines(rows, least):
     keys = [[line.strip(" \t\n\x0b\x0c\r").encode().lower() for line in (text or "").split("\n")] for _, text, _ in rows]
-    count = {}
-    for own in keys:
+    holders = {}
+    for (doc, _, _), own in zip(rows, keys):
         for key in set(own) - {b""}:
-            count[key] = count.get(key, 0) + 1
+            holders.setdefault(key, set()).add(doc)
+    count = {key: len(docs) for key, docs in holders.items()}
     out = []
     for (doc, text, _), own in zip(rows, keys):
         lines = (text or "").split("\n")
@@ -38,6 +39,19 @@ def test_lines_against_brute_force(spark):
     assert sorted(got, key=str) == brute_lines(rows, 3)
 
 
+def test_rows_of_one_id_are_one_document(spark):
+    rows = [(7, "shared\nown", "s")] * 10 + [(i, "other", "s") for i in range(10, 19)] + [(19, "other", "s"), (19, "other", "s")]
+    done = drop_repeated_lines(docs_of(spark, *rows)).where("doc_id = 7").select("lines.*").collect()
+    assert len(done) == 10 and {tuple(r) for r in done} == {(2, 0, "shared\nown")}
+    assert {r.lines.kept for r in drop_repeated_lines(docs_of(spark, *rows)).where("doc_id <> 7").collect()} == {""}
+
+
+def test_a_column_named_as_the_result_is_replaced(spark):
+    docs = spark.createDataFrame([(1, "a\nb", "x", "y")], "doc_id long, text string, Lines string, drop string")
+    found = drop_repeated_lines(docs)
+    assert found.columns == ["doc_id", "text", "drop", "lines"] and found.first().lines.n_lines == 2
+
+
 def test_lines_of_an_empty_table(spark):
     assert drop_repeated_lines(docs_of(spark).limit(0)).count() == 0
 
