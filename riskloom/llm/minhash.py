@@ -251,9 +251,10 @@ def near_duplicates(
     words: int = WORDS,
     least: tuple[int, int] = (round(100 * LEAST), 100),
 ) -> DataFrame:
-    """(id, n_shingles, component_id, kept), one row for each row of `docs`.
+    """(id, n_shingles, component_id, kept, mark, first), one row for each row of `docs`.
 
-    Documents are linked whose shingle sets have an intersection of at least least[0] / least[1] of their union.
+    `mark` is a hash of the text, by which rows of equal ids are told apart, and `first` is true of the rows with
+    the least id and mark of their component, which are equal rows. Documents are linked whose shingle sets have an intersection of at least least[0] / least[1] of their union.
     """
     small_batches(docs.sparkSession)
     bound = passing(least[0] / least[1])
@@ -319,20 +320,24 @@ def near_duplicates(
     # The first links hang together through their components.
     named = components(named.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
-    done = classes.select("node", F.col("first.id").alias("id"), "count").join(named, "node", "left")
+    done = classes.select("node", "first", "count").join(named, "node", "left")
     done = materialize(done.withColumn("component", F.coalesce("component", "node")), "class-components")
-    lowest = done.groupBy("component").agg(F.min("id").alias("component_id"), F.count("*").alias("count"))
+    lowest = done.groupBy("component").agg(F.min("first").alias("lowest"), F.count("*").alias("count"))
     total = classes.count()
     final = join_counted(done.select("node", "component", F.col("count").alias("size")), lowest, "component", total)
-    final = materialize(final.select("node", "component_id", F.col("size").alias("count")), "class-lowest")
-    linked = join_counted(rows.where(usable).select("id", "n", "node"), final, "node", rows.count()).select("id", "n", "component_id")
-    alone = rows.where(~usable).select("id", "n", F.col("id").alias("component_id"))
+    final = materialize(final.select("node", "lowest", F.col("size").alias("count")), "class-lowest")
+    linked = join_counted(rows.where(usable).select("id", "n", "mark", "node"), final, "node", rows.count())
+    linked = linked.select("id", "n", "mark", F.col("lowest.id").alias("component_id"), (F.struct("id", "mark") == F.col("lowest")).alias("first"))
+    alone = rows.where(~usable).select("id", "n", "mark", F.col("id").alias("component_id"), F.lit(True).alias("first"))
     kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))
-    return linked.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))
+    return linked.unionByName(alone).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"), "mark", "first"
+    )
 
 
 def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), words=3, least=(85, 100))
+    found = near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), words=3, least=(85, 100))
+    return found.drop("mark", "first")
 
 
 ORACLE = r"""
