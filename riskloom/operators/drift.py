@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.evaluate import discrimination
+from riskloom.operators.evaluate import discrimination_of_counts, score_counts
+from riskloom.session import materialize
 
 
 def in_period(df: DataFrame, at: str, as_of: dt.date, days: int = 30) -> DataFrame:
@@ -60,16 +61,26 @@ def with_baseline(daily: DataFrame, baseline_means: DataFrame) -> DataFrame:
     )
 
 
+def outcome_counts(predictions: DataFrame, at: str, score: str, label: str) -> DataFrame:
+    """Positive and negative outcomes per day and score, of the rows whose outcome is known; they add up."""
+    daily = predictions.select(F.col(at).cast("date").alias("day"), F.col(score).alias("score"), F.col(label).alias("label"))
+    return score_counts(daily, "score", "label", ["day"])
+
+
+def performance_of_counts(counts: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """Accuracy and AUC per day from the counts of its outcomes."""
+    n, hits = F.col("pos") + F.col("neg"), F.when(F.col("score") >= threshold, F.col("pos")).otherwise(F.col("neg"))
+    accuracy = counts.groupBy("day").agg(F.sum(n).alias("n"), F.try_divide(F.sum(hits).cast("double"), F.sum(n)).alias("accuracy"))
+    ranked = discrimination_of_counts(counts, "score", ["day"]).select(F.col("day").alias("_day"), "auc")
+    return accuracy.join(ranked, F.col("day").eqNullSafe(F.col("_day"))).drop("_day")
+
+
 def performance_by_day(
     predictions: DataFrame, at: str, score: str, label: str, threshold: float = 0.5
 ) -> DataFrame:
-    """Accuracy and AUC per day over the rows whose outcome is known."""
-    known = predictions.where(F.col(label).isNotNull() & F.col(score).isNotNull()).withColumn(
-        "day", F.col(at).cast("date")
-    )
-    hit = (F.col(score) >= threshold).cast("int") == F.col(label)
-    accuracy = known.groupBy("day").agg(
-        F.count(F.lit(1)).alias("n"), F.avg(hit.cast("double")).alias("accuracy")
-    )
-    ranked = discrimination(known, score, label, ["day"]).select("day", "auc")
-    return accuracy.join(ranked, "day")
+    """Accuracy and AUC per day over the rows whose outcome is known.
+
+    Rows are reduced once to counts per day and score, which both numbers are made of.
+    """
+    counts = materialize(outcome_counts(predictions, at, score, label), "outcome-counts")
+    return performance_of_counts(counts, threshold)

@@ -38,7 +38,14 @@ def discrimination(
 ) -> DataFrame:
     """Exact AUC (ties count half), Gini and KS per group; NULL where only one class occurs."""
     groups = groups or []
-    placed = _placed(df, score, label, groups, ranges)
+    return discrimination_of_counts(score_counts(df, score, label, groups), score, groups, ranges)
+
+
+def discrimination_of_counts(
+    counts: DataFrame, score: str, groups: list[str], ranges: int | None = None
+) -> DataFrame:
+    """The same from `pos` and `neg` per group and distinct score."""
+    placed = running_totals(counts, score, ["pos", "neg"], groups, ranges)
     pos, neg = F.col("pos"), F.col("neg")
     won = pos * (F.col("neg_before") + neg / 2.0)
     gap = F.abs(

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from functools import cache, cached_property
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import columns as c
@@ -104,16 +105,33 @@ def _checked(scored: DataFrame, *columns: str) -> DataFrame:
     )
 
 
+def _noise(n_pos: int, n_neg: int) -> float:
+    """One standard deviation of the AUC of scores that tell nothing."""
+    return math.sqrt((n_pos + n_neg + 1) / (12.0 * n_pos * n_neg)) if n_pos and n_neg else math.inf
+
+
+def beats_chance(scored: DataFrame, label: str = LABEL) -> bool:
+    """Whether scores rank the label better than scores that tell nothing do, but once in forty times."""
+    found = evaluate.discrimination(scored, "score", label).first()
+    return found["auc"] is not None and found["auc"] > 0.5 + 2 * _noise(found["n_pos"], found["n_neg"])
+
+
+def _fitted(run: ModelRun, model: PipelineModel) -> DataFrame:
+    """The test rows with what must hold of their scores, and of the model that made them."""
+    scored = training.positive_probability(model, run.test)
+    return _checked(scored, "subject_id", LABEL).withColumn("above_chance", F.lit(beats_chance(scored)))
+
+
 @register
 def train_gbt_weighted(t: CreditTables) -> DataFrame:
     run = model_run(t)
-    return _checked(training.positive_probability(run.weighted, run.test), "subject_id", LABEL)
+    return _fitted(run, run.weighted)
 
 
 @register
 def train_gbt_balanced(t: CreditTables) -> DataFrame:
     run = model_run(t)
-    return _checked(training.positive_probability(run.balanced, run.test), "subject_id", LABEL)
+    return _fitted(run, run.balanced)
 
 
 @register
@@ -125,21 +143,16 @@ def train_logreg_stepwise(t: CreditTables) -> DataFrame:
     slope = training.logistic_slope(model, rows.fillna(0), LABEL)
     aucs = [0.5, *(step.auc for step in steps)]
     gained = all(later > earlier + MIN_GAIN for earlier, later in zip(aucs, aucs[1:]))
-    checked = _checked(training.positive_probability(model, run.test), "subject_id", LABEL)
-    return checked.withColumns({"at_optimum": F.lit(slope < 1e-4), "gains_hold": F.lit(gained)})
-
-
-def _noise(n_pos: Column, n_neg: Column) -> Column:
-    """Three standard deviations of the AUC of scores that tell nothing."""
-    return 3 * F.sqrt((n_pos + n_neg + 1) / (12.0 * n_pos * n_neg))
+    return _fitted(run, model).withColumns({"at_optimum": F.lit(slope < 1e-4), "gains_hold": F.lit(gained)})
 
 
 @register
 def model_comparison(t: CreditTables) -> DataFrame:
-    """For each model: Gini from AUC, and AUC between chance and that of the true probability."""
+    """For each model: Gini from AUC, and AUC above chance, at least half as far from it as that of the true
+    probability, and not beyond that."""
     run = model_run(t)
     truth = evaluate.discrimination(run.test, "pd_true", LABEL).first()
-    noise = _noise(F.lit(truth["n_pos"]), F.lit(truth["n_neg"]))
+    noise = _noise(truth["n_pos"], truth["n_neg"])
     again = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="score", numBins=0)
     scores = {name: again.evaluate(training.positive_probability(m, run.test)) for name, m in run.models.items()}
     same = F.create_map(*[F.lit(x) for pair in scores.items() for x in pair])[F.col("model")]
@@ -147,8 +160,9 @@ def model_comparison(t: CreditTables) -> DataFrame:
         "model",
         (F.abs(F.col("gini") - (2 * F.col("auc") - 1)) < 1e-12).alias("gini_follows"),
         (F.abs(F.col("auc") - same) < 1e-9).alias("auc_agrees"),
-        (F.col("auc") > 0.5 - noise).alias("above_chance"),
-        (F.col("auc") < F.lit(truth["auc"]) + noise).alias("below_truth"),
+        (F.col("auc") > 0.5 + 2 * noise).alias("above_chance"),
+        (F.col("auc") - 0.5 > (truth["auc"] - 0.5) / 2).alias("halfway_to_truth"),
+        (F.col("auc") < truth["auc"] + 3 * noise).alias("below_truth"),
     )
 
 
@@ -195,7 +209,8 @@ def predict_sample(t: CreditTables) -> DataFrame:
     """Class predictions for ten encoded rows."""
     run = model_run(t)
     rows = run.test.orderBy("subject_id").limit(10)
-    return _checked(training.positive_probability(run.weighted, rows), "subject_id")
+    checked = _checked(training.positive_probability(run.weighted, rows), "subject_id")
+    return checked.withColumn("above_chance", F.lit(beats_chance(training.positive_probability(run.weighted, run.test))))
 
 
 @register
@@ -277,6 +292,34 @@ def stream_drift(t: CreditTables) -> DataFrame:
     return rounded(df, mean=6, baseline_mean=6, difference=6)
 
 
+@cache
+def stored_outcomes(t: CreditTables) -> tuple[DataFrame, DataFrame]:
+    """Predictions and, in files of their own, the outcomes that become known days after them."""
+    made = t.predictions.select("event_id", "scored_at", "pd_true_prob")
+    days = F.col("event_id") % 20
+    outcomes = t.predictions.where("default_flag IS NOT NULL").select(
+        "event_id", F.expr("scored_at + make_dt_interval(cast(event_id % 20 AS int))").alias("known_at"), "default_flag",
+        F.floor(days / 7).cast("int").alias("part"),
+    )
+    # Three files that come one after the other, the earliest outcomes first.
+    return made, materialize(outcomes.repartitionByRange(3, "part").drop("part"), "outcomes")
+
+
+@register
+def stream_performance(t: CreditTables) -> DataFrame:
+    """Performance by day from streams of predictions and of outcomes that are known later."""
+    made, outcomes = stored_outcomes(t)
+    folders = [jobs.stored_folder(df) for df in (t.predictions, outcomes)]
+    predictions = jobs.table_stream(t.spark, folders[0], t.predictions.schema).select(*made.columns)
+    known = jobs.table_stream(t.spark, folders[1], outcomes.schema, files_per_batch=1)
+    state, store = jobs.stream_paths(t.spark, "performance")
+    df = jobs.stream_performance(
+        predictions, known, "event_id", "scored_at", "known_at", "pd_true_prob", "default_flag", state, store,
+        lateness="60 days", threshold=fv.PD_REVIEW_BELOW,
+    )
+    return rounded(df, accuracy=9, auc=9)
+
+
 @register
 def stream_feature_refresh(t: CreditTables) -> DataFrame:
     base, _ = upsert_inputs(t)

@@ -680,19 +680,19 @@ def _oracles() -> dict[str, str]:
         ),
         # trained models: the rows, and what must hold of the fitted values
         **{
-            f"train_gbt_{kind}": wide(f"SELECT subject_id, default_flag::BIGINT AS default_flag, true AS score_in_range, true AS class_follows FROM wide WHERE NOT ({SPLIT})")
+            f"train_gbt_{kind}": wide(f"SELECT subject_id, default_flag::BIGINT AS default_flag, true AS score_in_range, true AS class_follows, true AS above_chance FROM wide WHERE NOT ({SPLIT})")
             for kind in ("weighted", "balanced")
         },
         "train_logreg_stepwise": wide(
-            f"""SELECT subject_id, default_flag::BIGINT AS default_flag, true AS score_in_range, true AS class_follows,
+            f"""SELECT subject_id, default_flag::BIGINT AS default_flag, true AS score_in_range, true AS class_follows, true AS above_chance,
                   true AS at_optimum, true AS gains_hold FROM wide WHERE NOT ({SPLIT})"""
         ),
-        "model_comparison": f"""SELECT model, true AS gini_follows, true AS auc_agrees, true AS above_chance, true AS below_truth
+        "model_comparison": f"""SELECT model, true AS gini_follows, true AS auc_agrees, true AS above_chance, true AS halfway_to_truth, true AS below_truth
             FROM {MODELS}""",
         "rank_models": "SELECT unnest([1, 2, 3])::BIGINT AS place, true AS not_better_than_the_last, true AS known",
         "roc_long": f"""SELECT model, true AS from_the_origin, true AS to_one, true AS never_falls, true AS area_is_auc FROM {MODELS}""",
         "predict_sample": wide(
-            f"SELECT subject_id, true AS score_in_range, true AS class_follows FROM wide WHERE NOT ({SPLIT}) ORDER BY subject_id LIMIT 10"
+            f"SELECT subject_id, true AS score_in_range, true AS class_follows, true AS above_chance FROM wide WHERE NOT ({SPLIT}) ORDER BY subject_id LIMIT 10"
         ),
         "score_batch_model": wide(
             """SELECT subject_id, true AS pd_in_range, true AS score_follows, true AS decision_follows,
@@ -716,7 +716,7 @@ def _oracles() -> dict[str, str]:
         ),
         "drift_difference_of_means": _drift(["pd_true_prob"], 9),
         "feature_drift": _drift(["value", "pd_true_prob", "default_flag"], 6),
-        "performance_by_window": credit(
+        **dict.fromkeys(("performance_by_window", "stream_performance"), credit(
             """SELECT day, max(n_day) AS n, round(max(acc), 9) AS accuracy,
                  round(sum(p * (cn - n + n / 2e0)) / nullif(max(tp)::DOUBLE * max(tn), 0), 9) AS auc FROM cum_day
                JOIN (SELECT scored_at::DATE AS day, count(*) AS n_day,
@@ -726,7 +726,7 @@ def _oracles() -> dict[str, str]:
                  count(*) FILTER (default_flag = 0) AS n FROM predictions WHERE default_flag IS NOT NULL GROUP BY 1, 2),
                cum_day AS (SELECT *, sum(n) OVER (PARTITION BY day ORDER BY s) AS cn, sum(p) OVER d AS tp, sum(n) OVER d AS tn
                  FROM by_day WINDOW d AS (PARTITION BY day))""",
-        ),
+        )),
         # streams: the same results as the batch jobs
         "stream_score": credit(
             """SELECT event_id, user_id AS subject_id, pd_probability, credit_score, decision

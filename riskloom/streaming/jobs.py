@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions import columns as c
-from riskloom.operators.drift import overall_means, with_baseline
+from riskloom.operators.drift import outcome_counts, overall_means, performance_of_counts, with_baseline
 from riskloom.operators.joins import is_small, left_join_lookups
 from riskloom.operators.upserts import BUCKET_ROWS, BucketedTable
-from riskloom.session import scratch_path
+from riskloom.session import materialize, scratch_path
+from riskloom.sources.periods import PeriodStore
 
 
 def table_stream(
@@ -33,6 +34,11 @@ def table_stream(
     return reader.parquet(folder)
 
 
+def stored_folder(table: DataFrame) -> str:
+    """The folder of a table that was written by one job."""
+    return table.inputFiles()[0].rsplit("/", 1)[0]
+
+
 def run_available(
     stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
 ) -> None:
@@ -133,6 +139,51 @@ def stream_drift(
     return with_baseline(current, overall_means(baseline, [feature]))
 
 
+def stream_performance(
+    predictions: DataFrame,
+    outcomes: DataFrame,
+    key: str,
+    predicted_at: str,
+    known_at: str,
+    score: str,
+    label: str,
+    checkpoint: str,
+    store: str,
+    horizon: str = "30 days",
+    lateness: str = "1 day",
+    threshold: float = 0.5,
+) -> DataFrame:
+    """Accuracy and AUC per day of prediction, corrected whenever outcomes come in.
+
+    Both streams are joined on `key` as far as an outcome is known within `horizon` of its prediction;
+    rows later than `lateness` behind the newest of their stream are dropped, so that state holds one
+    horizon of predictions and one lateness of outcomes. A batch adds its outcomes to the stored counts
+    per day and score, of which only the days it touches are written; version n + 1 of the counts is
+    made from version n by batch n, so running a batch again gives the same version again.
+    """
+    spark = predictions.sparkSession
+    made = predictions.select(
+        key, F.col(predicted_at).cast("timestamp").alias("_predicted"), F.col(score).alias("_score")
+    ).withWatermark("_predicted", lateness)
+    known = outcomes.select(
+        F.col(key).alias("_key"), F.col(known_at).cast("timestamp").alias("_known"), F.col(label).alias("_label")
+    ).withWatermark("_known", lateness)
+    within = F.expr(f"_known BETWEEN _predicted AND _predicted + INTERVAL {horizon}")
+    joined = made.join(known, (F.col(key) == F.col("_key")) & within)
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return outcome_counts(rows, "_predicted", "_score", "_label")
+
+    kind = f"_predicted timestamp, _score {predictions.schema[score].dataType.simpleString()}, _label int"
+    counts = PeriodStore.create(counted(spark.createDataFrame([], kind)), store, "day", ["day", "score"])
+
+    def each(batch: DataFrame, number: int) -> None:
+        counts.add(materialize(counted(batch), "outcomes"), number)
+
+    run_available(joined, each, checkpoint)
+    return performance_of_counts(counts.read(), threshold)
+
+
 def stream_feature_refresh(
     changes: DataFrame,
     summarise: Callable[[DataFrame], DataFrame],

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import evaluate, ranks
 from riskloom.operators.stepwise import best_candidate, fit_logistic, forward_selection
 from riskloom.plans import training
+from riskloom.registry.model_queries import beats_chance
 from riskloom.sources.synthetic import generate_subjects
 
 FEATURES = ["max_dpd_12m", "credit_utilization", "kol_status", "num_inquiries_12m", "age", "dependents",
@@ -79,3 +80,12 @@ def test_models_beat_chance_and_stay_below_the_truth(spark, subjects, tmp_path):
     a = training.positive_probability(models["logreg"], test).agg(F.sum("score")).first()[0]
     assert training.positive_probability(loaded, test).agg(F.sum("score")).first()[0] == pytest.approx(a)
     assert len(steps) >= 1
+
+
+def test_scores_that_tell_nothing_do_not_beat_chance(spark, subjects):
+    scored = subjects.withColumn("score", F.col("pd_true"))
+    assert beats_chance(scored)
+    assert not beats_chance(scored.withColumn("score", F.lit(0.3)))
+    assert not beats_chance(scored.withColumn("score", F.abs(F.xxhash64("subject_id")).cast("double")))
+    assert not beats_chance(scored.withColumn("score", 1 - F.col("score")))
+    assert not beats_chance(scored.where("default_flag = 1"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import drift
 from riskloom.operators.joins import upsert
 from riskloom.operators.upserts import BucketedTable
+from riskloom.sources.periods import PeriodStore
 from riskloom.streaming import jobs
 
 
@@ -192,6 +193,40 @@ def test_performance_per_day(spark):
     assert (rows[1].n, rows[1].accuracy, rows[1].auc) == (1, 1.0, None)
 
 
+def test_streamed_performance_is_corrected_as_outcomes_come(spark, tmp_path):
+    made = spark.range(600).select(
+        F.col("id"), F.expr("timestamp_ntz'2024-01-01 06:00:00' + make_dt_interval(cast(id % 6 as int))").alias("at"),
+        (F.col("id") * 7919 % 97 / 97).alias("p"),
+    )
+    known = made.where("id % 11 <> 0").select(
+        "id", F.expr("at + make_dt_interval(cast(id % 5 as int), 3)").alias("known_at"), ((F.col("id") * 31) % 7 < 3).cast("int").alias("y")
+    )
+    too_late = made.where("id % 11 = 0").select("id", F.expr("at + make_dt_interval(40)").alias("known_at"), F.lit(1).alias("y"))
+    folders = {name: str(tmp_path / name) for name in ("made", "known")}
+    for part in range(3):
+        made.where(f"id div 200 = {part}").coalesce(1).write.mode("append").parquet(folders["made"])
+        known.where(f"id % 5 {['= 0', 'between 1 and 2', '> 2'][part]}").coalesce(1).write.mode("append").parquet(folders["known"])
+    too_late.coalesce(1).write.mode("append").parquet(folders["known"])
+    store = str(tmp_path / "store")
+
+    def run():
+        return jobs.stream_performance(
+            stream(spark, folders["made"], made), stream(spark, folders["known"], known), "id", "at", "known_at", "p", "y",
+            str(tmp_path / "state"), store, lateness="90 days",
+        )
+
+    def rows(df):
+        return sorted((str(r.day), r.n, round(r.accuracy, 9), round(r.auc, 9)) for r in df.collect())
+
+    want = rows(drift.performance_by_day(made.join(known, "id"), "at", "p", "y"))
+    assert rows(run()) == want and len(want) == 6
+    # The counts grew batch by batch, and a day that a batch does not touch stays as it is.
+    versions = PeriodStore(spark, store, "day", ("day", "score"), None)
+    assert versions.log.newest() >= 3
+    sizes = [len(versions.folders(v)) for v in range(versions.log.newest() + 1)]
+    assert sizes[0] == 0 and sizes == sorted(sizes) and sizes[-1] == 6
+
+
 def test_rows_beyond_the_lateness_are_dropped(spark, tmp_path):
     folder = str(tmp_path / "late")
     first = spark.createDataFrame([("2024-01-01", 1.0), ("2024-01-09", 5.0)], "day string, value double")
