@@ -6,8 +6,12 @@ in rank order to all positions of the corpus block at once, and only the neighbo
 position get new index entries. A word in which a merge makes a pair of a lower rank than the one
 being applied is replayed on its own, so results equal word-by-word merging.
 
+New words are laid out in strips of bounded bytes, so that memory grows neither with the words of a
+block nor with the corpus; of the words seen before a task remembers a bounded number.
+
 Defined cases: a null or empty text has no tokens and decodes to no bytes; special-token strings are
-ordinary text; repeated rows are encoded alike.
+ordinary text; repeated rows are encoded alike; a single word longer than a strip is a strip of its own. Other
+columns, whatever their names, are carried along, and a column named as the result is replaced.
 """
 
 from __future__ import annotations
@@ -23,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import give_back, small_batches, table
+from riskloom.llm.common import blocks, give_back, small_batches, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 NONE = np.int32(2**31 - 1)
-#: Words whose encodings a task remembers before it starts afresh.
-CACHE_WORDS = 100_000
+#: Words, and their bytes, whose encodings a task remembers before it starts afresh.
+CACHE_WORDS, CACHE_BYTES = 100_000, 4 << 20
+#: Bytes of new words that are replayed together, and characters of texts encoded together.
+STRIP_BYTES, BLOCK_CHARS = 1 << 20, 4_000_000
 
 
 class Merges:
@@ -184,6 +190,46 @@ def replay_word(word: bytes, merges: Merges) -> bytes:
     return np.array([s for s, a in zip(symbols, alive) if a], "<u4").tobytes()
 
 
+class WordCodes:
+    """Encodings of words, remembered for the words seen last within bounds of number and bytes."""
+
+    def __init__(self, merges: Merges, pattern: str):
+        import regex
+
+        self.merges, self.split = merges, regex.compile(pattern).findall
+        self._clear()
+
+    def _clear(self) -> None:
+        self.number: dict[str, int] = defaultdict(count().__next__)
+        self.codes: list[bytes] = []
+        self.size = 0
+
+    def encoded(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text. New words are replayed together, in strips of bounded bytes."""
+        if len(self.codes) > CACHE_WORDS or self.size > CACHE_BYTES:
+            self._clear()
+        rows = []
+        for text in texts:
+            words = self.split(text or "")
+            rows.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
+        strip, held = [], 0
+        for word in map(str.encode, islice(self.number, len(self.codes), None)):
+            if strip and held + len(word) > STRIP_BYTES:
+                self.codes += replay(strip, self.merges)
+                strip, held = [], 0
+            strip.append(word)
+            held += len(word)
+            self.size += len(word)
+        if strip:
+            self.codes += replay(strip, self.merges)
+        get = self.codes.__getitem__
+        return [b"".join(map(get, row.tolist())) for row in rows]
+
+
+def decoded_bytes(ids: bytes | None, tokens: dict[int, bytes]) -> bytes:
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids: str = "ids") -> DataFrame:
     """`docs` with a binary column `ids`: the tokens as little-endian unsigned 32-bit integers."""
     spark: SparkSession = docs.sparkSession
@@ -192,22 +238,11 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
 
     @F.arrow_udf("binary")
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        import regex
-
-        merges, split = shared.value, regex.compile(pattern).findall
-        number, encoded_words = defaultdict(count().__next__), []
+        words = WordCodes(shared.value, pattern)
         for batch in batches:
-            if len(encoded_words) > CACHE_WORDS:
-                number, encoded_words = defaultdict(count().__next__), []
-            rows = []
-            for text in batch:
-                words = split(text.as_py() or "")
-                rows.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
-            fresh = list(islice(number, len(encoded_words), None))
-            encoded_words += replay([word.encode() for word in fresh], merges)
-            get = encoded_words.__getitem__
-            yield pa.array([b"".join(map(get, row.tolist())) for row in rows], pa.binary())
-        number = encoded_words = rows = fresh = get = batch = None  # noqa: F841
+            done = [x for block in blocks(batch.to_pylist(), chars=BLOCK_CHARS) for x in words.encoded(block)]
+            yield pa.array(done, pa.binary())
+        words = batch = done = None  # noqa: F841
         give_back()
 
     return docs.withColumn(ids, encoded(text_col))
@@ -219,17 +254,33 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", result: str = "decoded"
 
     @F.arrow_udf("binary")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        get = shared.value.__getitem__
         for batch in batches:
-            yield pa.array(
-                [b"".join(map(get, np.frombuffer(x.as_py() or b"", "<u4").tolist())) for x in batch], pa.binary()
-            )
+            yield pa.array([decoded_bytes(x.as_py(), shared.value) for x in batch], pa.binary())
         batch = None  # noqa: F841
         give_back()
 
     return docs.withColumn(result, decoded(ids))
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text", result: str = "coded") -> DataFrame:
+    """`docs` with a struct column `result` of ids and of what they decode to, made by one worker."""
+    spark: SparkSession = docs.sparkSession
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast(Merges.load(path))
+
+    @F.arrow_udf("ids binary, decoded binary")
+    def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        words, kind = WordCodes(shared.value, pattern), [("ids", pa.binary()), ("decoded", pa.binary())]
+        for batch in batches:
+            ids = [x for block in blocks(batch.to_pylist(), chars=BLOCK_CHARS) for x in words.encoded(block)]
+            back = [decoded_bytes(x, shared.value.tokens) for x in ids]
+            yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(back, pa.binary())], fields=[pa.field(*f) for f in kind])
+        words = batch = ids = back = None  # noqa: F841
+        give_back()
+
+    return docs.withColumn(result, coded(text_col))
+
+
 def token_count(ids: str = "ids"):
     return (F.octet_length(ids) / 4).cast("long")
 
@@ -238,10 +289,10 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path(VOCABULARY)
-    docs = encode(table(spark, folder, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
-    return decode(docs, path).select(
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return round_trip(docs, path, public_tokenizers.PATTERN).select(
         "doc_id",
-        token_count().alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        token_count("coded.ids").alias("n_tokens"),
+        F.sha2("coded.ids", 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )
