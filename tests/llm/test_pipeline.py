@@ -115,5 +115,20 @@ def test_stages_on_odd_documents(spark):
         assert stage(spark, docs.limit(0), SMALL).count() == 0
 
 
+def test_a_copy_takes_no_other_row_of_its_id_along(spark):
+    a, b = "one two three four five six seven eight", "nine ten eleven twelve thirteen fourteen fifteen sixteen"
+    docs = spark.createDataFrame(
+        [(3, a, "en", "s", 1), (9, a, "en", "s", 1), (9, b, "en", "s", 1), (9, b, "en", "s", 1), (4, b + " end", "en", "s", 1),
+         (None, a, "en", "s", 1), (None, a, "en", "s", 1)],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    near = corpus_pipeline.near_duplicate_stage(spark, docs, SMALL)
+    got = sorted(((r.doc_id, r.text) for r in near.collect()), key=str)
+    assert got == sorted([(3, a), (4, b + " end"), (None, a)], key=str)
+    apart = docs.where("doc_id <> 4")
+    near = corpus_pipeline.near_duplicate_stage(spark, apart, SMALL)
+    assert sorted((r.doc_id, r.text) for r in near.collect()) == [(3, a), (9, b)]
+
+
 def test_the_stage_scores_without_labels_of_held_out_rows(spark):
     assert spark.range(9).where(quality.held_out("id")).count() == sum(zlib.crc32(str(i).encode()) % 3 == 1 for i in range(9))
