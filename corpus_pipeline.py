@@ -9,7 +9,11 @@ stage works on all that its predecessor kept, and what it decides is done to the
 4. mix: documents are left out or repeated until the sources have their target shares;
 5. tokens: texts become token ids, which are decoded again as a check.
 
-A null text passes through 1 to 3 by the operators' rules for empty texts and is not drawn by 4.
+Defined cases: a null text passes through 1 to 3 by the operators' rules for empty texts and is not drawn by
+4; rows are told apart by id and text, so that of equal rows one stays in 3, and a copy that goes takes no
+other row of its id along; rows without an id are never near copies; ties go to the least id, then to the
+least hash of the text; an empty table gives an empty table; further columns of the documents pass through 1
+to 4 unchanged, and names that begin with two underscores are used inside.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import bpe, line_dedup, minhash, mixing, quality
 from riskloom.llm.common import table
+from riskloom.operators.joins import broadcast_if_small
 from riskloom.session import materialize
 
 
@@ -46,11 +51,25 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies; of equal rows one."""
-    found = minhash.near_duplicates(docs.select("doc_id", "text"))
-    gone = found.where(~F.col("kept")).select("doc_id")
-    rest = docs.join(gone, "doc_id", "left_anti").withColumn("__mark", F.xxhash64("text"))
-    return rest.dropDuplicates(["doc_id", "__mark"]).select(*docs.columns)
+    """The first document of each group of near copies; of equal rows one.
+
+    Only ids and marks of texts are looked at to find what goes and what is repeated; documents are
+    joined with these, which moves them only where there are too many to broadcast.
+    """
+    found = materialize(minhash.near_duplicates(docs.select("doc_id", "text")), "near-copies")
+    rows = docs.withColumn("__mark", F.xxhash64("text"))
+
+    def of(thin: DataFrame) -> tuple[DataFrame, Column]:
+        thin = broadcast_if_small(materialize(thin.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__of")).distinct(), "near-rows"))
+        return thin, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__of"))
+
+    rest = rows.join(*of(found.where(~F.col("first"))), "left_anti")
+    again = materialize(found.where("first").groupBy("doc_id", "mark").count().where("count > 1"), "equal-rows")
+    if again.limit(1).count():
+        equal, same = of(again)
+        one = rest.join(equal, same, "left_semi").dropDuplicates(["doc_id", "__mark"])
+        rest = rest.join(equal, same, "left_anti").unionByName(one)
+    return rest.select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,9 +80,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids and whether decoding gives the text back."""
     path = public_tokenizers.path(bpe.VOCABULARY)
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, public_tokenizers.PATTERN), path)
-    whole = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    return coded.select("doc_id", "lang", "source", bpe.token_count().alias("n_tokens"), "ids", whole.alias("whole"))
+    texts = docs.select("doc_id", "lang", "source", "text")
+    coded = bpe.round_trip(texts, path, public_tokenizers.PATTERN, result="__coded")
+    ids = F.col("__coded.ids")
+    whole = F.col("__coded.decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    return coded.select("doc_id", "lang", "source", bpe.token_count("__coded.ids").alias("n_tokens"), ids.alias("ids"), whole.alias("whole"))
 
 
 STAGES = [
