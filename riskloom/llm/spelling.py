@@ -257,9 +257,9 @@ def spelling_groups(words: DataFrame, times: int = TIMES) -> DataFrame:
     """Per word of (word, n) its form, root, n, n_near (near words) and form_n."""
     spark = words.sparkSession
     words = materialize(words.select("word", "n"), "words-counted")
-    tasks = max(spark.sparkContext.defaultParallelism, words.count() // TASK_WORDS)
-    words = materialize(words.repartition(tasks, "word"), "words")
-    pairs = materialize(near_pairs(words), "near-pairs")
+    # Small files are read by few tasks, so the words are dealt to tasks by their number.
+    tasks = max(spark.sparkContext.defaultParallelism, -(-words.count() // TASK_WORDS))
+    pairs = materialize(near_pairs(words.repartition(tasks, "word")), "near-pairs")
     mirrored = pairs.select(F.col("b").alias("a"), F.col("n_b").alias("n_a"), F.col("a").alias("b"), F.col("n_a").alias("n_b"))
     # Of equally frequent words the first in the order of code points, which is that of UTF-8 bytes.
     best = F.min(F.struct((-F.col("n_b")).alias("minus"), F.col("b").alias("form")))
