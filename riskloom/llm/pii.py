@@ -69,30 +69,58 @@ def _matches(text: str, pattern: str) -> Column:
     return F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
 
 
+#: Items that a running total takes at a time, see `_running`.
+_PIECE = 256
+
+
+def _let(value: Column, body) -> Column:
+    """`body` of a value that is computed once, also where lambdas read it again and again."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _pieces(items: Column) -> Column:
+    """An array cut into arrays of at most _PIECE items."""
+    last = F.floor((F.size(items) - 1) / _PIECE).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda k: F.slice(items, k * _PIECE + 1, F.lit(_PIECE)))
+    return F.when(F.size(items) > 0, cut).otherwise(F.slice(cut, 1, 0))
+
+
+def _running(items: Column, zero: Column, step) -> Column:
+    """For each item the total of those before it; `step` adds two totals, of which items are single ones.
+
+    Appending to an array copies it, so totals are found in pieces: first of whole pieces, then inside each.
+    """
+    kind = "array<int>"
+    begin = lambda at: F.struct(at.alias("at"), F.array().cast(kind).alias("out"))
+    add = lambda total, x: F.struct(step(total["at"], x).alias("at"), F.concat(total["out"], F.array(total["at"])).alias("out"))
+    scan = lambda xs, at: F.aggregate(xs, begin(at), add, lambda total: total["out"])
+
+    def in_pieces(pieces: Column) -> Column:
+        return F.flatten(F.zip_with(pieces, scan(F.transform(pieces, lambda piece: F.aggregate(piece, zero, step)), zero), scan))
+
+    return _let(items, lambda xs: _let(_pieces(xs), in_pieces))
+
+
 def _spans(text: str, found: str, pattern: str) -> Column:
     """Spans of the matches in column `found`, from the lengths of the matches and of the gaps between them."""
-    gaps = F.split(F.col(text), pattern, -1)
-    pairs = F.zip_with(
-        F.slice(gaps, 1, F.size(found)), F.col(found),
-        lambda gap, body: F.struct(gap.alias("gap"), body.alias("body")),
-    )
-    nexts = F.transform(F.slice(gaps, 2, F.size(found)), lambda gap: F.substring(gap, 1, 1))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
-
-    def step(total: Column, pair: Column) -> Column:
-        begin = total["at"] + F.length(pair["gap"])
-        end = begin + F.length(pair["body"])
-        nearby = F.substring(pair["gap"], -_CONTEXT, _CONTEXT)
-        # What stands after is only known to the next gap and filled in below.
-        span = F.struct(begin.alias("start"), end.alias("end"), pair["body"].alias("body"), nearby.alias("before"), F.lit("").alias("after"))
-        return F.struct(end.alias("at"), F.concat(total["out"], F.array(span)).alias("out"))
-
-    out = F.aggregate(pairs, start, step, lambda total: total["out"])
-    filled = F.zip_with(
-        out, nexts,
-        lambda span, after: F.struct(span["start"].alias("start"), span["end"].alias("end"), span["body"].alias("body"), span["before"].alias("before"), after.alias("after")),
-    )
-    return F.when(F.size(found) > 0, filled).otherwise(F.array().cast(f"array<{_SPAN}>"))
+    none = F.array().cast(f"array<{_SPAN}>")
+
+    def span(x: Column) -> Column:
+        begin = x["at"] + F.length(x["gap"])
+        nearby = F.substring(x["gap"], -_CONTEXT, _CONTEXT)
+        return F.struct(
+            begin.alias("start"), (begin + F.length(x["body"])).alias("end"), x["body"].alias("body"), nearby.alias("before"), x["after"].alias("after")
+        )
+
+    def placed(gaps: Column) -> Column:
+        before = F.slice(gaps, 1, F.size(found))
+        after = F.transform(F.slice(gaps, 2, F.size(found)), lambda gap: F.substring(gap, 1, 1))
+        lengths = F.zip_with(before, F.col(found), lambda gap, body: F.length(gap) + F.length(body))
+        starts = _running(lengths, F.lit(0), lambda a, b: a + b)
+        zipped = F.arrays_zip(before.alias("gap"), F.col(found).alias("body"), after.alias("after"), starts.alias("at"))
+        return F.transform(zipped, span)
+
+    return F.when(F.size(found) > 0, _let(F.split(F.col(text), pattern, -1), placed)).otherwise(none)
 
 
 def _digits(body: Column) -> Column:
@@ -256,17 +284,49 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = candidates(docs, id_col, text_col)
     odds, weights = classifier(found)
     keep = F.filter("spans", lambda s: s["base"])
-    found = found.select("id", "spans", keep.alias("base"))
-    apart = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    loose = F.filter("spans", lambda s: ~s["strict"] & (s["check"] == 1) & (_score(s, odds, weights) > 0) & apart(s))
+    loose = F.filter("spans", lambda s: ~s["strict"] & (s["check"] == 1) & (_score(s, odds, weights) > 0))
     short = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["base"].alias("base"))
-    found = found.select("id", F.transform("base", short).alias("base"), F.array_sort(F.transform(loose, short)).alias("added"))
+    found = found.select("id", F.transform(keep, short).alias("base"), F.transform(loose, short).alias("loose"))
+
+    def apart(every: Column) -> Column:
+        # In the order of starts: how far base spans reach that start before a span, and where the next one starts.
+        ends = F.transform(every, lambda s: F.when(s["base"], s["end"]).otherwise(0))
+        reach = _running(ends, F.lit(0), lambda a, b: F.greatest(a, b))
+        starts = F.transform(F.reverse(every), lambda s: F.when(s["base"], s["start"]).otherwise(_BEYOND))
+        following = F.reverse(_running(starts, F.lit(_BEYOND), lambda a, b: F.least(a, b)))
+        zipped = F.arrays_zip(every.alias("s"), reach.alias("reach"), following.alias("next"))
+        free = F.filter(zipped, lambda x: ~x["s"]["base"] & (x["reach"] <= x["s"]["start"]) & (x["next"] >= x["s"]["end"]))
+        return F.transform(free, lambda x: x["s"])
+
     none = F.array().cast("array<struct<start:int,kind:int,end:int,base:boolean>>")
-    first = F.aggregate(
-        "added", none,
-        lambda out, s: F.when((F.size(out) > 0) & (F.try_element_at(out, F.lit(-1))["end"] > s["start"]), out).otherwise(F.concat(out, F.array(s))),
-    )
-    return found.select(F.col("id").alias(id_col), F.array_sort(F.concat("base", F.when(F.size("added") > 0, first).otherwise(none))).alias("spans"))
+    added = F.when(F.size("loose") > 0, _let(F.array_sort(F.concat("base", "loose")), apart)).otherwise(none)
+    found = found.select("id", "base", added.alias("added"))
+    return found.select(F.col("id").alias(id_col), F.array_sort(F.concat("base", _first_ones("added"))).alias("spans"))
+
+
+#: A position after every text.
+_BEYOND = 2**31 - 1
+
+
+def _first_ones(spans: str) -> Column:
+    """Of spans sorted by start those that overlap none that was taken before them."""
+    kind = "array<struct<start:int,kind:int,end:int,base:boolean>>"
+    none = F.array().cast(kind)
+
+    def add(total: Column, s: Column) -> Column:
+        free = total["end"] <= s["start"]
+        return F.struct(
+            F.when(free, s["end"]).otherwise(total["end"]).alias("end"),
+            F.when(free, F.concat(total["out"], F.array(s))).otherwise(total["out"]).alias("out"),
+        )
+
+    def add_piece(total: Column, piece: Column) -> Column:
+        done = F.aggregate(piece, F.struct(total["end"].alias("end"), none.alias("out")), add)
+        return F.struct(done["end"].alias("end"), F.concat(total["out"], F.array(done["out"])).alias("out"))
+
+    start = F.struct(F.lit(0).alias("end"), F.array().cast(f"array<{kind}>").alias("out"))
+    taken = lambda pieces: F.flatten(F.aggregate(pieces, start, add_piece, lambda total: total["out"]))
+    return _let(_pieces(F.col(spans)), taken)
 
 
 def written(spans: Column) -> Column:
