@@ -5,13 +5,13 @@ becomes a new phrase. The set of phrases, hashed, is reduced to a one-permutatio
 signature of `BINS` 16-bit values; the share of equal values estimates how much of their phrases two
 texts have in common, as a compression distance does.
 
-Neighbours in the order of ids come from a range layout: cuts at quantiles of the ids make ranges of
-about equal size, each range is sorted and read as a stream, and the first document of each range is
-also sent to the range before it. No window spans the table.
+Neighbours in the order of ids come from Spark's range partitioning: each range is sorted and read as a
+stream, and the texts at the ends of ranges are written beside the results and joined afterwards, the
+last of a range with the first of the next. No window spans the table.
 
 Defined cases: a null text is an empty one; an empty text has one fixed fingerprint, alike to itself
 only; null ids come first; rows of one id follow each other by text; equal texts have equal
-fingerprints. A single document is its own next one.
+fingerprints. A single document is its own next one. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,14 +21,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import give_back, small_batches, table
+from riskloom.session import scratch_path
 
 BINS = 64
-#: Rows that one range is meant to hold.
-RANGE_ROWS = 8_000
 #: Where null ids stand in the order.
 LEAST = -(2**63)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -146,86 +147,92 @@ def both_fingerprints(text: str, following: str) -> tuple[str, str, str]:
     return first, changed, signature(phrase_hashes(start + other, ends + parser.feed(other, len(start))))
 
 
-def in_ranges(docs: DataFrame, id_col: str, text_col: str, range_rows: int) -> DataFrame:
-    """(part, guest, id, text), each part sorted; guests are the first rows of the following part."""
-    small_batches(docs.sparkSession)
+def _judged(items: list[tuple[int | None, str, str]]) -> list[list]:
+    """The result of each (id, text, following text)."""
+    out = []
+    for key, text, following in items:
+        first, changed, second = both_fingerprints(text, following)
+        out.append([key, len(text), hashlib.sha256(changed.encode()).hexdigest(), first, second, likeness(first, second)])
+    for i, row in enumerate(out):
+        same = i + 1 < len(out) and items[i + 1][1] == items[i][2]
+        row.append(likeness(row[3], out[i + 1][3] if same else fingerprint(items[i][2])))
+    return out
+
+
+def in_order(docs: DataFrame, id_col: str, text_col: str, range_rows: int | None) -> DataFrame:
+    """(id, text) in ranges of ids, sorted; texts of one id may be in several ranges by how they begin."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    place = F.coalesce("id", F.lit(LEAST))
-    parts = max(1, -(-rows.count() // range_rows))
-    marks = [i / parts for i in range(1, parts)]
-    cuts = rows.select(place.alias("id")).approxQuantile("id", marks, 0.2 / parts) if marks else []
-    bounds = np.unique(np.array(cuts, np.float64).astype(np.int64))
-
-    @F.arrow_udf("int")
-    def part_of(ids: pa.Array) -> pa.Array:
-        return pa.array(np.searchsorted(bounds, ids.to_numpy(zero_copy_only=False), side="right"), pa.int32())
-
-    # One row for each range, and so for `range_rows` documents.
-    ranges = rows.groupBy(part_of(place).alias("part")).agg(F.min(place).alias("first")).orderBy("part").toPandas()
-    firsts, own = ranges["first"].to_numpy(np.int64), ranges["part"].to_numpy(np.int32)
-    hosts = np.roll(own, 1)
-
-    @F.arrow_udf("array<struct<part:int,guest:boolean>>")
-    def sent_to(ids: pa.Array) -> pa.Array:
-        ids = ids.to_numpy(zero_copy_only=False)
-        home = np.searchsorted(bounds, ids, side="right").astype(np.int32)
-        at = np.minimum(np.searchsorted(firsts, ids), len(firsts) - 1)
-        guest = firsts[at] == ids
-        copies = 1 + guest
-        offsets = np.concatenate(([0], np.cumsum(copies))).astype(np.int32)
-        to, as_guest = np.repeat(home, copies), np.zeros(offsets[-1], bool)
-        second = offsets[1:][guest] - 1
-        to[second], as_guest[second] = hosts[at[guest]], True
-        to = pa.StructArray.from_arrays([pa.array(to, pa.int32()), pa.array(as_guest)], ["part", "guest"])
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), to)
-
-    dealt = rows.select("id", "text", F.explode(sent_to(place)).alias("to")).select("to.part", "to.guest", "id", "text")
-    dealt = dealt.repartitionById(max(1, len(bounds) + 1), F.col("part"))
-    return dealt.sortWithinPartitions("part", "guest", "id", "text")
+    rows = rows.select("id", "text", F.coalesce("id", F.lit(LEAST)).alias("place"), F.substring("text", 1, 16).alias("head"))
+    keys = ["place", "head"]
+    ranged = rows.repartitionByRange(max(1, -(-rows.count() // range_rows)), *keys) if range_rows else rows.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions("place", "text").select("id", "text")
 
 
 def fingerprints(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_rows: int = RANGE_ROWS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_rows: int | None = None
 ) -> DataFrame:
-    """One row per document: id, n_chars, fingerprint, edited_sha256, edited_fingerprint, near_edited, near_next."""
+    """One row per document: id, n_chars, fingerprint, edited_sha256, edited_fingerprint, near_edited, near_next.
+
+    `range_rows` is the number of rows of a range; without it there are as many ranges as a shuffle has
+    partitions, small ones joined.
+    """
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, part_done = None, None
+        part, held = TaskContext.get().partitionId(), None
+        for batch in batches:
+            items, first = [], held is None
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = text.as_py() or ""
+                if held is not None:
+                    items.append((*held, text))
+                elif first:
+                    yield _batch([], [(None, text, part, 0)])
+                held, first = (key, text), False
+            if items:
+                yield _batch(_judged(items), [])
+        if held is not None:
+            yield _batch([], [(*held, part, 1)])
+        held = items = batch = None  # noqa: F841
+        give_back()
+
+    def run_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for part, guest, key, text in zip(*(batch.column(i) for i in range(4))):
-                part, guest, key, text = part.as_py(), guest.as_py(), key.as_py(), text.as_py() or ""
-                if held is not None and held[0] == part:
-                    out.append((held[1], held[2], text))
-                    held = None
-                if not guest:
-                    held = (part, key, text)
-            yield from _rows(out)
-        held = out = batch = None  # noqa: F841
+            for key, text, following in zip(*(column.to_pylist() for column in batch.columns)):
+                yield _batch(_judged([(key, text, following)]), [])
+        batch = None  # noqa: F841
         give_back()
 
-    def _rows(items):
-        if not items:
-            return
-        out, known = [], {}
-        for i, (key, text, following) in enumerate(items):
-            first, changed, second = both_fingerprints(text, following)
-            out.append([key, len(text), hashlib.sha256(changed.encode()).hexdigest(), first, second, likeness(first, second)])
-            known[i] = first
-        for i, row in enumerate(out):
-            following = known[i + 1] if i + 1 < len(out) and items[i + 1][1] == items[i][2] else fingerprint(items[i][2])
-            row.append(likeness(row[3], following))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _TYPES)], names=_NAMES)
-
-    return in_ranges(docs, id_col, text_col, range_rows).mapInArrow(
-        run,
-        "id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-        "near_edited double, near_next double",
-    ).withColumnRenamed("id", id_col)
+    # Most results are written once; with them the texts at the ends of ranges, which are joined afterwards.
+    path = scratch_path(docs.sparkSession, "fingerprints")
+    made = in_order(docs, id_col, text_col, range_rows).mapInArrow(run, _KIND)
+    made.write.option("compression", "zstd").parquet(path)
+    done = docs.sparkSession.read.schema(_KIND).parquet(path)
+    ends = done.where("edge IS NOT NULL").select("part", "edge", "id", "text")
+    # One row for each range that has documents; the first range follows the last.
+    after = F.lead("part").over(W.orderBy("part"))
+    parts = ends.where("edge = 0").select("part", after.alias("next"))
+    parts = parts.select("part", F.coalesce("next", ends.agg(F.min("part")).scalar()).alias("next"))
+    starts = ends.where("edge = 0").select(F.col("part").alias("next"), F.col("text").alias("following"))
+    last = ends.where("edge = 1").join(parts, "part").join(starts, "next").select("id", "text", "following")
+    rest = last.mapInArrow(run_ends, _KIND)
+    return done.where("edge IS NULL").unionByName(rest).select(*_NAMES).withColumnRenamed("id", id_col)
+
+
+def _batch(rows: list[list], ends: list[tuple]) -> pa.RecordBatch:
+    """Results, or texts at the ends of ranges: (id, text, part, edge)."""
+    made = [[*row, None, None, None] for row in rows]
+    made += [[key, *[None] * (len(_NAMES) - 1), text, part, edge] for key, text, part, edge in ends]
+    columns = [pa.array(c, t) for c, t in zip(zip(*made), [*_TYPES, pa.string(), pa.int32(), pa.int32()])]
+    return pa.RecordBatch.from_arrays(columns, [*_NAMES, "text", "part", "edge"])
 
 
 _NAMES = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 _TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+_KIND = (
+    "id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "near_edited double, near_next double, text string, part int, edge int"
+)
 
 
 def op10_fingerprints(spark, folder: str) -> DataFrame:
