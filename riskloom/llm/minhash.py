@@ -3,7 +3,7 @@
 Each text is hashed to its set of word shingles. `HASHES` minima are taken of the set; consecutive minima
 make the keys of the bands, and the low four bits of each minimum are packed into the signature.
 
-1. Texts of equal sets form one class, of which only one text goes on.
+1. Texts of equal sets, by two names of 64 bits, form one class, of which only one text goes on.
 2. Classes that share a band key are candidates. The packed signatures estimate the likeness by counting
    equal values and taking off those expected by collision; what is far below the threshold goes.
 3. Every class is compared with the most alike of the first members of its band keys, on full shingle
@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import blocks, give_back, join_counted, merge_labels, small_batches, table
 from riskloom.llm.components import components
+from riskloom.operators.joins import broadcast_if_small
 from riskloom.session import materialize
 
 WORDS, LEAST = 5, 0.8
@@ -96,14 +97,14 @@ def band_rows(least: float) -> int:
 
 
 def prints(sets: list[np.ndarray], rows: int) -> list[dict]:
-    """Size, 64-bit name of the set, band keys of `rows` minima each, and packed signature of each set."""
+    """Size, two 64-bit names of the set, band keys of `rows` minima each, and packed signature of each set."""
     bands = HASHES // rows
     rng = np.random.default_rng(5)
     salts, factors = rng.integers(0, 2**64, (2, HASHES), np.uint64)
     factors |= np.uint64(1)
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
     filled = np.flatnonzero(sizes)
-    out = [{"n": int(n), "node": None, "bands": [], "sig": None} for n in sizes.tolist()]
+    out = [{"n": int(n), "node": None, "other": None, "bands": [], "sig": None} for n in sizes.tolist()]
     if not len(filled):
         return out
     flat = np.concatenate([sets[i] for i in filled.tolist()])
@@ -111,7 +112,9 @@ def prints(sets: list[np.ndarray], rows: int) -> list[dict]:
     least = np.empty((HASHES, len(filled)), np.uint64)
     for k in range(HASHES):
         least[k] = np.minimum.reduceat((flat ^ salts[k]) * factors[k], starts)
-    names = _mixed(np.add.reduceat(_mixed(flat), starts) + sizes[filled].astype(np.uint64))
+    names, others = (
+        _mixed(np.add.reduceat(_mixed(flat ^ salt), starts) + sizes[filled].astype(np.uint64)) for salt in (np.uint64(0), _ODD)
+    )
     keys = np.empty((bands, len(filled)), np.uint64)
     for band in range(bands):
         key = np.full(len(filled), band + 1, np.uint64)
@@ -121,9 +124,10 @@ def prints(sets: list[np.ndarray], rows: int) -> list[dict]:
     # The top bits are the well-mixed ones of a product.
     low = (_mixed(least) >> np.uint64(64 - BITS)).astype(np.uint64).reshape(HASHES // 16, 16, len(filled))
     packed = np.bitwise_or.reduce(low << (np.arange(16, dtype=np.uint64) * np.uint64(BITS))[None, :, None], axis=1)
-    keys, packed, names = keys.T.astype(np.int64).tolist(), packed.T.astype(np.int64).tolist(), names.astype(np.int64).tolist()
+    keys, packed = keys.T.astype(np.int64).tolist(), packed.T.astype(np.int64).tolist()
+    names, others = names.astype(np.int64).tolist(), others.astype(np.int64).tolist()
     for i, at in enumerate(filled.tolist()):
-        out[at].update(node=names[i], bands=keys[i], sig=packed[i])
+        out[at].update(node=names[i], other=others[i], bands=keys[i], sig=packed[i])
     return out
 
 
@@ -244,6 +248,17 @@ def confirmed_in_blocks(members: DataFrame, texts: DataFrame, words: int, least:
     return dealt.groupBy("key", "i", "j").applyInArrow(check, "a bigint, b bigint")
 
 
+def _apart(rows: DataFrame) -> DataFrame:
+    """Rows whose sets share the first name but not the second go by the second, so that classes have 128 bits."""
+    twins = rows.groupBy("node").agg(F.min("other").alias("low"), F.max("other").alias("high"))
+    twins = materialize(twins.where("low <> high").select("node", F.lit(True).alias("twin")), "twin-names")
+    if not twins.limit(1).count():
+        return rows
+    named = rows.join(broadcast_if_small(twins), "node", "left")
+    node = F.when(F.col("twin"), F.col("other")).otherwise(F.col("node"))
+    return materialize(named.withColumn("node", node).select(*rows.columns), "prints")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -260,10 +275,11 @@ def near_duplicates(
     bound = passing(least[0] / least[1])
     band = band_rows(least[0] / least[1])
 
-    @F.arrow_udf("n bigint, node bigint, bands array<bigint>, sig array<bigint>")
+    @F.arrow_udf("n bigint, node bigint, other bigint, bands array<bigint>, sig array<bigint>")
     def printed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         made = Shingles(words)
-        kind = pa.struct([("n", pa.int64()), ("node", pa.int64()), ("bands", pa.list_(pa.int64())), ("sig", pa.list_(pa.int64()))])
+        names = [(name, pa.int64()) for name in ("n", "node", "other")]
+        kind = pa.struct([*names, ("bands", pa.list_(pa.int64())), ("sig", pa.list_(pa.int64()))])
         for batch in batches:
             done = [row for block in blocks(batch.to_pylist(), chars=1_000_000) for row in prints(made.of(block), band)]
             yield pa.array(done, kind)
@@ -272,7 +288,7 @@ def near_duplicates(
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = rows.select("id", F.xxhash64("text").alias("mark"), printed("text").alias("p")).select("id", "mark", "p.*")
-    rows = materialize(rows, "prints")
+    rows = _apart(materialize(rows, "prints"))
     usable = F.col("node").isNotNull() & F.col("id").isNotNull()
     grouped = rows.where(usable).groupBy("node").agg(
         F.min(F.struct("id", "mark")).alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.count("*").alias("count")
