@@ -8,12 +8,13 @@ expected false positives are taken off, and the largest corrected count decides.
 
 Learning uses a bounded sample: of each language about `TRAIN_ROWS` documents, chosen by the hash of
 their ids. N-grams are counted over it as a Spark job; a language contains an n-gram whose share of its
-n-grams is at least `MIN_SHARE` and at least `RIVAL` of the largest share among the languages, so at
-most 1 / MIN_SHARE n-grams of a language reach the driver.
+n-grams is at least `MIN_SHARE`, however often other languages have it, so at most 1 / MIN_SHARE n-grams of
+a language reach the driver.
 
 Defined cases: a null text or one without a letter is `und` with score 0; a text of which no n-gram is
 known, and ties, go to the first language by code point (score 0 without a hit); without any learned
-language every text is `und`; rows without a language are not learned from.
+language every text is `und`; rows without a language are not learned from; repeated rows count again;
+other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,12 +29,13 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import blocks, give_back, small_batches, table
 from riskloom.llm.quality import held_out
+from riskloom.session import materialize
 
 #: Documents of each language that are learned from, about.
 TRAIN_ROWS = 2000
 #: Languages a model may have; more are an error, as their masks would no longer be small.
 MOST_LANGUAGES = 1024
-SLOTS, PROBES, MIN_SHARE, RIVAL = 1 << 18, 3, 1e-5, 0.3
+SLOTS, PROBES, MIN_SHARE = 1 << 18, 3, 3e-5
 
 
 def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,16 +115,16 @@ class Filters:
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = TRAIN_ROWS) -> Filters:
     """Filters of the languages of `docs`; what is held out must not be in it."""
     rows_of = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang IS NOT NULL")
-    counted = rows_of.groupBy("lang").count().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
-    if len(counted) > MOST_LANGUAGES:
+    counted = materialize(rows_of.groupBy("lang").agg(F.count("*").alias("count")), "languages")
+    languages = [row["lang"] for row in counted.orderBy("lang").limit(MOST_LANGUAGES + 1).collect()]
+    if len(languages) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    if not counted:
+    if not languages:
         return Filters([], [], np.zeros(0))
-    pick = F.lit(False)
-    for row in counted:
-        part = min(1.0, rows / row["count"])
-        pick = F.when(F.col("lang") == row["lang"], F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(1 << 30)) < int(part * (1 << 30))).otherwise(pick)
-    sample = rows_of.where(pick).select("lang", "text")
+    # One row for each of at most MOST_LANGUAGES languages.
+    quota = F.broadcast(counted.select("lang", F.least(F.lit(1.0), rows / F.col("count")).alias("part")))
+    drawn = F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(1 << 30)) < F.col("part") * (1 << 30)
+    sample = rows_of.join(quota, "lang").where(drawn).select("lang", "text")
 
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,17 +137,10 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(values), pa.string()), pa.array(values), pa.array(n)], ["lang", "gram", "n"])
 
     each = sample.mapInArrow(count_grams, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    # The longest list of a group is one row for each language.
-    per_gram = each.groupBy("gram").agg(F.collect_list(F.struct("lang", "n")).alias("of"))
-    totals = {row["lang"]: row["n"] for row in each.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    sizes = F.create_map(*[F.lit(x) for lang, n in sorted(totals.items()) for x in (lang, float(n))]) if totals else F.lit(None)
-    if not totals:
-        return Filters.build([row["lang"] for row in counted], {})
-    shares = per_gram.select("gram", F.transform("of", lambda x: F.struct(x["lang"].alias("lang"), (x["n"] / sizes[x["lang"]]).alias("share"))).alias("of"))
-    shares = shares.withColumn("most", F.array_max(F.transform("of", lambda x: x["share"])))
-    known = shares.select("gram", "most", F.explode("of").alias("x")).where((F.col("x.share") >= MIN_SHARE) & (F.col("x.share") >= RIVAL * F.col("most")))
-    frame = known.select("x.lang", "gram").toPandas()
-    return Filters.build([row["lang"] for row in counted], {lang: part["gram"].to_numpy(np.int64) for lang, part in frame.groupby("lang")})
+    each = materialize(each, "language-grams")
+    totals = F.broadcast(each.groupBy("lang").agg(F.sum("n").alias("total")))
+    frame = each.join(totals, "lang").where(F.col("n") >= MIN_SHARE * F.col("total")).select("lang", "gram").toPandas()
+    return Filters.build(languages, {lang: part["gram"].to_numpy(np.int64) for lang, part in frame.groupby("lang")})
 
 
 def identify(spark: SparkSession, filters: Filters, text_col: str = "text") -> Column:
