@@ -434,7 +434,7 @@ def encoded_subjects(t: CreditTables) -> DataFrame:
 @register
 def encoded_lookup_join(t: CreditTables) -> DataFrame:
     requests = t.raw("events").select("event_id", F.col("user_id").alias("subject_id"))
-    joined = attach_features(requests, encoded_subjects(t), "subject_id", "event_id")
+    joined = attach_features(requests, encoded_subjects(t), "subject_id", "event_id", t.hot_users)
     return rounded(joined, dti_ratio=9)
 
 

@@ -27,10 +27,22 @@ def build_session(app: str = "riskloom", master: str | None = None, **conf: str)
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by `spark.checkpoint.dir`, else one below the warehouse.
 
-    Executors of a cluster reach both; a folder of one machine is never used.
+    Executors of a cluster must reach it. A folder named in `spark.checkpoint.dir` is taken as it is, as it may be
+    mounted on all machines; a warehouse on the driver's own disk, which is Spark's default, is refused
+    unless the executors run there, too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    return (root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
+    if root:
+        return root.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    check_shared(warehouse, spark.sparkContext.master)
+    return f"{warehouse}/_scratch"
+
+
+def check_shared(folder: str, master: str) -> None:
+    """Raise if executors of a cluster cannot reach a folder."""
+    if not master.startswith("local") and (folder.startswith("file:") or "://" not in folder and folder.startswith("/")):
+        raise ValueError(f"{folder} is a folder of one machine; set spark.checkpoint.dir to one that all executors share")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

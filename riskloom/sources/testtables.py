@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import columns as c
 from riskloom.functions.hashing import md5_uniform, md5_uniform_sql
 from riskloom.operators.joins import (
+    HotKeys,
     attach_features,
     hot_keys,
     is_small,
@@ -251,9 +252,14 @@ class CreditTables:
         )
         known = self.subjects.select("subject_id", "pd_true_prob", "default_flag")
         return materialize(
-            left_join_lookups(requests, [known], "subject_id", "event_id"), "predictions"
+            left_join_lookups(requests, [known], "subject_id", "event_id", self.hot_users), "predictions"
         )
 
+    @cached_property
+    def hot_users(self) -> HotKeys:
+        """The subjects with very many events, counted once for all joins of events with subjects."""
+        return hot_keys(self.raw("events"), "user_id")
+
 
 def _int(column: Column) -> Column:
     return column.cast("int")

@@ -163,3 +163,13 @@ def test_scaling_uses_the_training_parameters(rows):
     train = rows("a double, b double", (1.0, 5.0), (3.0, 5.0))
     scaled = encode.standard_scale(rows("a double, b double", (5.0, 5.0)), encode.scale_parameters(train, ["a", "b"]))
     assert tuple(scaled.first()) == (3.0, 0.0)
+
+
+def test_a_warehouse_of_one_machine_is_refused_on_a_cluster():
+    from riskloom.session import check_shared
+
+    for folder, master in [("/tmp/w", "local[8]"), ("file:/tmp/w", "local"), ("hdfs://n/w", "yarn"), ("s3a://b/w", "spark://m:7077")]:
+        check_shared(folder, master)
+    for folder in ("file:/tmp/w", "/tmp/w", "file:///tmp/w"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            check_shared(folder, "yarn")
