@@ -3,7 +3,7 @@
 Sources in code-point order (null last) weigh 5, 2, 1, repeating, and share all words of the corpus by
 weight; no target exceeds `MOST` times its source's size, and what is above is shared again by weight.
 
-Schedule: slot i of `SLOTS` takes the golden-ratio point frac((i + 1/2) * PHI), and the point's place
+Schedule: slot i of `SLOTS`, or of one for each `SLOT_WORDS` words if that is more, takes the golden-ratio point frac((i + 1/2) * PHI), and the point's place
 among the cumulative targets is the slot's source. A source's slots are ranked. Its documents, in the
 order of a hash, make one stream of words, repeated up to `MOST` times; the target's length of it is cut
 into as many blocks of equal words as the source has slots, and the slot of rank r takes block r. So
@@ -23,13 +23,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import table
+from riskloom.llm.common import join_counted, table
 from riskloom.session import materialize
 
 WEIGHTS = (5, 2, 1)
 #: How often a source's words may be repeated.
 MOST = 3
-SLOTS = 1 << 16
+SLOTS, SLOT_WORDS = 1 << 16, 1_000_000
+#: Bins of the unit interval in which points meet sources, and slots that are ranked together.
+BINS, STRETCH = 1 << 12, 1 << 12
 #: Documents that one bucket of a source is meant to hold.
 BUCKET_ROWS = 20_000
 PHI = 0.6180339887498949
@@ -78,21 +80,37 @@ def targets(sized: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
 def schedule(wanted: DataFrame, slots: int = SLOTS) -> DataFrame:
     """(slot, place, rank): the source of each slot and the slot's rank among the source's slots.
 
-    Points and the cumulative targets are sorted together; the last target passed is the point's source.
-    The sorted rows are the fixed number of slots and one for each source.
+    Points and the stretches of the cumulative targets meet in bins of the unit interval; a bin holds the
+    few sources whose stretches touch it. Slots are ranked inside runs of `STRETCH` slots and runs are added
+    up per source, so that no task holds all slots or all of a source's.
     """
     spark = wanted.sparkSession
     by_place = Window.partitionBy().orderBy("place")
     edges = wanted.where("target > 0").withColumn("upto", F.sum("target").over(by_place))
-    edges = edges.withColumn("point", (F.col("upto") - F.col("target")) / F.sum("target").over(Window.partitionBy()))
+    whole = F.sum("target").over(Window.partitionBy())
+    edges = edges.select("place", ((F.col("upto") - F.col("target")) / whole).alias("low"))
+    # A stretch ends where the next one starts, and the last one after every point.
+    edges = edges.withColumn("high", F.coalesce(F.lead("low").over(by_place), F.lit(2.0)))
+    bin_of = lambda point: F.least(F.floor(point * BINS), F.lit(BINS - 1))
+    edges = edges.withColumn("bin", F.explode(F.sequence(bin_of(F.col("low")), bin_of(F.col("high")))))
     turn = (F.col("id") + 0.5) * PHI
-    points = spark.range(slots).select((turn - F.floor(turn)).alias("point"), F.col("id").alias("slot"), F.lit(None).cast("int").alias("place"))
-    both = points.unionByName(edges.select("point", F.lit(None).cast("long").alias("slot"), "place"))
-    passed = Window.partitionBy().orderBy("point", F.asc_nulls_first("slot"), "place").rowsBetween(Window.unboundedPreceding, 0)
-    given = both.withColumn("place", F.last("place", ignorenulls=True).over(passed)).where("slot IS NOT NULL AND place IS NOT NULL")
+    points = spark.range(slots).select(F.col("id").alias("slot"), (turn - F.floor(turn)).alias("point")).withColumn("bin", bin_of(F.col("point")))
+    given = points.join(edges, "bin").where((F.col("point") >= F.col("low")) & (F.col("point") < F.col("high"))).select("slot", "place")
+    given = materialize(given, "mixture-slots")
     bare = wanted.where("target > 0").join(given.select("place").distinct(), "place", "left_anti")
-    given = given.select("slot", "place").unionByName(bare.select((F.lit(slots) + F.col("place")).cast("long").alias("slot"), "place"))
-    return given.withColumn("rank", F.row_number().over(Window.partitionBy("place").orderBy("slot")) - 1)
+    given = given.unionByName(bare.select((F.lit(slots) + F.col("place")).cast("long").alias("slot"), "place"))
+    given = given.withColumn("stretch", F.expr(f"slot div {STRETCH}"))
+    counts = given.groupBy("place", "stretch").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("place").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("place", "stretch", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("place", "stretch").orderBy("slot")) - 1
+    ranked = given.withColumn("inside", inside).join(counts, ["place", "stretch"])
+    return ranked.select("slot", "place", (F.col("before") + F.col("inside")).alias("rank"))
+
+
+def slots_for(words: int, slots: int) -> int:
+    """At least `slots`, and so many that a slot's words do not grow with the corpus."""
+    return max(slots, -(-words // SLOT_WORDS))
 
 
 def mixture(
@@ -110,15 +128,18 @@ def mixture(
     """
     sized = sized_documents(docs, id_col, text_col, source_col)
     wanted = materialize(targets(sized, weights, most), "mixture-targets")
-    given = materialize(schedule(wanted, slots), "mixture-schedule")
+    words = wanted.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
+    given = materialize(schedule(wanted, slots_for(words, slots)), "mixture-schedule")
     counts = given.groupBy("place").agg(F.count("*").alias("n_slots"))
     plan = wanted.join(counts, "place", "left").withColumn("n_slots", F.coalesce("n_slots", F.lit(0)))
     # Words the mix takes of each source, and buckets that its documents are spread over.
     plan = plan.withColumn("words", F.round("target").cast("long")).withColumn("buckets", F.ceil(F.col("n_docs") / BUCKET_ROWS))
     plan = materialize(plan, "mixture-plan")
 
-    # One row for each source; the sources' rows join the many documents by broadcast only while small.
-    rows = sized.join(plan, sized.source.eqNullSafe(plan.source)).drop(plan.source)
+    # Sources with very many documents, of which there are few, are joined without a shuffle.
+    key = F.struct(F.coalesce("source", F.lit("")).alias("name"), F.col("source").isNull().alias("none"))
+    counted = plan.withColumn("key", key).drop("source").withColumnRenamed("n_docs", "count")
+    rows = join_counted(sized.withColumn("key", key), counted, "key", sized.count()).drop("key", "count")
     part = F.conv(F.substring("mixed", 1, 8), 16, 10).cast("long")
     # Buckets are ranges of the hash, so their order is the order of the stream.
     rows = rows.withColumn("bucket", F.floor(part * F.col("buckets") / F.lit(1 << 32)))
