@@ -12,6 +12,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.operators.joins import broadcast_if_small
+from riskloom.session import materialize
+
 #: Texts handed to one call of a block function, by rows and by characters, whichever is reached first.
 BLOCK_ROWS, BLOCK_CHARS = 4096, 8_000_000
 
@@ -109,6 +112,18 @@ def join_counted(rows: DataFrame, counted: DataFrame, key: str, total: int) -> D
     return often.unionByName(rest.select(*rows.columns, *values))
 
 
+def told_apart(rows: DataFrame) -> DataFrame:
+    """Rows of classes with two 64-bit names, node and other: of classes that share the first name each goes by
+    its second, so that classes are as good as named by 128 bits."""
+    twins = rows.groupBy("node").agg(F.min("other").alias("low"), F.max("other").alias("high"))
+    twins = materialize(twins.where("low <> high").select("node", F.lit(True).alias("twin")), "twin-names")
+    if not twins.limit(1).count():
+        return rows
+    named = rows.join(broadcast_if_small(twins), "node", "left")
+    node = F.when(F.col("twin"), F.col("other")).otherwise(F.col("node"))
+    return materialize(named.withColumn("node", node).select(*rows.columns), "told-apart")
+
+
 def merge_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Give linked positions the least label of their group."""
     while True:

@@ -8,7 +8,8 @@ between the two pivots; then y is also sent to cell j. Cells are cut into blocks
 and each pair of blocks is joined on its own: a single-precision product finds pairs, a double-precision
 cosine confirms them. A block pair returns counts and a spanning forest of its links, never all pairs.
 
-The number of pivots grows with the square root of the number of vectors, so their table stays small.
+The number of pivots grows with the square root of the number of vectors, up to `PIVOT_BYTES` of them.
+Equal vectors are classed by two hashes of 64 bits.
 Vectors in many dimensions without clusters are near all pivots; then most vectors are sent to most
 cells and the join compares nearly all pairs, as any exact method must.
 
@@ -26,20 +27,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskloom.llm.common import join_counted, merge_labels, small_batches, table
+from riskloom.llm.common import join_counted, merge_labels, small_batches, table, told_apart
 from riskloom.llm.components import components
 from riskloom.session import materialize
 
 THRESHOLD = 0.9
+#: Bytes of all pivots, which every task holds.
+PIVOT_BYTES = 32 << 20
 #: Vectors of one side of a block pair.
 BLOCK = 8192
 #: Rows that are multiplied with a whole block at once.
 STRIP = 512
 
 
-def pivot_count(n: int) -> int:
-    return max(1, math.isqrt(n) // 16)
+def pivot_count(n: int, dim: int) -> int:
+    """Pivots for n vectors, as many as PIVOT_BYTES hold at most; with fewer, cells have more blocks."""
+    return max(1, min(math.isqrt(n) // 16, PIVOT_BYTES // (8 * max(dim, 1))))
 
 
 def cells_of(unit: np.ndarray, pivots: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -57,7 +62,8 @@ def cells_of(unit: np.ndarray, pivots: np.ndarray, threshold: float) -> tuple[np
 
 
 def unit_rows(data: list[bytes], dim: int) -> tuple[np.ndarray, np.ndarray]:
-    rows = np.frombuffer(b"".join(data), np.float64).reshape(len(data), dim)
+    kind = np.float32 if data and len(data[0]) == 4 * dim else np.float64
+    rows = np.frombuffer(b"".join(data), kind).astype(np.float64).reshape(len(data), dim)
     # Scaling by the largest component first keeps the squares of huge and tiny components finite.
     rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows, rows / np.linalg.norm(rows, axis=1, keepdims=True)
@@ -85,23 +91,29 @@ def block_links(core: np.ndarray, keys: np.ndarray, other: np.ndarray, other_key
 
 
 def classes(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFrame]:
-    """Stored tables of members (id, node) and classes (node, id, data, dim, count); a class has equal vectors."""
+    """Stored tables of members (id, node) and classes (node, id, data, dim, count); a class has equal vectors.
+
+    Vectors of single-precision components travel as such, which loses nothing, others in double precision.
+    """
     values = F.col(vec_col).cast("array<double>")
+    single = vectors.schema[vec_col].dataType == T.ArrayType(T.FloatType(), vectors.schema[vec_col].dataType.containsNull)
+    width, kind = (4, np.float32) if single else (8, np.float64)
 
     @F.arrow_udf("binary")
     def packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            flat = batch.flatten().to_numpy(zero_copy_only=False) + 0.0  # -0.0 becomes 0.0
+            flat = (batch.flatten().to_numpy(zero_copy_only=False) + 0.0).astype(kind)  # -0.0 becomes 0.0
             ends = np.concatenate(([0], np.cumsum(np.fromiter((len(x) for x in batch), np.int64, len(batch)))))
             yield pa.array([flat[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())
 
     kept = vectors.select(F.col(id_col).cast("long").alias("id"), values.alias("values")).where(usable_on("values") & F.col("id").isNotNull())
-    rows = kept.select("id", packed("values").alias("data")).withColumn("node", F.xxhash64("data"))
-    rows = materialize(rows, "vectors")
+    rows = kept.select("id", packed("values").alias("data"))
+    rows = rows.withColumns({"node": F.xxhash64("data"), "other": F.xxhash64(F.lit(9), "data")})
+    rows = told_apart(materialize(rows, "vectors"))
     grouped = rows.groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("count"))
     # One row of each class brings its vector; the class is joined by its hash.
     first = rows.groupBy("node").agg(F.min("data").alias("data"))
-    grouped = materialize(grouped.join(first, "node").withColumn("dim", (F.length("data") / 8).cast("int")), "vector-classes")
+    grouped = materialize(grouped.join(first, "node").withColumn("dim", (F.length("data") / width).cast("int")), "vector-classes")
     return rows.select("id", "node"), grouped
 
 
@@ -117,8 +129,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     small_batches(spark)
     members, nodes = classes(vectors, id_col, vec_col)
     n = nodes.count()
-    # About sqrt(n) / 16 rows, so even 1e12 vectors give a table of tens of megabytes.
-    picked = nodes.orderBy(F.xxhash64(F.lit(3), "node")).limit(pivot_count(n)).select("data", "dim").collect()
+    longest = nodes.agg(F.coalesce(F.max("dim"), F.lit(1))).first()[0]
+    picked = nodes.orderBy(F.xxhash64(F.lit(3), "node")).limit(pivot_count(n, longest)).select("data", "dim").collect()
     by_dim: dict[int, list[bytes]] = {}
     for row in picked:
         by_dim.setdefault(row["dim"], []).append(bytes(row["data"]))

@@ -33,9 +33,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import blocks, give_back, join_counted, merge_labels, small_batches, table
+from riskloom.llm.common import blocks, give_back, join_counted, merge_labels, small_batches, table, told_apart
 from riskloom.llm.components import components
-from riskloom.operators.joins import broadcast_if_small
 from riskloom.session import materialize
 
 WORDS, LEAST = 5, 0.8
@@ -248,17 +247,6 @@ def confirmed_in_blocks(members: DataFrame, texts: DataFrame, words: int, least:
     return dealt.groupBy("key", "i", "j").applyInArrow(check, "a bigint, b bigint")
 
 
-def _apart(rows: DataFrame) -> DataFrame:
-    """Rows whose sets share the first name but not the second go by the second, so that classes have 128 bits."""
-    twins = rows.groupBy("node").agg(F.min("other").alias("low"), F.max("other").alias("high"))
-    twins = materialize(twins.where("low <> high").select("node", F.lit(True).alias("twin")), "twin-names")
-    if not twins.limit(1).count():
-        return rows
-    named = rows.join(broadcast_if_small(twins), "node", "left")
-    node = F.when(F.col("twin"), F.col("other")).otherwise(F.col("node"))
-    return materialize(named.withColumn("node", node).select(*rows.columns), "prints")
-
-
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -288,7 +276,7 @@ def near_duplicates(
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = rows.select("id", F.xxhash64("text").alias("mark"), printed("text").alias("p")).select("id", "mark", "p.*")
-    rows = _apart(materialize(rows, "prints"))
+    rows = told_apart(materialize(rows, "prints"))
     usable = F.col("node").isNotNull() & F.col("id").isNotNull()
     grouped = rows.where(usable).groupBy("node").agg(
         F.min(F.struct("id", "mark")).alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.count("*").alias("count")

@@ -142,7 +142,7 @@ def brute_vectors(rows, threshold):
 
 @pytest.mark.parametrize(("pivots", "block"), [(1, 8192), (7, 8192), (5, 20)])
 def test_vectors_against_brute_force(spark, monkeypatch, pivots, block):
-    monkeypatch.setattr(embedding_dedup, "pivot_count", lambda n: pivots)
+    monkeypatch.setattr(embedding_dedup, "pivot_count", lambda n, dim: pivots)
     monkeypatch.setattr(embedding_dedup, "BLOCK", block)
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(12, 8))
@@ -157,6 +157,35 @@ def test_vectors_against_brute_force(spark, monkeypatch, pivots, block):
     assert all(r.kept == (r.vec_id is None or r.vec_id == r.component_id) for r in got)
 
 
+def test_single_precision_vectors_give_the_same_result(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(9, 8))
+    rows = [(i, np.float32(centres[i % 9] + rng.normal(size=8) * 0.2).tolist()) for i in range(120)] + [(500, [-0.0, 1.0]), (501, [0.0, 1.0])]
+    double = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    single = double.withColumn("embedding", F.col("embedding").cast("array<float>"))
+    _, nodes = embedding_dedup.classes(single, "vec_id", "embedding")
+    assert nodes.select(F.max(F.length("data")), F.max("dim")).first() == (32, 8)
+    got = [sorted(map(tuple, embedding_dedup.near_duplicates(df).collect())) for df in (single, double)]
+    assert got[0] == got[1] and sorted((r[:3] for r in got[0]), key=str) == brute_vectors(rows, 0.9)
+
+
+def test_pivots_are_bounded_by_bytes():
+    assert embedding_dedup.pivot_count(10**6, 64) == 62 and embedding_dedup.pivot_count(3, 64) == 1
+    assert embedding_dedup.pivot_count(10**14, 768) * 768 * 8 <= embedding_dedup.PIVOT_BYTES
+
+
+def test_vectors_of_one_name_are_told_apart_by_the_other(spark):
+    from pyspark.sql import functions as F
+
+    from riskloom.llm.common import told_apart
+
+    rows = spark.createDataFrame([(1, 5, 7), (2, 5, 7), (3, 5, 8), (4, 6, 9)], "id long, node long, other long")
+    assert {(r.id, r.node) for r in told_apart(rows).collect()} == {(1, 7), (2, 7), (3, 8), (4, 6)}
+    assert told_apart(rows.where(F.col("id") != 3)).select("node").distinct().count() == 2
+
+
 def test_cells_miss_no_near_vector():
     rng = np.random.default_rng(0)
     pivots = rng.normal(size=(20, 6))
