@@ -15,7 +15,8 @@ cells and the join compares nearly all pairs, as any exact method must.
 
 Defined cases: a null vector, one with null or non-finite components, and a zero vector link with
 nothing; vectors link only with vectors of the same length; repeated rows of one id are other vectors
-and share the id's component; a null id is a vector of its own that links with nothing.
+and share the id's component; a null id is a vector of its own that links with nothing. Other columns
+are not read, whatever their names.
 """
 
 from __future__ import annotations

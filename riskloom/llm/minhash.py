@@ -18,7 +18,8 @@ linked is confirmed exactly.
 
 Defined cases: texts with fewer words than a shingle are one shingle; a null, empty or white text has an
 empty set, links with nothing and is its own component; repeated rows are copies; a null id is a
-document without links whose component is null and which is kept.
+document without links whose component is null and which is kept. Other columns are not read, whatever
+their names.
 """
 
 from __future__ import annotations

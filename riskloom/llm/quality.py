@@ -10,8 +10,9 @@ seen. Rows are weighed so that the labels have their shares among all labelled r
 Only the fit uses a sample: at most `TRAIN_ROWS` labelled rows, half of each label, those with the
 least hashes of their ids. Scoring covers all rows and whole texts.
 
-Defined cases: a null, empty or white text has no words and gets the network's score of that; labels that are null or belong to no document are not used; several labels of one
-document count as their mean, rounded up; several documents of one id give one training row; without
+Defined cases: a null, empty or white text has no words and gets the network's score of that; labels that
+are null or belong to no document are not used; several labels of one document count as their mean,
+rounded up; several documents of one id give one training row; other columns are not read; without
 rows of both labels every score is 0.5.
 """
 

@@ -10,7 +10,8 @@ it becomes the globs `net/**` and `*.net/**`. The longest fitting domain rule de
 ones the first; without one, an address that a further glob fits is blocked, and others are allowed.
 
 Defined cases: a null address, or one without `://`, has an empty host and path, no rule, and is
-allowed unless a glob fits the empty address; repeated rows get equal verdicts.
+allowed unless a glob fits the empty address; repeated rows get equal verdicts; other columns are carried
+along or not read.
 """
 
 from __future__ import annotations

@@ -65,6 +65,20 @@ def test_encode_and_decode_tables(spark, reference):
         assert ids(row.ids) == reference.encode_ordinary(row.text or "")
         assert bytes(row.decoded) == (row.text or "").encode()
     assert bpe.encode(docs.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
+    both = bpe.round_trip(docs.withColumnRenamed("words", "coded"), PATH, public_tokenizers.PATTERN)
+    assert sorted(both.columns) == ["coded", "doc_id", "keys", "text"]
+    again = {r.doc_id: (bytes(r.coded.ids), bytes(r.coded.decoded)) for r in both.collect()}
+    assert again == {r.doc_id: (bytes(r.ids), bytes(r.decoded)) for r in done.collect()}
+
+
+def test_new_words_are_replayed_in_strips_and_forgotten(merges, reference, monkeypatch):
+    monkeypatch.setattr(bpe, "STRIP_BYTES", 7)
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 5)
+    codes = bpe.WordCodes(merges, public_tokenizers.PATTERN)
+    texts = ["one two three", "a very long_long_word that no strip holds", None, "one two three", "four five six seven"]
+    for _ in range(3):
+        assert [ids(x) for x in codes.encoded(texts)] == [reference.encode_ordinary(t or "") for t in texts]
+    assert len(codes.codes) <= 5 + sum(len(t.split()) for t in texts if t)
 
 
 def slow_phrases(data):
