@@ -175,18 +175,20 @@ def strength_bounds(df: DataFrame, features: list[str], label: str) -> DataFrame
     limits = {r.number: r for r in long.groupBy("number").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n")).collect()}
     n_bins = max(2, math.ceil(4 * math.sqrt(max((r.n for r in limits.values()), default=0))))
 
-    def bin_of(number: int, value: str) -> str:
-        lo, hi = (limits[number].lo, limits[number].hi) if number in limits else (0.0, 0.0)
-        scale = n_bins / (hi - lo) if hi > lo and math.isfinite(hi - lo) else math.inf
-        # A bin is a monotone function of the value, whatever is rounded; without a finite range there is one bin.
-        return f"floor(({value} - {lo!r}D) * {scale!r}D)" if math.isfinite(scale) else "0L"
-
-    cells = ", ".join(f"struct({bin_of(i, v)} AS bin, {v} AS v)" for i, v in enumerate(values))
-    placed = known.select(F.col(label).alias("_label"), F.posexplode(F.expr(f"array({cells})")).alias("number", "cell"))
-    counts = placed.groupBy("number", F.col("cell.bin").alias("bin")).agg(
+    # A bin is a monotone function of the value, whatever is rounded; without a finite range there is one bin.
+    ranges = [(limits[i].lo, limits[i].hi) if i in limits else (0.0, 0.0) for i in range(len(features))]
+    wide = [hi > lo and hi - lo > 1e-300 and math.isfinite(hi - lo) for lo, hi in ranges]
+    lows = ", ".join(f"{lo!r}D" if ok else "0D" for (lo, _), ok in zip(ranges, wide))
+    scales = ", ".join(f"{n_bins / (hi - lo)!r}D" if ok else "0D" for (lo, hi), ok in zip(ranges, wide))
+    placed = known.select(F.col(label).alias("_label"), F.posexplode(F.expr(f"array({', '.join(values)})")).alias("number", "v"))
+    limited = placed.select(
+        "_label", "number", "v", F.expr(f"array({lows})[number]").alias("_low"), F.expr(f"array({scales})[number]").alias("_scale")
+    )
+    bin_of = F.when(F.col("_scale") > 0, F.floor((F.col("v") - F.col("_low")) * F.col("_scale"))).otherwise(F.lit(0).cast("bigint"))
+    counts = limited.groupBy("number", bin_of.alias("bin")).agg(
         F.count_if(F.col("_label") == 1).alias("pos"),
         F.count_if(F.col("_label") != 1).alias("neg"),
-        (F.min("cell.v") == F.max("cell.v")).alias("one_value"),
+        (F.min("v") == F.max("v")).alias("one_value"),
     )
     earlier = W.partitionBy("number").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
     won = F.col("pos") * F.coalesce(F.sum("neg").over(earlier), F.lit(0))
