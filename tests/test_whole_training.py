@@ -81,3 +81,14 @@ def test_the_rows_of_many_tasks_are_summed_in_few(spark, monkeypatch):
         monkeypatch.setattr(stepwise, "MOST_ROWS_PER_TASK", most)
         steps.append(stepwise.forward_selection(df, df, ["a"], "y"))
     assert [s.feature for s in steps[0]] == ["a"] and steps.count(steps[0]) == len(steps)
+
+
+def test_the_compared_models_are_given_every_training_row(spark, monkeypatch):
+    rows = spark.range(1_000_300).select(F.col("id").alias("subject_id"))
+    run = run_over(rows)
+    run.inputs = run.numeric = []
+    # No argument beyond these: none that asks for fewer rows.
+    monkeypatch.setattr(training, "train_logreg_stepwise", lambda train, numeric, id_, label: (train.count(), []))
+    for kind in ("weighted", "balanced"):
+        monkeypatch.setattr(training, f"train_gbt_{kind}", lambda train, features, label: train.count())
+    assert run.models == dict.fromkeys(["LogReg (stepwise)", "GBT (weighted)", "GBT (balanced)"], 1_000_300)
